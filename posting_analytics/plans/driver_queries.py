@@ -110,7 +110,8 @@ def link_cap(spark, sf_dir):
 def safe_extract(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     value, err = extract.safe_number("text", P.DOC_LONG_NUMBER)
-    return d.select("doc_id", value.alias("amount"), err.alias("parse_error"))
+    # shown as text: a nullable bigint would reach pandas as float64
+    return d.select("doc_id", value.cast("string").alias("amount"), err.alias("parse_error"))
 
 
 def extract_postings(spark, sf_dir):

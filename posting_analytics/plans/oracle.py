@@ -247,7 +247,7 @@ def oracle_sql() -> dict[str, str]:
         "link_cap": f"SELECT url FROM ({_links()}) ORDER BY url LIMIT {vocab.LINK_TARGET}",
         "safe_extract": (
             f"WITH m AS (SELECT doc_id, nullif(regexp_extract(text, {lit(P.DOC_LONG_NUMBER)}, 0), '') AS h "
-            f"FROM documents) SELECT doc_id, TRY_CAST(h AS BIGINT) AS amount, "
+            f"FROM documents) SELECT doc_id, CAST(TRY_CAST(h AS BIGINT) AS VARCHAR) AS amount, "
             f"CASE WHEN h IS NOT NULL AND TRY_CAST(h AS BIGINT) IS NULL THEN 1 ELSE 0 END AS parse_error FROM m"),
         "extract_postings": _extract_postings(),
         "required_filter": (
