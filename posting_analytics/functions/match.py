@@ -57,9 +57,10 @@ def phrase_flag(text, phrase: str = vocab.FULL_TIME_PHRASE,
 def regex_first(text, pattern: str, sentinel: str | None = vocab.NOT_FOUND,
                 lower: bool = False) -> Column:
     """Whole first match of ``pattern`` (on lower-cased text when
-    ``lower``), or the sentinel when there is none."""
+    ``lower``), or the sentinel when there is none.  An empty match counts as
+    no match."""
     t = _lowered(text) if lower else as_col(text)
-    hit = F.regexp_substr(t, F.lit(pattern))
+    hit = F.nullif(F.regexp_extract(t, pattern, 0), F.lit(""))
     return hit if sentinel is None else F.coalesce(hit, F.lit(sentinel))
 
 

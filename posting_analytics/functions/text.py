@@ -63,9 +63,10 @@ def element_text(html, pattern: str, sentinel: str = vocab.NOT_FOUND) -> Column:
     """Text of the first element matching ``pattern`` (inner tags removed
     without a space, entities decoded, whitespace normalised); the sentinel
     when no element matches."""
-    element = F.regexp_substr(as_col(html), F.lit(pattern))
+    # a whole-element match is never empty, so '' means "no element"
+    element = F.regexp_extract(as_col(html), pattern, 0)
     text = normalize_ws(decode_entities(strip_tags(element, "")))
-    return F.when(element.isNull(), F.lit(sentinel)).otherwise(text)
+    return F.when(F.coalesce(element, F.lit("")) == "", F.lit(sentinel)).otherwise(text)
 
 
 def first_tag_text(html, tag: str = "h1", sentinel: str = vocab.NOT_FOUND) -> Column:

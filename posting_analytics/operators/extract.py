@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import match, money, text
 from ..functions._util import as_col
+from .partitioning import spread
 
 
 def posting_columns(page_text, html, *,
@@ -53,7 +54,7 @@ def extract_postings(pages: DataFrame, html_col: str = "html", *,
     """
     kept = [c for c in keep if c in pages.columns]
     html = as_col(html_col)
-    staged = pages.select(*kept, html.alias("_html"),
+    staged = spread(pages).select(*kept, html.alias("_html"),
                           text.html_to_text(html).alias("_page_text"))
     cols = posting_columns(F.col("_page_text"), F.col("_html"), **params)
     bad = F.col("_html").isNull() | (F.length(F.col("_html")) == 0)
@@ -69,7 +70,7 @@ def discover_links(pages: DataFrame, html_col: str = "html",
                    root: str = vocab.SITE_ROOT) -> DataFrame:
     """Distinct absolute links (``url``) whose href contains a substring."""
     href = F.explode(text.hrefs(html_col)).alias("href")
-    return (pages.select(href)
+    return (spread(pages).select(href)
             .filter(F.col("href").contains(F.lit(href_substring)))
             .select(F.concat(F.lit(root), F.col("href")).alias("url"))
             .distinct())
@@ -86,7 +87,7 @@ def safe_number(c, pattern: str = r"[0-9]{6,}") -> tuple:
     Returns ``(value, parse_error)``: ``parse_error`` is 1 when a match exists
     but does not fit the type, so bad records are kept and flagged.
     """
-    hit = F.regexp_substr(as_col(c), F.lit(pattern))
+    hit = F.nullif(F.regexp_extract(as_col(c), pattern, 0), F.lit(""))
     value = hit.try_cast("bigint")
     err = F.when(hit.isNotNull() & value.isNull(), F.lit(1)).otherwise(F.lit(0))
     return value, err

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import match, money, text
 from ..operators import clean, cluster, documents, extract, features, report, tables
+from ..operators.partitioning import spread
 from ..session import scratch_path
 from ..sources import collections, files, profile
 from . import params as P
@@ -24,7 +25,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    # text tables feed CPU-heavy regex work: keep every core busy
+    return spread(df) if name in TEXT_TABLES else df
+
+
+TEXT_TABLES = {"documents", "pages"}
 
 
 # --- E: extraction ---------------------------------------------------------
