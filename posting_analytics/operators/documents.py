@@ -1,10 +1,11 @@
 """Nested summary documents.
 
-The cluster summary comes from one aggregation: the attribute columns are
-unpivoted into ``(cluster, attribute, value)`` and counted once (with a
-map-side partial count), and every field of the document is read off those
-counts.  Top-n maps are cut with a window-group limit before they are
-collected, so no list grows with the size of a cluster.
+The cluster summary reads its input once: the attribute columns are
+unpivoted into ``(cluster, attribute, value)`` and counted by one aggregation
+(with a map-side partial count); the values are ranked inside each
+``(cluster, attribute)`` on that small count table, and one more aggregation
+per cluster builds every field of the document.  Collected lists hold at most
+one entry per distinct value (the top-n map at most n), never input rows.
 """
 
 from __future__ import annotations
@@ -56,11 +57,16 @@ def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "ke
     attrs = {"category": category, "location": location, "education": education}
     counts = _attribute_counts(df, cluster, attrs, flag)
     a, v, n = F.col("attr"), F.col("value"), F.col("n")
+    # rank values inside (cluster, attribute); the count table holds one row per
+    # distinct value, so this window never sees the input rows themselves
+    w = Window.partitionBy("_c", "attr").orderBy(v.isNull(), F.desc("n"), F.asc("value"))
+    ranked = counts.withColumn("_r", F.row_number().over(w))
+    r = F.col("_r")
 
     def mode(name):
-        return F.min(F.when((a == name) & v.isNotNull(), F.struct((-n).alias("k1"), v.alias("k2"))))["k2"]
+        return F.max(F.when((a == name) & v.isNotNull() & (r == 1), v))
 
-    per_cluster = counts.groupBy("_c").agg(
+    per_cluster = ranked.groupBy("_c").agg(
         F.sum(F.when(a == _ALL, n)).alias("total_lowongan"),
         F.sum(F.when((a == _FLAG) & (v == "1"), n)).alias("_yes"),
         F.sum(F.when((a == _FLAG) & v.isNotNull(), n)).alias("_flagged"),
@@ -69,21 +75,18 @@ def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "ke
         mode("education").alias("pendidikan_dominan"),
         F.array_sort(F.collect_list(F.when((a == "category") & v.isNotNull(), _entry(n, v))))
         .alias("_cat"),
+        F.array_sort(F.collect_list(F.when((a == "location") & v.isNotNull() & (r <= top_locations),
+                                           _entry(n, v)))).alias("_loc"),
     )
-    w = Window.partitionBy("_c").orderBy(F.desc("n"), F.asc("value"))
-    top_loc = (counts.filter((a == "location") & v.isNotNull())
-               .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= top_locations)
-               .groupBy("_c").agg(F.array_sort(F.collect_list(_entry(n, v))).alias("_loc")))
     ts = generated_at or _dt.datetime.now()
-    return (per_cluster.join(top_loc, "_c", "left")
-            .select(F.col("_c").alias("cluster_id"),
-                    F.col("total_lowongan"),
-                    "kategori_dominan", "lokasi_dominan", "pendidikan_dominan",
-                    percent(F.coalesce(F.col("_yes"), F.lit(0)), F.col("_flagged"), 1)
-                    .alias("pct_gaji_dicantumkan"),
-                    _as_map(F.col("_cat")).alias("distribusi_kategori"),
-                    _as_map(F.coalesce(F.col("_loc"), F.array())).alias("distribusi_lokasi"),
-                    F.lit(ts).cast("timestamp").alias("generated_at")))
+    return per_cluster.select(
+        F.col("_c").alias("cluster_id"),
+        F.col("total_lowongan"),
+        "kategori_dominan", "lokasi_dominan", "pendidikan_dominan",
+        percent(F.coalesce(F.col("_yes"), F.lit(0)), F.col("_flagged"), 1).alias("pct_gaji_dicantumkan"),
+        _as_map(F.col("_cat")).alias("distribusi_kategori"),
+        _as_map(F.col("_loc")).alias("distribusi_lokasi"),
+        F.lit(ts).cast("timestamp").alias("generated_at"))
 
 
 def top_values_document(df: DataFrame, cluster: str = "cluster", value: str = "company_name",

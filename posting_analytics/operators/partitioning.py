@@ -13,5 +13,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     arrives in many scan partitions and is left alone (no shuffle); a small
     input stored as a few large row groups would otherwise run in one task.
     """
+    if df.isStreaming:  # a stream is partitioned by its source
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -190,3 +190,16 @@ def keep_top_k(df: DataFrame, col: str, k: int = 5) -> DataFrame:
     """
     top = top_k_values(df, col, k).select(col)
     return df.join(F.broadcast(top), on=col, how="left_semi")
+
+
+def attribute_counts(df: DataFrame, group: str, attrs: Sequence[str], count_col: str = "n",
+                     attr_col: str = "attribute", value_col: str = "value") -> DataFrame:
+    """A8 for several attributes in one pass: rows per ``(group, attribute,
+    value)``.  The attribute columns are unpivoted (values as text) and
+    counted by one aggregation, so the input is scanned and shuffled once."""
+    entries = [F.struct(F.lit(a).alias(attr_col), F.col(a).cast("string").alias(value_col))
+               for a in attrs]
+    long = df.select(group, F.explode(F.array(*entries)).alias("_e"))
+    return (long.groupBy(group, F.col(f"_e.{attr_col}").alias(attr_col),
+                         F.col(f"_e.{value_col}").alias(value_col))
+            .agg(_n().alias(count_col)))
