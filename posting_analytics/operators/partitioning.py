@@ -12,8 +12,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Regex extraction over pages costs CPU per row.  A large input already
     arrives in many scan partitions and is left alone (no shuffle); a small
     input stored as a few large row groups would otherwise run in one task.
+    An input of at least ``min_partitions`` files is taken as large without
+    planning it; only a few-file input has its partition count looked up.
     """
     if df.isStreaming:  # a stream is partitioned by its source
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= target:
+        return df
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

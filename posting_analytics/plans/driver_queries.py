@@ -126,6 +126,21 @@ def extract_postings(spark, sf_dir):
                                     run_date=P.RUN_DATE)
 
 
+PAGE_PARAMS = dict(cities=P.DOC_FIRST_WORDS, skills=P.DOC_TAG_WORDS, responsibilities=P.DOC_LABELS,
+                   company_href=P.PAGE_HREF, run_date=P.RUN_DATE)
+
+
+def page_location_share(spark, sf_dir):
+    """Pages -> posting rows -> cleaning chain -> title category -> share of
+    each (location, category) among the kept postings."""
+    postings = extract.extract_postings(table(spark, sf_dir, "pages"), keep=("page_id",),
+                                        **PAGE_PARAMS)
+    cleaned = clean.clean_postings(postings, require_salary=False)
+    keyed = cleaned.withColumn("location_category",
+                               F.concat_ws(" / ", "location", "keyword_category"))
+    return report.value_share(keyed, "location_category")
+
+
 # --- C: cleaning -----------------------------------------------------------
 
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -214,6 +229,11 @@ def group_counts(spark, sf_dir):
     return report.group_counts(table(spark, sf_dir, "lineitem"), "l_returnflag")
 
 
+def attribute_counts(spark, sf_dir):
+    return report.attribute_counts(table(spark, sf_dir, "orders"), "o_orderstatus",
+                                   ["o_orderpriority", "o_custkey"])
+
+
 def distinct_counts(spark, sf_dir):
     return report.distinct_counts(table(spark, sf_dir, "orders"),
                                   ["o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
@@ -386,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "link_cap": link_cap,
     "safe_extract": safe_extract,
     "extract_postings": extract_postings,
+    "page_location_share": page_location_share,
     "required_filter": required_filter,
     "fill_nulls": fill_nulls,
     "replace_value": replace_value,
@@ -400,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "status_count": status_count,
     "two_key_count": two_key_count,
     "group_counts": group_counts,
+    "attribute_counts": attribute_counts,
     "distinct_counts": distinct_counts,
     "conditional_rate": conditional_rate,
     "flag_rate": flag_rate,

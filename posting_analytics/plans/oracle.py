@@ -111,18 +111,19 @@ def _value_share(table: str, key: str) -> str:
             f"SELECT {key}, n, {pct('n', '(SELECT CAST(sum(n) AS BIGINT) FROM g)')} AS pct FROM g")
 
 
-def _extract_postings() -> str:
+def _extract_postings(cities=vocab.CITIES, skills=vocab.SKILLS,
+                      responsibilities=vocab.RESPONSIBILITIES) -> str:
     pt = "page_text"
     cols = {
         "job_title": element_text("html", element_pattern("h1")),
         "company_name": element_text("html", anchor_pattern(P.PAGE_HREF)),
-        "location": first_listed(pt, vocab.CITIES),
+        "location": first_listed(pt, cities),
         "job_type": ordered_case(pt, [(vocab.FULL_TIME_PHRASE, vocab.FULL_TIME_LABEL)], vocab.NOT_FOUND),
         "experience_level": regex_first(f"lower({pt})", vocab.EXPERIENCE_PATTERN),
         "education_req": regex_first(pt, vocab.EDUCATION_PATTERN),
         "salary_range": amount_range(pt, vocab.SALARY_PATTERN),
-        "job_requirements": keyword_tags(pt, vocab.SKILLS),
-        "job_responsibilities": ordered_case(pt, vocab.RESPONSIBILITIES, vocab.NOT_FOUND),
+        "job_requirements": keyword_tags(pt, skills),
+        "job_responsibilities": ordered_case(pt, responsibilities, vocab.NOT_FOUND),
         "posted_date": lit(P.RUN_DATE),
         "source_platform": lit(vocab.SOURCE_PLATFORM),
     }
@@ -131,6 +132,15 @@ def _extract_postings() -> str:
             f"WHERE html IS NOT NULL AND length(html) > 0) SELECT page_id, {select} FROM p")
 
 
+def _page_location_share() -> str:
+    nf = lit(vocab.NOT_FOUND)
+    postings = _extract_postings(P.DOC_FIRST_WORDS, P.DOC_TAG_WORDS, P.DOC_LABELS)
+    kept = (f"SELECT location || ' / ' || {ordered_case('job_title', vocab.CATEGORY_RULES, vocab.CATEGORY_DEFAULT)} "
+            f"AS location_category FROM ({postings}) WHERE job_title <> {nf} AND company_name <> {nf} "
+            f"AND job_requirements <> {nf} AND job_responsibilities <> {nf} AND location <> {nf}")
+    return _value_share(f"({kept})", "location_category")
+
+
 def _links() -> str:
     hrefs = f"list_transform(regexp_extract_all(html, {lit(HREF_PATTERN)}, 1), lambda x: {decode('x')})"
     return (f"SELECT DISTINCT {lit(vocab.SITE_ROOT)} || h AS url FROM "
@@ -250,6 +260,12 @@ def oracle_sql() -> dict[str, str]:
             f"FROM documents) SELECT doc_id, CAST(TRY_CAST(h AS BIGINT) AS VARCHAR) AS amount, "
             f"CASE WHEN h IS NOT NULL AND TRY_CAST(h AS BIGINT) IS NULL THEN 1 ELSE 0 END AS parse_error FROM m"),
         "extract_postings": _extract_postings(),
+        "page_location_share": _page_location_share(),
+        "attribute_counts": (
+            "SELECT o_orderstatus, 'o_orderpriority' AS attribute, o_orderpriority AS value, count(*) AS n "
+            "FROM orders GROUP BY 1, 2, 3 UNION ALL "
+            "SELECT o_orderstatus, 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders "
+            "GROUP BY 1, 2, 3"),
         "required_filter": (
             f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders "
             f"WHERE o_orderstatus <> {lit(P.STATUS_SENTINEL)} AND o_orderpriority IS NOT NULL "
