@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,28 +13,42 @@ from .. import vocab
 DEFAULT_SENTINELS = (vocab.NOT_FOUND, vocab.NOT_STATED, vocab.UNKNOWN)
 
 
+def _column_profile(df: DataFrame, name: str, data_type: str, sentinels: Sequence[str],
+                    approx: bool) -> DataFrame:
+    c = F.col(f"`{name}`")
+    is_sentinel = c.cast("string").isin(*sentinels) if sentinels else F.lit(False)
+    if approx:
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(c.isNull()).alias("n_null"),
+                      F.count_if(is_sentinel).alias("n_sentinel"),
+                      F.approx_count_distinct(c).alias("n_distinct"))
+    # one row per distinct value (with its count), then one row for the column
+    per_value = df.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
+    v, cnt = F.col("v"), F.col("cnt")
+    v_sentinel = v.cast("string").isin(*sentinels) if sentinels else F.lit(False)
+    return per_value.agg(
+        F.coalesce(F.sum(cnt), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.coalesce(F.sum(F.when(v.isNull(), cnt)), F.lit(0)).cast("bigint").alias("n_null"),
+        F.coalesce(F.sum(F.when(v_sentinel, cnt)), F.lit(0)).cast("bigint").alias("n_sentinel"),
+        F.count(v).alias("n_distinct"))
+
+
 def table_profile(df: DataFrame, sentinels: Sequence[str] = DEFAULT_SENTINELS,
                   approx: bool = False) -> DataFrame:
     """One row per column: ``(column_name, data_type, n_rows, n_null,
-    n_sentinel, n_distinct)``, computed in a single aggregation."""
-    fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count_if(c.isNull()).alias(f"nn{i}"))
-        aggs.append(F.count_if(c.cast("string").isin(*sentinels)).alias(f"ns{i}")
-                    if sentinels else F.lit(0).cast("bigint").alias(f"ns{i}"))
-        aggs.append((F.approx_count_distinct(c) if approx else F.count_distinct(c))
-                    .alias(f"nd{i}"))
-    wide = df.agg(*aggs)
-    entries = [F.struct(F.lit(f.name).alias("column_name"),
-                        F.lit(f.dataType.simpleString()).alias("data_type"),
-                        F.col(f"nn{i}").alias("n_null"),
-                        F.col(f"ns{i}").alias("n_sentinel"),
-                        F.col(f"nd{i}").alias("n_distinct")) for i, f in enumerate(fields)]
-    long = wide.select("n_rows", F.explode(F.array(*entries)).alias("_p"))
-    return long.select("_p.column_name", "_p.data_type", "n_rows", "_p.n_null",
-                       "_p.n_sentinel", "_p.n_distinct")
+    n_sentinel, n_distinct)``.
+
+    Each column is profiled by its own branch of one union: the branch reads
+    only that column (column pruning), counts its distinct values with a
+    map-side partial aggregation and reduces them to one row.  This avoids the
+    row expansion that several ``count(DISTINCT ..)`` in one aggregation
+    cause (every row copied once per column).
+    """
+    parts = [_column_profile(df, f.name, f.dataType.simpleString(), sentinels, approx)
+             .select(F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"),
+                     "n_rows", "n_null", "n_sentinel", "n_distinct")
+             for f in df.schema.fields]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def head(df: DataFrame, n: int = 5) -> DataFrame:
