@@ -55,8 +55,9 @@ def element_pattern(tag: str) -> str:
 
 def anchor_pattern(href_substring: str) -> str:
     """Regex for the first ``<a>`` whose double-quoted href contains a substring."""
+    # tag and attribute names ignore case, the href substring does not
     sub = regex_escape(href_substring)
-    return rf'(?is)<a[^>A-Za-z0-9][^>]*href="[^"]*{sub}[^"]*"[^>]*>.*?</a[^>]*>'
+    return rf'(?s)(?i:<a)[^>A-Za-z0-9][^>]*(?i:href)="[^"]*{sub}[^"]*"[^>]*>.*?(?i:</a)[^>]*>'
 
 
 def element_text(html, pattern: str, sentinel: str = vocab.NOT_FOUND) -> Column:
