@@ -57,3 +57,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/pa-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(total_cores: int, partition_bytes: str = "256m") -> dict[str, str]:
+    """Starting settings for a large run (apply them to the session builder).
+
+    Shuffle partitions start at three per core and AQE coalesces them to
+    ``advisoryPartitionSizeInBytes``; skewed shuffle partitions are split.
+    Scan splits of ``partition_bytes`` keep a page partition's HTML well inside
+    executor memory.  Automatic broadcast stays at Spark's small default: the
+    library broadcasts explicitly only where the size is bounded.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(max(200, 3 * int(total_cores))),
+        "spark.sql.files.maxPartitionBytes": partition_bytes,
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    }
