@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from ._util import as_col
+from ._util import as_col, regex_escape
 
 
 def digits_only(c) -> Column:
@@ -30,7 +30,8 @@ def group_thousands(d, sep: str = vocab.THOUSANDS_SEP) -> Column:
     """'1234567' -> '1.234.567' for a canonical digit string of any length."""
     rev = F.reverse(as_col(d))
     grouped = F.reverse(F.regexp_replace(rev, "([0-9]{3})", "$1" + sep.replace("$", r"\$")))
-    return F.ltrim(grouped, F.lit(sep))
+    # a length divisible by three leaves one separator in front
+    return F.regexp_replace(grouped, "^" + regex_escape(sep), "")
 
 
 def money_format(text, prefix: str = vocab.MONEY_PREFIX,
