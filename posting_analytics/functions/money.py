@@ -50,11 +50,14 @@ def _by_value(left: Column, right: Column) -> Column:
 
 
 def amounts(text, pattern: str = vocab.SALARY_PATTERN,
-            min_digits: int = vocab.SALARY_MIN_DIGITS) -> Column:
+            min_digits: int = vocab.SALARY_MIN_DIGITS, drop_fraction: bool = False) -> Column:
     """Distinct amounts of all ``pattern`` matches, ascending by value, as
     canonical digit strings; matches with fewer than ``min_digits`` digits are
-    dropped."""
+    dropped.  By default the digits after a decimal comma count too (as in the
+    original rule); ``drop_fraction`` removes a trailing ``,<digits>`` first."""
     found = F.regexp_extract_all(F.coalesce(as_col(text), F.lit("")), F.lit(pattern), 0)
+    if drop_fraction:
+        found = F.transform(found, lambda m: F.regexp_replace(m, ",[0-9]+$", ""))
     digits = F.transform(found, digits_only)
     kept = F.filter(digits, lambda d: F.length(d) >= min_digits)
     values = F.array_distinct(F.transform(kept, canonical_digits))
@@ -64,10 +67,11 @@ def amounts(text, pattern: str = vocab.SALARY_PATTERN,
 def amount_range(text, pattern: str = vocab.SALARY_PATTERN,
                  min_digits: int = vocab.SALARY_MIN_DIGITS,
                  sentinel: str = vocab.NOT_STATED, prefix: str = vocab.MONEY_PREFIX,
-                 sep: str = vocab.THOUSANDS_SEP, range_sep: str = vocab.AMOUNT_RANGE_SEP) -> Column:
+                 sep: str = vocab.THOUSANDS_SEP, range_sep: str = vocab.AMOUNT_RANGE_SEP,
+                 drop_fraction: bool = False) -> Column:
     """E9: 'min - max' of the amounts in the text (one amount alone, the
     sentinel when there is none)."""
-    vals = amounts(text, pattern, min_digits)
+    vals = amounts(text, pattern, min_digits, drop_fraction)
     lo = F.concat(F.lit(prefix), group_thousands(F.element_at(vals, 1), sep))
     hi = F.concat(F.lit(prefix), group_thousands(F.element_at(vals, -1), sep))
     n = F.size(vals)

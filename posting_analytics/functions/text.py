@@ -88,3 +88,14 @@ def hrefs(html) -> Column:
     """All double-quoted ``href`` values of ``<a>`` tags, entity-decoded."""
     found = F.regexp_extract_all(as_col(html), F.lit(HREF_PATTERN), 1)
     return F.transform(found, lambda h: decode_entities(h))
+
+
+POSTED_DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy")
+
+
+def parse_date(c, formats=POSTED_DATE_FORMATS) -> Column:
+    """A date written in any of ``formats`` (first that parses), else NULL.
+
+    Crawl dates appear both as ``2026-06-13`` and as ``6/13/2026``.
+    """
+    return F.coalesce(*[F.try_to_date(as_col(c), f) for f in formats])

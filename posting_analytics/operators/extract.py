@@ -25,19 +25,34 @@ def posting_columns(page_text, html, *,
                     responsibilities=vocab.RESPONSIBILITIES,
                     company_href: str = vocab.COMPANY_LINK_SUBSTRING,
                     run_date: str | _dt.date | None = None,
-                    source_platform: str = vocab.SOURCE_PLATFORM) -> dict:
-    """E3-E13 as a name -> Column mapping over a page-text and an HTML column."""
+                    source_platform: str = vocab.SOURCE_PLATFORM,
+                    title_tag: str = "h1",
+                    full_time_phrase: str = vocab.FULL_TIME_PHRASE,
+                    experience_pattern: str = vocab.EXPERIENCE_PATTERN,
+                    education_pattern: str = vocab.EDUCATION_PATTERN,
+                    salary_pattern: str = vocab.SALARY_PATTERN,
+                    drop_fraction: bool = False,
+                    max_skills: int = vocab.MAX_SKILLS,
+                    whole_word: bool = False) -> dict:
+    """E3-E13 as a name -> Column mapping over a page-text and an HTML column.
+
+    Every dictionary and pattern is a parameter; the defaults are the fixed
+    values of the original extraction.  ``run_date`` is the crawl date
+    (today when not given).
+    """
     run_date = run_date or _dt.date.today()
     return {
-        "job_title": text.first_tag_text(html, "h1"),
+        "job_title": text.first_tag_text(html, title_tag),
         "company_name": text.anchor_text(html, company_href),
-        "location": match.first_listed(page_text, cities),
-        "job_type": match.phrase_flag(page_text),
-        "experience_level": match.regex_first(page_text, vocab.EXPERIENCE_PATTERN, lower=True),
-        "education_req": match.regex_first(page_text, vocab.EDUCATION_PATTERN),
-        "salary_range": money.amount_range(page_text),
-        "job_requirements": match.keyword_tags(page_text, skills),
-        "job_responsibilities": match.ordered_label(page_text, responsibilities, vocab.NOT_FOUND),
+        "location": match.ordered_label(page_text, [(c, c.title()) for c in cities],
+                                        vocab.NOT_FOUND, whole_word),
+        "job_type": match.phrase_flag(page_text, full_time_phrase),
+        "experience_level": match.regex_first(page_text, experience_pattern, lower=True),
+        "education_req": match.regex_first(page_text, education_pattern),
+        "salary_range": money.amount_range(page_text, salary_pattern, drop_fraction=drop_fraction),
+        "job_requirements": match.keyword_tags(page_text, skills, max_skills, whole_word=whole_word),
+        "job_responsibilities": match.ordered_label(page_text, responsibilities, vocab.NOT_FOUND,
+                                                    whole_word),
         "posted_date": F.date_format(F.lit(str(run_date)).cast("date"), vocab.POSTED_DATE_FORMAT),
         "source_platform": F.lit(source_platform),
     }

@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (PCA, OneHotEncoder, PCAModel, StandardScaler, StringIndexer,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,21 +63,32 @@ def scaler(inp: str = "features_raw", out: str = "features", with_mean: bool = T
 
 def feature_pipeline(index_cols: Sequence[str], index_out: Sequence[str],
                      numeric_cols: Sequence[str] = (), features_col: str = "features",
-                     order: str = "frequencyDesc") -> Pipeline:
-    """M4: indexers -> assembler -> scaler as one ``Pipeline``."""
-    return Pipeline(stages=[
-        label_indexer(index_cols, index_out, order),
-        assembler([*index_out, *numeric_cols], "features_raw"),
-        scaler("features_raw", features_col),
-    ])
+                     order: str = "frequencyDesc", one_hot: bool = False) -> Pipeline:
+    """M4: indexers -> assembler -> scaler as one ``Pipeline``.
+
+    By default the category codes themselves are features (as in the original
+    model, so code distance counts as category distance); with ``one_hot``
+    each category becomes its own 0/1 feature instead.
+    """
+    stages = [label_indexer(index_cols, index_out, order)]
+    coded = list(index_out)
+    if one_hot:
+        coded = [f"{c}_vec" for c in index_out]
+        stages.append(OneHotEncoder(inputCols=list(index_out), outputCols=coded,
+                                    handleInvalid="keep"))
+    stages += [assembler([*coded, *numeric_cols], "features_raw"),
+               scaler("features_raw", features_col)]
+    return Pipeline(stages=stages)
 
 
 def fit_features(df: DataFrame, index_cols: Sequence[str], index_out: Sequence[str],
                  numeric_cols: Sequence[str] = (), features_col: str = "features",
-                 max_labels: int | None = DEFAULT_MAX_LABELS) -> tuple[PipelineModel, DataFrame]:
+                 max_labels: int | None = DEFAULT_MAX_LABELS,
+                 one_hot: bool = False) -> tuple[PipelineModel, DataFrame]:
     """Fit the M4 pipeline and transform the same frame."""
     check_label_bound(df, index_cols, max_labels)
-    model = feature_pipeline(index_cols, index_out, numeric_cols, features_col).fit(df)
+    model = feature_pipeline(index_cols, index_out, numeric_cols, features_col,
+                             one_hot=one_hot).fit(df)
     return model, model.transform(df)
 
 

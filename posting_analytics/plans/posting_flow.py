@@ -59,10 +59,11 @@ class Clustering:
 
 
 def cluster_postings(cleaned: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 50,
-                     elbow_ks=range(2, 8), elbow_iter: int = 20) -> Clustering:
+                     elbow_ks=range(2, 8), elbow_iter: int = 20, one_hot: bool = False) -> Clustering:
     """Flag, index, assemble, scale, sweep k, fit k-means, evaluate."""
     df = clean.add_presence_flag(cleaned, "salary_range", "has_salary")
-    fmodel, feats = features.fit_features(df, INDEX_COLS, INDEX_OUT, ["has_salary"])
+    fmodel, feats = features.fit_features(df, INDEX_COLS, INDEX_OUT, ["has_salary"],
+                                          one_hot=one_hot)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     sweep = cluster.elbow(feats, elbow_ks, seed, elbow_iter)
     kmodel, out = cluster.kmeans_assign(feats, k, seed, max_iter)

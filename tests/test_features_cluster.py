@@ -72,3 +72,13 @@ def test_feature_pipeline_vector(spark):
     model, out = features.fit_features(df, ["location", "edu"], ["li", "ei"], ["has"])
     arr = out.select(vector_to_array("features").alias("v")).collect()
     assert all(len(r["v"]) == 3 for r in arr)
+
+
+def test_feature_pipeline_one_hot(spark):
+    df = spark.createDataFrame([("J", "S1", 1), ("B", "D1", 0), ("M", "S1", 1)],
+                               "location string, edu string, has int")
+    _, out = features.fit_features(df, ["location", "edu"], ["li", "ei"], ["has"], one_hot=True)
+    width = len(out.select(vector_to_array("features").alias("v")).first()["v"])
+    # one slot per label plus the indexer's unseen/NULL slot: 3 + 1 locations, 2 + 1 educations,
+    # and the flag
+    assert width == (3 + 1) + (2 + 1) + 1

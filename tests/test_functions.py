@@ -114,3 +114,15 @@ def test_presence_flag(spark, value, want):
 def test_percent_half_up(spark, n, t, scale, want):
     df = spark.createDataFrame([(n, t)], "n long, t long")
     assert df.select(numeric.percent(F.col("n"), F.col("t"), scale).alias("p")).first()["p"] == want
+
+
+def test_amount_range_drop_fraction(spark):
+    assert one(spark, money.amount_range("t", drop_fraction=True), "Gaji Rp 7.500.000,00") == \
+        "Rp. 7.500.000"
+
+
+@pytest.mark.parametrize("raw,want", [("2026-06-13", "2026-06-13"), ("6/13/2026", "2026-06-13"),
+                                      ("13 Juni", None), (None, None)])
+def test_parse_date_both_formats(spark, raw, want):
+    got = one(spark, text.parse_date("t"), raw)
+    assert (str(got) if got is not None else None) == want
