@@ -2,7 +2,8 @@
 
 The input is any table with an HTML column.  Extraction is one projection
 (no shuffle), so it scales with the number of executors; only link discovery
-shuffles, for its ``distinct``.
+shuffles, for its ``distinct``.  Read small page tables through
+``partitioning.spread`` so the regex work uses every core.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import match, money, text
 from ..functions._util import as_col
-from .partitioning import spread
 
 
 def posting_columns(page_text, html, *,
@@ -69,7 +69,7 @@ def extract_postings(pages: DataFrame, html_col: str = "html", *,
     """
     kept = [c for c in keep if c in pages.columns]
     html = as_col(html_col)
-    staged = spread(pages).select(*kept, html.alias("_html"),
+    staged = pages.select(*kept, html.alias("_html"),
                           text.html_to_text(html).alias("_page_text"))
     cols = posting_columns(F.col("_page_text"), F.col("_html"), **params)
     bad = F.col("_html").isNull() | (F.length(F.col("_html")) == 0)
@@ -85,7 +85,7 @@ def discover_links(pages: DataFrame, html_col: str = "html",
                    root: str = vocab.SITE_ROOT) -> DataFrame:
     """Distinct absolute links (``url``) whose href contains a substring."""
     href = F.explode(text.hrefs(html_col)).alias("href")
-    return (spread(pages).select(href)
+    return (pages.select(href)
             .filter(F.col("href").contains(F.lit(href_substring)))
             .select(F.concat(F.lit(root), F.col("href")).alias("url"))
             .distinct())

@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has fewer partitions than
-    the session's parallelism.
+    """Round-robin repartition of a freshly read input when it has fewer
+    partitions than the session's parallelism.
 
     Regex extraction over pages costs CPU per row.  A large input already
     arrives in many scan partitions and is left alone (no shuffle); a small
     input stored as a few large row groups would otherwise run in one task.
-    An input of at least ``min_partitions`` files is taken as large without
-    planning it; only a few-file input has its partition count looked up.
+
+    Apply it where the input is read (a plain scan): an input of at least
+    ``min_partitions`` files is taken as large without any planning, and for
+    a few-file scan the partition count is known without running a job.  On a
+    frame that already contains a shuffle, Spark would have to run that
+    shuffle to report its partition count, so operators do not call this
+    themselves.
     """
     if df.isStreaming:  # a stream is partitioned by its source
         return df

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..operators import clean, cluster, documents, extract, features, report, tables
+from ..operators.partitioning import spread
 from ..sources import collections, files
 
 INDEX_COLS = ["location", "education_req", "keyword_category"]
@@ -144,7 +145,7 @@ def run(spark: SparkSession, out_dir: str, *, pages: DataFrame | None = None,
     if raw is None:
         if pages is None:
             raise ValueError("give pages or raw postings")
-        raw = extract.extract_postings(pages, run_date=run_date)
+        raw = extract.extract_postings(spread(pages), run_date=run_date)
     raw = _write_read(spark, raw, f"{out}/postings")
     paths["postings"] = f"{out}/postings"
     files.write_csv(raw.select(*vocab.POSTING_COLUMNS), f"{out}/postings_csv")

@@ -59,14 +59,25 @@ def test_no_python_udfs(spark, name):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_extraction_has_no_shuffle_for_large_inputs(spark):
+def test_extraction_adds_no_shuffle(spark):
     pages = Q.table(spark, SF, "pages")
     many = pages.repartition(spark.sparkContext.defaultParallelism * 2)
     p = plan(extract.extract_postings(many, run_date="2026-01-01").select("job_title"))
-    # only the repartition of the test itself: spread() adds no second exchange
+    # only the repartition of the test itself
     assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 1
 
 
+def test_spread_on_scan_runs_no_job(spark):
+    from posting_analytics.operators.partitioning import spread
+    sc = spark.sparkContext
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = len(sc.statusTracker().getJobIdsForGroup(None))
+    spread(docs)
+    assert len(sc.statusTracker().getJobIdsForGroup(None)) == before
+    many_files = spark.read.parquet(*[f"{SF}/{t}.parquet" for t in ("documents",) * 1])
+    assert spread(many_files, min_partitions=1) is many_files
+
+
 def test_cluster_summary_scans_base_once(spark):
     df = Q.cluster_summary(spark, SF)
     df.collect()
