@@ -1,4 +1,4 @@
-"""Cleaning operators (C1-C11, C13): filters, fills, replacements, derived columns.
+"""Cleaning operators (C1-C9, C11): filters, fills, replacements, derived columns.
 
 Every filter is one native predicate, so Catalyst merges the chain into a
 single ``Filter`` and pushes the null/equality parts into the Parquet scan.
@@ -68,10 +68,11 @@ def missing_report(df: DataFrame, cols: Sequence[str], scale: int = 2) -> DataFr
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
-    stacked = ", ".join(f"'{c}', m{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr("n_rows", f"stack({len(cols)}, {stacked}) as (column_name, n_missing)")
-    return long.select("column_name", "n_missing", "n_rows",
-                       percent(F.col("n_missing"), F.col("n_rows"), scale).alias("pct_missing"))
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing"))
+               for i, c in enumerate(cols)]
+    long = wide.select("n_rows", F.explode(F.array(*entries)).alias("_m"))
+    return long.select("_m.column_name", "_m.n_missing", "n_rows",
+                       percent(F.col("_m.n_missing"), F.col("n_rows"), scale).alias("pct_missing"))
 
 
 def add_category(df: DataFrame, source: str = "job_title", out: str = "keyword_category",

@@ -162,7 +162,7 @@ def top_n_per_group(df: DataFrame, group: str | Sequence[str], value: str, n: in
 
 
 def count_map(ranked: DataFrame, group: str | Sequence[str], value: str,
-              count_col: str = "n", rank_col: str | None = None, out: str = "counts") -> DataFrame:
+              count_col: str = "n", out: str = "counts") -> DataFrame:
     """``value -> count`` map per group, entries ordered by count desc,
     value asc (the frame is already cut to the wanted entries)."""
     groups = [group] if isinstance(group, str) else list(group)

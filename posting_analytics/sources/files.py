@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from .. import vocab
 
 
+BOM = "\ufeff"
+
+
 def _strings(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
@@ -41,13 +44,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     df = reader.csv(path)
     # a BOM that survives in the first header name is dropped from it
     first = df.columns[0] if df.columns else None
-    if first and first.startswith("﻿"):
-        df = df.withColumnRenamed(first, first.lstrip("﻿"))
+    if first and first.startswith(BOM):
+        df = df.withColumnRenamed(first, first[len(BOM):])
     return df
 
 
 def flatten_for_text(df: DataFrame) -> DataFrame:
-    """Render array, map and struct columns as JSON text; format timestamps ISO."""
+    """Render array, map and struct columns as JSON text (flat formats cannot hold them)."""
     out = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
