@@ -15,6 +15,9 @@ from .. import vocab
 from ._util import as_col, regex_escape
 
 
+_UNIT_SEP = "\u001f"     # never part of a keyword
+
+
 def _lowered(text) -> Column:
     return F.lower(as_col(text))
 
@@ -70,11 +73,13 @@ def keyword_tags(text, words: Sequence[str] = vocab.SKILLS, max_tags: int = voca
     """The first ``max_tags`` words of the list found in the text, in list
     order, joined by ``sep``; the sentinel when none is found."""
     lt = _lowered(text)
-    hits = F.array_compact(F.array(*[
-        F.when(_contains(lt, w.lower(), whole_word), F.lit(w)) for w in words
-    ]))
-    joined = F.array_join(F.slice(hits, 1, max_tags), sep)
-    return F.when(F.size(hits) == 0, F.lit(sentinel)).otherwise(joined)
+    # concat_ws skips the NULLs of words not found; split/slice/array_join are
+    # code-generated, so the lower-cased text is computed once per row (a
+    # higher-order function here would evaluate it once per word)
+    hits = F.concat_ws(_UNIT_SEP, *[F.when(_contains(lt, w.lower(), whole_word), F.lit(w))
+                                   for w in words])
+    first = F.array_join(F.slice(F.split(hits, _UNIT_SEP), 1, max_tags), sep)
+    return F.when(hits == "", F.lit(sentinel)).otherwise(first)
 
 
 def presence_flag(c, sentinel: str = vocab.NOT_STATED) -> Column:

@@ -6,6 +6,8 @@ inside whole-stage codegen on the executors that hold the pages.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,9 +44,23 @@ def strip_tags(c, replacement: str = " ") -> Column:
 
 
 def html_to_text(html) -> Column:
-    """Visible text of a page, text nodes joined by one space."""
+    """Visible text of a page, text nodes joined by one space.
+
+    Tags and whitespace runs are replaced in one regex pass, then entities are
+    decoded.  Entities contain no whitespace, so collapsing first gives the
+    same text; only ``&nbsp;`` decodes to a space, and a page holding it is
+    collapsed once more.
+    """
     body = F.regexp_replace(as_col(html), DROP_BLOCKS, " ")
-    return normalize_ws(decode_entities(strip_tags(body, " ")))
+    spaced = F.regexp_replace(body, f"(?:{TAG}|{vocab.WS})+", " ")
+    decoded = decode_entities(spaced)
+    nbsp = [raw for raw, out in vocab.HTML_ENTITIES if out.isspace()]
+    if nbsp:
+        has_space_entity = functools.reduce(lambda a, b: a | b,
+                                            [spaced.contains(F.lit(e)) for e in nbsp])
+        decoded = F.when(has_space_entity, F.regexp_replace(decoded, vocab.WS + "+", " ")) \
+            .otherwise(decoded)
+    return F.coalesce(F.trim(decoded), F.lit(""))
 
 
 def element_pattern(tag: str) -> str:

@@ -126,3 +126,11 @@ def test_amount_range_drop_fraction(spark):
 def test_parse_date_both_formats(spark, raw, want):
     got = one(spark, text.parse_date("t"), raw)
     assert (str(got) if got is not None else None) == want
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<p>a &nbsp; b</p>", "a b"), ("x&nbsp;&nbsp;y", "x y"), ("&amp;nbsp;", "&nbsp;"),
+    ("<b>a</b>\n\n<i>b</i>", "a b"), ("&lt;b&gt;bold&lt;/b&gt;", "<b>bold</b>"), ("", ""),
+])
+def test_html_to_text_entities_and_spacing(spark, html, want):
+    assert one(spark, text.html_to_text("t"), html) == want
