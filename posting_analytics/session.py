@@ -38,8 +38,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there and it is used as is.  Only when the
-    setting is missing (a bare local test session) is a scratch folder made.
+    A cluster names a shared folder there and it is used as is.  Only a local
+    session without the setting (a bare test session) gets a scratch folder;
+    elsewhere a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="pa-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = tempfile.mkdtemp(prefix="pa-ckpt-")  # local test session only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
