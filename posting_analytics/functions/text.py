@@ -69,11 +69,20 @@ def element_pattern(tag: str) -> str:
     return rf"(?is)<{t}(?:[^>A-Za-z0-9][^>]*)?>.*?</{t}[^>]*>"
 
 
+# Attribute syntax of an <a> start tag: names ignore case, whitespace is the
+# HTML set, and a value is double-quoted, single-quoted or unquoted.
+HTML_WS = r"[ \t\r\n\f]"
+_A_HREF = rf"(?i:<a)(?:{HTML_WS}[^>]*?)?{HTML_WS}(?i:href){HTML_WS}*={HTML_WS}*"
+_UNQUOTED = r"""[^ \t\r\n\f>"']"""
+
+
 def anchor_pattern(href_substring: str) -> str:
-    """Regex for the first ``<a>`` whose double-quoted href contains a substring."""
-    # tag and attribute names ignore case, the href substring does not
+    """Regex for the first ``<a>`` element whose href contains a substring
+    (tag and attribute names ignore case, the substring does not)."""
     sub = regex_escape(href_substring)
-    return rf'(?s)(?i:<a)[^>A-Za-z0-9][^>]*(?i:href)="[^"]*{sub}[^"]*"[^>]*>.*?(?i:</a)[^>]*>'
+    value = ("(?:" + f'"[^"]*{sub}[^"]*"' + "|" + f"'[^']*{sub}[^']*'" + "|"
+             + f"{_UNQUOTED}*{sub}{_UNQUOTED}*" + ")")
+    return rf"(?s){_A_HREF}{value}[^>]*>.*?(?i:</a)[^>]*>"
 
 
 def element_text(html, pattern: str, sentinel: str = vocab.NOT_FOUND) -> Column:
@@ -97,13 +106,20 @@ def anchor_text(html, href_substring: str = vocab.COMPANY_LINK_SUBSTRING,
     return element_text(html, anchor_pattern(href_substring), sentinel)
 
 
-HREF_PATTERN = r'(?is)<a[^>A-Za-z0-9][^>]*?href="([^"]*)"'
+HREF_PATTERN = f"(?s){_A_HREF}(" + '"[^"]*"' + "|" + "'[^']*'" + f"|{_UNQUOTED}+)"
+
+
+def unquote(v) -> Column:
+    """An attribute value without its surrounding quotes."""
+    v = as_col(v)
+    quoted = F.substring(v, 1, 1).isin('"', "'")
+    return F.when(quoted, v.substr(F.lit(2), F.length(v) - 2)).otherwise(v)
 
 
 def hrefs(html) -> Column:
-    """All double-quoted ``href`` values of ``<a>`` tags, entity-decoded."""
+    """All ``href`` values of ``<a>`` tags (any quoting), entity-decoded."""
     found = F.regexp_extract_all(as_col(html), F.lit(HREF_PATTERN), 1)
-    return F.transform(found, lambda h: decode_entities(h))
+    return F.transform(found, lambda h: decode_entities(unquote(h)))
 
 
 POSTED_DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy")

@@ -142,7 +142,8 @@ def _page_location_share() -> str:
 
 
 def _links() -> str:
-    hrefs = f"list_transform(regexp_extract_all(html, {lit(HREF_PATTERN)}, 1), lambda x: {decode('x')})"
+    unq = "CASE WHEN left(x, 1) IN ('\"', '''') THEN substr(x, 2, length(x) - 2) ELSE x END"
+    hrefs = f"list_transform(regexp_extract_all(html, {lit(HREF_PATTERN)}, 1), lambda x: {decode(unq)})"
     return (f"SELECT DISTINCT {lit(vocab.SITE_ROOT)} || h AS url FROM "
             f"(SELECT unnest({hrefs}) AS h FROM pages) WHERE contains(h, {lit(P.PAGE_HREF)})")
 

@@ -134,3 +134,19 @@ def test_parse_date_both_formats(spark, raw, want):
 ])
 def test_html_to_text_entities_and_spacing(spark, html, want):
     assert one(spark, text.html_to_text("t"), html) == want
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<a href='/companies/x'>PT X</a>", "PT X"),
+    ("<A HREF=/companies/y class=c>Y</A>", "Y"),
+    ('<a data-href="/companies/z">Z</a>', vocab.NOT_FOUND),
+    ('<a class="k"\n href = "/companies/w">W</a>', "W"),
+    ('<a href="/Companies/v">V</a>', vocab.NOT_FOUND),
+])
+def test_anchor_quoting_and_attribute_names(spark, html, want):
+    assert one(spark, text.anchor_text("t", "/companies/"), html) == want
+
+
+def test_hrefs_any_quoting(spark):
+    html = """<a href="/a?x=1&amp;y=2">1</a><a href='/b'>2</a><a href=/c>3</a><a data-href="/d">4</a>"""
+    assert one(spark, text.hrefs("t"), html) == ["/a?x=1&y=2", "/b", "/c"]
