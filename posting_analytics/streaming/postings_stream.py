@@ -32,7 +32,12 @@ def read_pages_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet"
 
 
 def postings_stream(pages: DataFrame, cleaned: bool = True, **params) -> DataFrame:
-    """Posting rows (optionally cleaned) for every page of the stream."""
+    """Posting rows (optionally cleaned) for every page of the stream.
+
+    With ``cleaned``, Catalyst evaluates the filtered fields inside the pushed
+    filter and again for the rows kept (see the README); a stream that keeps
+    most pages can write uncleaned rows and clean the written table instead.
+    """
     out = extract.extract_postings(pages, **params)
     return clean.clean_postings(out) if cleaned else out
 
