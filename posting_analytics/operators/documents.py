@@ -45,6 +45,7 @@ def _as_map(entries):
 def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "keyword_category",
                     location: str = "location", education: str = "education_req",
                     flag: str = "has_salary", top_locations: int = 5,
+                    top_categories: int | None = None,
                     generated_at: _dt.datetime | None = None) -> DataFrame:
     """One document per cluster.
 
@@ -53,6 +54,9 @@ def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "ke
     ``pct_gaji_dicantumkan`` (mean of the 0/1 flag in %, 1 decimal), the full
     category count map, the top-``top_locations`` location count map and
     ``generated_at``.  Map entries run by count desc, value asc.
+
+    Categories come from a fixed rule list, so the full category map is
+    small; for a column of many values, ``top_categories`` cuts that map too.
     """
     attrs = {"category": category, "location": location, "education": education}
     counts = _attribute_counts(df, cluster, attrs, flag)
@@ -62,6 +66,7 @@ def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "ke
     w = Window.partitionBy("_c", "attr").orderBy(v.isNull(), F.desc("n"), F.asc("value"))
     ranked = counts.withColumn("_r", F.row_number().over(w))
     r = F.col("_r")
+    cat_kept = F.lit(True) if top_categories is None else (r <= top_categories)
 
     def mode(name):
         return F.max(F.when((a == name) & v.isNotNull() & (r == 1), v))
@@ -73,8 +78,8 @@ def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "ke
         mode("category").alias("kategori_dominan"),
         mode("location").alias("lokasi_dominan"),
         mode("education").alias("pendidikan_dominan"),
-        F.array_sort(F.collect_list(F.when((a == "category") & v.isNotNull(), _entry(n, v))))
-        .alias("_cat"),
+        F.array_sort(F.collect_list(F.when((a == "category") & v.isNotNull() & cat_kept,
+                                           _entry(n, v)))).alias("_cat"),
         F.array_sort(F.collect_list(F.when((a == "location") & v.isNotNull() & (r <= top_locations),
                                            _entry(n, v)))).alias("_loc"),
     )

@@ -41,7 +41,10 @@ def table_profile(df: DataFrame, sentinels: Sequence[str] = DEFAULT_SENTINELS,
     only that column (column pruning), counts its distinct values with a
     map-side partial aggregation and reduces them to one row.  This avoids the
     row expansion that several ``count(DISTINCT ..)`` in one aggregation
-    cause (every row copied once per column).
+    cause (every row copied once per column).  On a columnar source the
+    branches together read each column once; a row-format source (CSV, JSON)
+    is read once per column, so profile a written or cached copy of it, or use
+    ``approx``.
     """
     parts = [_column_profile(df, f.name, f.dataType.simpleString(), sentinels, approx)
              .select(F.lit(f.name).alias("column_name"),

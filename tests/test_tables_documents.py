@@ -73,3 +73,10 @@ def test_top_values_document(spark):
     docs = {r["cluster_id"]: r["t"] for r in documents.top_values_document(df, n=2, generated_at=TS)
             .select("cluster_id", report.map_text(F.col("top_companies")).alias("t")).collect()}
     assert docs == {0: "PT A:2, PT B:1", 1: "PT C:2, PT D:1"}
+
+
+def test_cluster_summary_category_cut(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    text = {r["cluster_id"]: r["t"] for r in documents.cluster_summary(df, top_categories=1, generated_at=TS)
+            .select("cluster_id", report.map_text(F.col("distribusi_kategori")).alias("t")).collect()}
+    assert text == {0: "Software:2", 1: "Analyst:3"}
