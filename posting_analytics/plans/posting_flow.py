@@ -156,6 +156,11 @@ def run(spark: SparkSession, out_dir: str, *, pages: DataFrame | None = None,
         files.write_csv(df, f"{out}/reports/{name}")
         paths[f"report_{name}"] = f"{out}/reports/{name}"
 
+    # k-means needs at least k rows; the count comes from the written table
+    n_cleaned = cleaned.count()
+    if n_cleaned < k:
+        paths["clustering"] = f"skipped: {n_cleaned} cleaned rows for k={k}"
+        return paths
     result = cluster_postings(cleaned, k=k)
     clustered = _write_read(spark, result.clustered, f"{out}/clustered")
     result.extra["features"].unpersist()

@@ -45,3 +45,11 @@ def test_cluster_conf_scales_partitions():
     conf = cluster_conf(4000)
     assert conf["spark.sql.shuffle.partitions"] == "12000"
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_run_on_pages_with_too_few_rows_skips_clustering(spark, scratch):
+    pages = spark.createDataFrame(PAGES, PAGES_SCHEMA)
+    paths = posting_flow.run(spark, os.path.join(scratch, "small"), pages=pages, run_date="2026-06-13")
+    assert paths["clustering"].startswith("skipped: 1 cleaned rows")
+    assert spark.read.parquet(paths["postings"]).count() == 3
+    assert files.read_csv(spark, paths["report_location_share"]).count() == 1
