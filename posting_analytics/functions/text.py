@@ -1,7 +1,7 @@
 """Text and HTML column builders (page-to-row extraction, E1-E4).
 
 All builders return native Spark ``Column`` expressions, so extraction runs
-inside whole-stage codegen on the executors that hold the pages.
+as JVM code on the executors that hold the pages, with no Python workers.
 """
 
 from __future__ import annotations

@@ -14,10 +14,14 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "posting_analytics") -> SparkSession:
+                  app: str = "posting_analytics",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session configured for tests and benchmarks."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
