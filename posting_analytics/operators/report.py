@@ -57,10 +57,21 @@ def value_share(df: DataFrame, key: str, count_col: str = "n", pct_col: str = "p
 def top_k_with_set(df: DataFrame, key: str, set_of: str, k: int = 10,
                    count_col: str = "n", set_col: str = "values") -> DataFrame:
     """A2 + T2: top ``k`` keys by row count, each with the sorted distinct
-    values of another column (ties: key ascending)."""
-    agg = df.groupBy(key).agg(_n().alias(count_col),
-                              F.array_sort(F.collect_set(set_of)).alias(set_col))
-    return agg.orderBy(F.desc(count_col), F.asc(key)).limit(k)
+    values of another column (ties: key ascending).
+
+    Two phases: plain counts per key pick the ``k`` keys, and the value sets
+    are built only for those keys (a semi-join against ``k`` broadcast rows).
+    With a key of many values (company names) no set is built for the keys
+    that are not reported.
+    """
+    top = (df.groupBy(key).agg(_n().alias(count_col))
+           .orderBy(F.desc(count_col), F.asc(key)).limit(k))
+    keys = F.broadcast(top.select(F.col(key).alias("_k")))
+    kept = df.join(keys, df[key].eqNullSafe(keys["_k"]), "left_semi")
+    sets = (kept.groupBy(F.col(key).alias("_k"))
+            .agg(F.array_sort(F.collect_set(set_of)).alias(set_col)))
+    joined = F.broadcast(top).join(sets, F.col(key).eqNullSafe(F.col("_k")), "left")
+    return joined.select(key, count_col, set_col).orderBy(F.desc(count_col), F.asc(key))
 
 
 def label_counts(df: DataFrame, label: Column, label_name: str, count_col: str = "n",

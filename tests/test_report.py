@@ -119,3 +119,10 @@ def test_label_and_pair_counts(spark):
     assert pairs == [("a", "x", 2), ("b", "x", 1)]
     assert [r["p"] for r in report.sorted_distinct(df, "p").collect()] == ["a", "b"]
     assert report.row_count(df).first()["n_rows"] == 4
+
+
+def test_top_k_with_set_null_key(spark):
+    df = spark.createDataFrame([(None, "J"), (None, "B"), (None, "J"), ("PT A", "J")],
+                               "company string, city string")
+    rows = [tuple(r) for r in report.top_k_with_set(df, "company", "city", 2).collect()]
+    assert rows == [(None, 3, ["B", "J"]), ("PT A", 1, ["J"])]
