@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ._util import as_col, regex_escape
 
+# Start and end tags never cross a '<' or '>': a failed attempt stops at the
+# next tag, so matching stays linear on pages full of unclosed tags (a raw '<'
+# inside a quoted attribute value is the case this gives up).
 # Blocks whose content is not page text: script, style, comments, doctype.
 DROP_BLOCKS = (
-    r"(?is)<script(?:[^>A-Za-z0-9][^>]*)?>.*?</script[^>]*>"
-    r"|<style(?:[^>A-Za-z0-9][^>]*)?>.*?</style[^>]*>"
-    r"|<!--.*?-->|<![^>]*>"
+    r"(?is)<script(?:[^<>A-Za-z0-9][^<>]*)?>.*?</script[^<>]*>"
+    r"|<style(?:[^<>A-Za-z0-9][^<>]*)?>.*?</style[^<>]*>"
+    r"|<!--.*?-->|<![^<>]*>"
 )
 # A markup tag: '<' followed by a letter, '/', '!' or '?'.
-TAG = r"<[A-Za-z/!?][^>]*>"
+TAG = r"<[A-Za-z/!?][^<>]*>"
 
 
 def normalize_ws(c) -> Column:
@@ -46,13 +49,15 @@ def strip_tags(c, replacement: str = " ") -> Column:
 def html_to_text(html) -> Column:
     """Visible text of a page, text nodes joined by one space.
 
-    Tags and whitespace runs are replaced in one regex pass, then entities are
+    Tags become spaces, whitespace runs are collapsed, then entities are
     decoded.  Entities contain no whitespace, so collapsing first gives the
     same text; only ``&nbsp;`` decodes to a space, and a page holding it is
-    collapsed once more.
+    collapsed once more.  Each regex repeats a single tag or character class:
+    the JVM engine recurses once per repetition of an alternation group, so
+    ``(?:tag|space)+`` would overflow the stack on a long run of tags.
     """
     body = F.regexp_replace(as_col(html), DROP_BLOCKS, " ")
-    spaced = F.regexp_replace(body, f"(?:{TAG}|{vocab.WS})+", " ")
+    spaced = F.regexp_replace(F.regexp_replace(body, TAG, " "), vocab.WS + "+", " ")
     decoded = decode_entities(spaced)
     nbsp = [raw for raw, out in vocab.HTML_ENTITIES if out.isspace()]
     if nbsp:
@@ -66,23 +71,26 @@ def html_to_text(html) -> Column:
 def element_pattern(tag: str) -> str:
     """Regex for the first ``<tag ...>...</tag>`` element (tag included)."""
     t = regex_escape(tag)
-    return rf"(?is)<{t}(?:[^>A-Za-z0-9][^>]*)?>.*?</{t}[^>]*>"
+    return rf"(?is)<{t}(?:[^<>A-Za-z0-9][^<>]*)?>.*?</{t}[^<>]*>"
 
 
 # Attribute syntax of an <a> start tag: names ignore case, whitespace is the
-# HTML set, and a value is double-quoted, single-quoted or unquoted.
+# HTML set, and a value is double-quoted, single-quoted or unquoted (and, like
+# every tag above, never crosses a '<' or '>').
 HTML_WS = r"[ \t\r\n\f]"
-_A_HREF = rf"(?i:<a)(?:{HTML_WS}[^>]*?)?{HTML_WS}(?i:href){HTML_WS}*={HTML_WS}*"
-_UNQUOTED = r"""[^ \t\r\n\f>"']"""
+_A_HREF = rf"(?i:<a)(?:{HTML_WS}[^<>]*?)?{HTML_WS}(?i:href){HTML_WS}*={HTML_WS}*"
+_UNQUOTED = r"""[^ \t\r\n\f<>"']"""
+_DQ = r'[^"<>]'
+_SQ = r"[^'<>]"
 
 
 def anchor_pattern(href_substring: str) -> str:
     """Regex for the first ``<a>`` element whose href contains a substring
     (tag and attribute names ignore case, the substring does not)."""
     sub = regex_escape(href_substring)
-    value = ("(?:" + f'"[^"]*{sub}[^"]*"' + "|" + f"'[^']*{sub}[^']*'" + "|"
+    value = ("(?:" + f'"{_DQ}*{sub}{_DQ}*"' + "|" + f"'{_SQ}*{sub}{_SQ}*'" + "|"
              + f"{_UNQUOTED}*{sub}{_UNQUOTED}*" + ")")
-    return rf"(?s){_A_HREF}{value}[^>]*>.*?(?i:</a)[^>]*>"
+    return rf"(?s){_A_HREF}{value}[^<>]*>.*?(?i:</a)[^<>]*>"
 
 
 def element_text(html, pattern: str, sentinel: str = vocab.NOT_FOUND) -> Column:
@@ -106,7 +114,7 @@ def anchor_text(html, href_substring: str = vocab.COMPANY_LINK_SUBSTRING,
     return element_text(html, anchor_pattern(href_substring), sentinel)
 
 
-HREF_PATTERN = f"(?s){_A_HREF}(" + '"[^"]*"' + "|" + "'[^']*'" + f"|{_UNQUOTED}+)"
+HREF_PATTERN = f"(?s){_A_HREF}(" + f'"{_DQ}*"' + "|" + f"'{_SQ}*'" + f"|{_UNQUOTED}+)"
 
 
 def unquote(v) -> Column:
