@@ -78,6 +78,18 @@ def amount_range(spark, sf_dir):
     return d.select("doc_id", money.amount_range("text", P.DOC_AMOUNT_PATTERN).alias("amount_range"))
 
 
+def amount_range_no_fraction(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", money.amount_range("text", P.DOC_AMOUNT_PATTERN, drop_fraction=True)
+                    .alias("amount_range"))
+
+
+def keyword_tags_whole_word(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", match.keyword_tags("text", P.DOC_TAG_WORDS, whole_word=True)
+                    .alias("tags"))
+
+
 def money_format(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     price_text = F.concat(F.lit("IDR "), F.floor("o_totalprice").cast("bigint").cast("string"))
@@ -398,8 +410,10 @@ QUERIES: dict[str, Query] = {
     "flag_text": flag_text,
     "regex_first": regex_first,
     "amount_range": amount_range,
+    "amount_range_no_fraction": amount_range_no_fraction,
     "money_format": money_format,
     "keyword_tags": keyword_tags,
+    "keyword_tags_whole_word": keyword_tags_whole_word,
     "keyword_label": keyword_label,
     "const_columns": const_columns,
     "link_discovery": link_discovery,

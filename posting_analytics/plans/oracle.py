@@ -55,9 +55,16 @@ def regex_first(t: str, pattern: str, sentinel: str = vocab.NOT_FOUND) -> str:
     return f"coalesce(nullif(regexp_extract({t}, {lit(pattern)}, 0), ''), {lit(sentinel)})"
 
 
-def keyword_tags(t: str, words, k: int = vocab.MAX_SKILLS, sentinel: str = vocab.NOT_FOUND) -> str:
-    items = ", ".join(f"CASE WHEN contains(lower({t}), {lit(w.lower())}) THEN {lit(w)} END"
-                      for w in words)
+def _word_hit(t: str, w: str, whole_word: bool) -> str:
+    if not whole_word:
+        return f"contains(lower({t}), {lit(w.lower())})"
+    esc = "".join("\\" + ch if ch in ".^$|?*+()[]{}\\/" else ch for ch in w.lower())
+    return f"regexp_matches(lower({t}), {lit('(^|[^a-z0-9_])' + esc + '($|[^a-z0-9_])')})"
+
+
+def keyword_tags(t: str, words, k: int = vocab.MAX_SKILLS, sentinel: str = vocab.NOT_FOUND,
+                 whole_word: bool = False) -> str:
+    items = ", ".join(f"CASE WHEN {_word_hit(t, w, whole_word)} THEN {lit(w)} END" for w in words)
     hits = f"list_filter([{items}], lambda x: x IS NOT NULL)"
     return (f"CASE WHEN len({hits}) = 0 THEN {lit(sentinel)} "
             f"ELSE array_to_string(({hits})[1:{k}], ', ') END")
@@ -78,8 +85,10 @@ def money_format(t: str) -> str:
 
 
 def amount_range(t: str, pattern: str, min_digits: int = vocab.SALARY_MIN_DIGITS,
-                 sentinel: str = vocab.NOT_STATED) -> str:
+                 sentinel: str = vocab.NOT_STATED, drop_fraction: bool = False) -> str:
     found = f"regexp_extract_all(coalesce({t}, ''), {lit(pattern)}, 0)"
+    if drop_fraction:
+        found = f"list_transform({found}, lambda m: regexp_replace(m, ',[0-9]+$', ''))"
     digits = f"list_transform({found}, lambda x: regexp_replace(x, '[^0-9]', '', 'g'))"
     kept = f"list_filter({digits}, lambda d: length(d) >= {min_digits})"
     canon_l = f"list_transform({kept}, lambda d: {canon('d')})"
@@ -247,6 +256,11 @@ def oracle_sql() -> dict[str, str]:
                         f"{regex_first('text', vocab.EDUCATION_PATTERN)} AS first_grade FROM documents"),
         "amount_range": (f"SELECT doc_id, {amount_range('text', P.DOC_AMOUNT_PATTERN)} AS amount_range "
                          f"FROM documents"),
+        "amount_range_no_fraction": (
+            f"SELECT doc_id, {amount_range('text', P.DOC_AMOUNT_PATTERN, drop_fraction=True)} "
+            f"AS amount_range FROM documents"),
+        "keyword_tags_whole_word": (f"SELECT doc_id, {keyword_tags('text', P.DOC_TAG_WORDS, whole_word=True)} "
+                                    f"AS tags FROM documents"),
         "money_format": (f"SELECT o_orderkey, {money_format(chr(39) + 'IDR ' + chr(39) + ' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)')} "
                          f"AS price_text FROM orders"),
         "keyword_tags": f"SELECT doc_id, {keyword_tags('text', P.DOC_TAG_WORDS)} AS tags FROM documents",
