@@ -8,6 +8,8 @@ text is cut to keep the file readable.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -49,7 +51,10 @@ def main(argv):
     for name in SHOW:
         df = Q.QUERIES[name](spark, sf_dir)
         df.collect()
-        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        plan = buf.getvalue()
         parts += [f"## {name}", "", "```", tree(plan), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"),
               "w", encoding="utf-8") as f:

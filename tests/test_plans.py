@@ -1,5 +1,7 @@
 """Physical-plan checks: the plans we want at scale, not just right answers."""
 
+import contextlib
+import io
 import re
 
 import pytest
@@ -12,8 +14,11 @@ SF = "/root/testdata/sf0.001"
 
 
 def plan(df):
-    """The formatted physical plan (what ``explain("formatted")`` prints)."""
-    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    """The formatted physical plan, as ``explain("formatted")`` prints it."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
 
 
 def test_semijoin_broadcasts_k_rows(spark):
