@@ -24,15 +24,22 @@ def kmeans(k: int = 4, seed: int = 42, max_iter: int = 50, features_col: str = "
 
 def elbow(df: DataFrame, ks: Iterable[int] = range(2, 8), seed: int = 42, max_iter: int = 20,
           features_col: str = "features", digits: int = 2) -> DataFrame:
-    """M5: training cost (WSSSE) for each k, as ``(k, wssse)``."""
-    feats = df.select(features_col).persist(StorageLevel.MEMORY_AND_DISK)
+    """M5: training cost (WSSSE) for each k, as ``(k, wssse)``.
+
+    The features are cached for the sweep unless the input already is.
+    """
+    cached = df.storageLevel != StorageLevel.NONE
+    feats = df.select(features_col)
+    if not cached:
+        feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = []
         for k in ks:
             model = kmeans(k, seed, max_iter, features_col).fit(feats)
             rows.append((int(k), round(float(model.summary.trainingCost), digits)))
     finally:
-        feats.unpersist()
+        if not cached:
+            feats.unpersist()
     spark = SparkSession.getActiveSession() or df.sparkSession
     return spark.createDataFrame(rows, "k int, wssse double")
 
