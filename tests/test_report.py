@@ -126,3 +126,11 @@ def test_top_k_with_set_null_key(spark):
                                "company string, city string")
     rows = [tuple(r) for r in report.top_k_with_set(df, "company", "city", 2).collect()]
     assert rows == [(None, 3, ["B", "J"]), ("PT A", 1, ["J"])]
+
+
+def test_flag_rate(skewed):
+    df, pdf = skewed
+    got = {r["g"]: (r["hits"], r["total"], r["pct"]) for r in report.flag_rate(df, "g", "flag").collect()}
+    for g, sub in pdf.groupby("g"):
+        hits = int(sub["flag"].sum())
+        assert got[g] == (hits, len(sub), half_up(Decimal(hits) * 100 / Decimal(len(sub)), 1))
