@@ -134,3 +134,14 @@ def test_flag_rate(skewed):
     for g, sub in pdf.groupby("g"):
         hits = int(sub["flag"].sum())
         assert got[g] == (hits, len(sub), half_up(Decimal(hits) * 100 / Decimal(len(sub)), 1))
+
+
+def test_approx_distinct_counts_close_to_exact(spark):
+    from posting_analytics.sources import profile
+    df = spark.range(20000).select((F.col("id") % 1000).alias("k"), (F.col("id") % 7).alias("s"))
+    exact = report.distinct_counts(df, ["k", "s"]).first()
+    approx = report.distinct_counts(df, ["k", "s"], approx=True).first()
+    assert tuple(exact) == (1000, 7)
+    assert abs(approx["n_distinct_k"] - 1000) <= 50 and approx["n_distinct_s"] == 7
+    prof = {r["column_name"]: r for r in profile.table_profile(df, approx=True).collect()}
+    assert prof["k"]["n_rows"] == 20000 and abs(prof["k"]["n_distinct"] - 1000) <= 50
