@@ -55,3 +55,20 @@ def test_safe_number_flags_overflow(spark):
     value, err = extract.safe_number(F.col("t"))
     got = [(r["v"], r["e"]) for r in df.select(value.alias("v"), err.alias("e")).collect()]
     assert got == [(1234567, 0), (None, 1), (None, 0)]
+
+
+def test_extraction_options(spark):
+    html = ("<h1>Dev</h1><p>JavaScript work near Bandungan, Jakarta. Gaji Rp 7.500.000,00. "
+            "Minimal 2 years.</p>")
+    df = spark.createDataFrame([(1, "u", html)], PAGES_SCHEMA)
+    default = extract.extract_postings(df, run_date="2026-06-13").first()
+    assert default["job_requirements"] == "Java, JavaScript"     # substring semantics
+    assert default["location"] == "Jakarta"
+    assert default["salary_range"] == "Rp. 750.000.000"
+    opts = extract.extract_postings(df, run_date="2026-06-13", whole_word=True, drop_fraction=True,
+                                    cities=["bandung", "jakarta"],
+                                    experience_pattern=r"[0-9]+ years").first()
+    assert opts["job_requirements"] == "JavaScript"
+    assert opts["location"] == "Jakarta"                           # "Bandungan" is not the word
+    assert opts["salary_range"] == "Rp. 7.500.000"
+    assert opts["experience_level"] == "2 years"
