@@ -62,3 +62,17 @@ def test_stream_restart_processes_only_new_files(spark, scratch):
                             run_date="2026-06-13").awaitTermination(120)
     ids = sorted(r["page_id"] for r in spark.read.parquet(out).collect())
     assert ids == [1, 2, 11, 12, 14]      # page 13 has no HTML; nothing is processed twice
+
+
+def test_stream_max_files_per_trigger(spark, scratch):
+    src = os.path.join(scratch, "pages4")
+    for i, part in enumerate((PAGES[:2], PAGES[2:])):
+        spark.createDataFrame(part, PAGES_SCHEMA).write.parquet(os.path.join(src, f"batch={i}"))
+    rows = S.postings_stream(S.read_pages_stream(spark, src, max_files_per_trigger=1),
+                             cleaned=False, run_date="2026-06-13")
+    q = rows.writeStream.format("memory").queryName("pa_stream_batches").start()
+    q.processAllAvailable()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    q.stop()
+    assert len(batches) >= 2
+    assert sorted(r["page_id"] for r in spark.sql("SELECT page_id FROM pa_stream_batches").collect()) == [1, 2, 4]
