@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (chat_template, decontam_tiling, html_crf, license_index, mixing, ngram_join,
-               quality_cnn, sharding, topk_search)
+from . import (chat_template, decontam_tiling, html_crf, kneser_ney, license_index, mixing,
+               ngram_join, quality_cnn, sharding, topk_search)
 from .common import ship_code
 
 
@@ -28,6 +28,13 @@ def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.score_quality(docs, quality_cnn.fit_quality(docs, labels))
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document by the modified Kneser-Ney model of the training fold."""
+    docs = _table(spark, sf_dir, "documents")
+    return kneser_ney.score_corpus(docs, quality_cnn.fold_of(F.col("doc_id"), 7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select(
@@ -71,9 +78,9 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk_search, op2_quality_cnn, op4_source_mixing, op5_html_crf,
-                            op6_license_index, op7_decontam_tiling, op8_shard_tree, op9_chat_template,
-                            op10_ngram_join)
+    f.__name__: f for f in (op1_topk_search, op2_quality_cnn, op3_kneser_ney, op4_source_mixing,
+                            op5_html_crf, op6_license_index, op7_decontam_tiling, op8_shard_tree,
+                            op9_chat_template, op10_ngram_join)
 }
 
 #: Queries that SQL can express.
