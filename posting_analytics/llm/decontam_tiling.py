@@ -39,7 +39,7 @@ class Block:
         self.words = [w for _, w in items]
         seeds, owner, place = [], [], []
         for n, w in enumerate(self.words):
-            h, _ = B.shingles(w, np.array([0, len(w)]), min_match)
+            h, _ = B.shingles(w, np.array([0, len(w)]), min(min_match, len(w)))
             seeds.append(h)
             owner.append(np.full(len(h), n))
             place.append(np.arange(len(h)))

@@ -45,7 +45,7 @@ def chunks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(data):
         return np.full(inside.shape, _PAD, np.int16), first
     source = np.where(inside, at + off[doc][:, None], 0)
-    return np.where(inside, data[source], _PAD).astype(np.int16), first
+    return np.where(inside, data[source].astype(np.int16), np.int16(_PAD)), first
 
 
 class Network:

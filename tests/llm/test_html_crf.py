@@ -1,0 +1,85 @@
+import pytest
+
+from posting_analytics.llm import html_crf as H
+
+
+@pytest.fixture(scope="module")
+def crf():
+    return H.trained()
+
+
+def test_held_out_pages(crf):
+    right = total = 0
+    for html, article in H.labelled_pages(200, seed=77):
+        page, gold = H.label(html, article)
+        guess = crf.decode(page)
+        right += sum(a == b for a, b in zip(gold, guess))
+        total += len(gold)
+    assert right >= 0.985 * total
+
+
+PAGE = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body>"
+        "<header><h1>Site name</h1></header><nav><ul><li><a href='/a'>One</a></li><li><a href='/b'>Two</a></li></ul></nav>"
+        "<div class='cookie-banner'>We use cookies to improve things.</div>"
+        "<article><h1>Head &amp; line</h1><p>First&nbsp;para <b>bold</b>\n\t text &#8211; &eacute;&#x27;s.</p>"
+        "<p>Second 1 < 2 &copy <a href='x' title='a > b'>link</a> end."
+        "<p>Third<br>line</article><aside><h3>Related</h3><ul><li><a href=x>More</a></li></ul></aside>"
+        "<form><label>Name</label><input name=q><button>Send</button></form>"
+        "<div class='comments'><h3>Comments</h3><p>I liked this text.</p></div>"
+        "<footer>&copy; example.com &middot; all rights</footer></body></html>")
+
+
+def test_a_page_with_every_part(crf):
+    assert crf.extract(PAGE) == ("Head & line\nFirst para bold text – é's.\nSecond 1 < 2 © link end.\nThird\nline")
+
+
+@pytest.mark.parametrize("cut", range(0, len(PAGE), 37))
+def test_cut_off_pages_do_not_crash(crf, cut):
+    crf.extract(PAGE[:cut])
+
+
+@pytest.mark.parametrize("html,texts", [
+    ("", []), ("plain", ["plain"]), ("<", ["<"]), ("<p>a<p>b", ["a", "b"]), ("a<!-- <p>x", ["a"]),
+    ("<p>a<script>if (1<2) {}", ["a"]), ("x</b></p>y", ["x", "y"]), ("<div>a<span>b</span>c</div>d", ["abc", "d"]),
+    ("<ul><li>a<li>b</ul>", ["a", "b"]), ("<p title=\"x", []), ("&lt;p&gt; &amp;amp;", ["<p> &amp;"]),
+    ("<textarea>no</textarea>a", ["a"]), ("<SCRIPT>x</Script >b", ["b"]), ("a\x0b\x0c b", ["a b"]),
+])
+def test_leaf_blocks(html, texts):
+    assert [b.text for b in H.blocks(html)] == texts
+
+
+def test_paths_of_unclosed_markup():
+    page = H.blocks('<nav class="Main menu"><p><b>x<br><p>y</nav><article>z')
+    assert [(b.text, b.path) for b in page] == [
+        ("x", ("nav main menu", "p", "b")), ("y", ("nav main menu", "p")), ("z", ("article",))]
+
+
+def test_viterbi_is_the_best_of_all_labelings(crf):
+    import itertools
+    page = H.blocks(PAGE)[:9]
+
+    def total(labels):
+        s = crf.start[labels[0]]
+        for i, (b, y) in enumerate(zip(page, labels)):
+            s += crf._sum(H.path_features(b.path))[y] + crf._sum(H.text_features(b, i, len(page)))[y]
+            s += crf.pair[labels[i - 1], y] if i else 0
+        return s
+
+    best = max(itertools.product((0, 1), repeat=len(page)), key=total)
+    assert crf.decode(page) == list(best)
+
+
+def test_large_hostile_pages_end_soon(crf):
+    for html in ("<" * 200_000, "<a '" * 50_000, "<!--" * 50_000, "&" * 200_000, "<div>" * 3000 + "x", "<p>" * 100_000):
+        crf.extract(html)
+
+
+def test_query_cases(llm, crf):
+    rows = [(1, "u", PAGE, 5), (2, None, None, 5), (3, "u", "", 5), (1, "u", PAGE, 5), (None, "u", "<article><p>é𝄞 x</p></article>", 5)]
+    got = H.extract_main_text(llm.createDataFrame(rows, "page_id long, url string, html string, n_chars int"), crf).collect()
+    assert len(got) == 5
+    by = [(r["page_id"], r["text"]) for r in got]
+    assert by.count((1, crf.extract(PAGE))) == 2 and (2, "") in by and (3, "") in by
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+    empty = llm.createDataFrame([], "page_id long, url string, html string")
+    assert H.extract_main_text(empty, crf).collect() == []

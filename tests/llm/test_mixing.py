@@ -1,0 +1,115 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from posting_analytics.llm import mixing as M
+
+from .conftest import space_words
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
+    """Share by weight, cap, share the excess again, until none is above."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    t = {s: 0.0 for s in names}
+    left, open_ = share * sum(sizes.values()), list(names)
+    while left > 1e-9 and open_:
+        total = sum(w[s] for s in open_)
+        for s in open_:
+            t[s] += left * w[s] / total
+        left = 0.0
+        for s in list(open_):
+            if t[s] >= cap * sizes[s]:
+                left += t[s] - cap * sizes[s]
+                t[s] = cap * sizes[s]
+                open_.remove(s)
+    return t
+
+
+def random_rows(n, seed):
+    rng = random.Random(seed)
+    sources = ["b", "a", "ü", "Z", None, "hot", "hot", "hot"]
+    return [(i, " ".join(["w"] * rng.randint(0, 60)) if rng.random() > 0.05 else None, rng.choice(sources)) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_targets_and_taken(docs_of, seed):
+    rows = random_rows(300, seed)
+    got = M.mix_sources(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    size = {i: len(space_words(t)) for i, t, _ in rows}
+    sizes = {}
+    for i, _, s in rows:
+        sizes[s] = sizes.get(s, 0) + size[i]
+    want, taken = targets(sizes), {s: 0 for s in sizes}
+    for r in got:
+        assert r["size"] == size[r["doc_id"]] and r["source_size"] == sizes[r["source"]]
+        assert abs(r["target"] - want[r["source"]]) < 1e-6
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        assert r["epochs"] * r["size"] <= r["taken"] <= (r["epochs"] + 1) * r["size"]
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 0.5 + 1e-6 for s in sizes)
+    again = M.mix_sources(docs_of(rows).repartition(5)).collect()
+    assert sorted((r["doc_id"], r["taken"]) for r in got) == sorted((r["doc_id"], r["taken"]) for r in again)
+
+
+def test_better_documents_come_first(docs_of):
+    rows = [(i, "word " * 20 if i % 2 else "w$$$ " * 20, "s0") for i in range(2000)]
+    rows += [(10_000 + i, "word " * 20, "s1") for i in range(2000)]
+    got = M.mix_sources(docs_of(rows), weights=(1, 3), total_share=0.6, most_epochs=1).collect()
+    good = sum(r["taken"] for r in got if r["source"] == "s0" and r["doc_id"] % 2)
+    bad = sum(r["taken"] for r in got if r["source"] == "s0" and not r["doc_id"] % 2)
+    assert good > 1.3 * bad
+
+
+def test_range_cut_equals_a_plain_prefix_sum(docs_of):
+    """Few key ranges and many give the same selection."""
+    rows = random_rows(200, 9)
+    a, b = (sorted((r["doc_id"], r["taken"]) for r in M.mix_sources(docs_of(rows), key_buckets=n).collect())
+            for n in (1, 5000))
+    assert a == b
+
+
+def test_mixed_documents_are_whole_and_repeated(docs_of):
+    rows = random_rows(150, 5)
+    docs = docs_of(rows)
+    taken = {r["doc_id"]: r for r in M.mix_sources(docs).collect()}
+    mixed = M.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    copies = {}
+    for r in mixed.collect():
+        assert (r["doc_id"], r["text"], r["source"]) in rows
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+    for i, r in taken.items():
+        if r["size"]:
+            assert copies.get(i, 0) == -(-r["taken"] // r["size"])
+
+
+def test_ties_repeated_rows_and_empty(docs_of):
+    rows = [(1, "a b c", "s")] * 10 + [(2, None, None), (3, "", "s"), (None, "x y", "s")]
+    got = M.mix_sources(docs_of(rows)).collect()
+    assert len(got) == 13
+    assert abs(sum(r["taken"] for r in got) - 1.5 * 32) <= 1
+    assert M.mix_sources(docs_of([])).collect() == []
+    assert M.mixed_documents(docs_of([])).collect() == []
+    only = M.mix_sources(docs_of([(1, None, "a"), (2, "", "b")])).collect()
+    assert {(r["taken"], r["target"]) for r in only} == {(0, 0.0)}
+
+
+def test_many_sources_without_broadcast(docs_of, monkeypatch):
+    rows = random_rows(80, 3)
+    want = sorted((r["doc_id"], r["taken"]) for r in M.mix_sources(docs_of(rows)).collect())
+    monkeypatch.setattr(M, "BROADCAST_SOURCES", 0)
+    assert sorted((r["doc_id"], r["taken"]) for r in M.mix_sources(docs_of(rows)).collect()) == want
+
+
+def test_only_dataframe_functions(docs_of):
+    plan = M.mix_sources(docs_of(random_rows(20, 1)))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_payload_quality_column(docs_of):
+    docs = docs_of([(i, "a b c d", "s") for i in range(40)])
+    got = M.mix_sources(docs, quality=F.lit(1.0), total_share=0.5).collect()
+    assert sum(r["taken"] for r in got) == 80
