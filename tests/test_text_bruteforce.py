@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+import text_rules as rules
 from pyspark.sql import functions as F
 
 from posting_analytics import vocab
@@ -16,44 +17,13 @@ DOCS = "/root/testdata/sf0.01/documents.parquet"
 pytestmark = pytest.mark.skipif(not os.path.exists(DOCS), reason="test tables not present")
 
 
-def py_normalize(s):
-    return re.sub(r"\s+", " ", s.strip()) if s else ""
-
-
-def py_first(s, words):
-    low = s.lower()
-    return next((w.title() for w in words if w in low), vocab.NOT_FOUND)
-
-
-def py_tags(s, words, k=5):
-    low = s.lower()
-    hits = [w for w in words if w.lower() in low]
-    return ", ".join(hits[:k]) if hits else vocab.NOT_FOUND
-
-
-def py_label(s, rules):
-    low = s.lower()
-    return next((label for key, label in rules if key in low), vocab.NOT_FOUND)
-
-
-def py_money(n):
-    return "Rp. " + f"{n:,}".replace(",", ".")
-
-
-def py_amounts(s, pattern):
-    values = {int(d) for d in (re.sub(r"[^0-9]", "", m) for m in re.findall(pattern, s))
-              if len(d) >= vocab.SALARY_MIN_DIGITS}
-    ordered = sorted(values)
-    if not ordered:
-        return vocab.NOT_STATED
-    if len(ordered) == 1:
-        return py_money(ordered[0])
-    return f"{py_money(ordered[0])} - {py_money(ordered[-1])}"
-
-
-def py_regex(s, pattern):
-    m = re.search(pattern, s)
-    return m.group() if m else vocab.NOT_FOUND
+def first_in_text(pattern, s):
+    """The earliest match, found by trying every start."""
+    for start in range(len(s)):
+        m = re.compile(pattern).match(s, start)
+        if m and m.group():
+            return m.group()
+    return vocab.NOT_FOUND
 
 
 @pytest.fixture(scope="module")
@@ -75,13 +45,13 @@ def test_documents_against_python(docs):
     assert len(docs) > 0
     for r in docs:
         s = r["text"]
-        assert r["norm"] == py_normalize(s), r["doc_id"]
-        assert r["first"] == py_first(s, P.DOC_FIRST_WORDS), r["doc_id"]
-        assert r["tags"] == py_tags(s, P.DOC_TAG_WORDS), r["doc_id"]
-        assert r["label"] == py_label(s, P.DOC_LABELS), r["doc_id"]
-        assert r["amounts"] == py_amounts(s, P.DOC_AMOUNT_PATTERN), r["doc_id"]
-        assert r["ref"] == py_regex(s, P.DOC_REF_PATTERN), r["doc_id"]
-        assert r["grade"] == py_regex(s, vocab.EDUCATION_PATTERN), r["doc_id"]
+        assert r["norm"] == rules.one_space(s), r["doc_id"]
+        assert r["first"] == rules.first_rule(s, [(w, w.title()) for w in P.DOC_FIRST_WORDS]), r["doc_id"]
+        assert r["tags"] == rules.listed_words(s, P.DOC_TAG_WORDS), r["doc_id"]
+        assert r["label"] == rules.first_rule(s, P.DOC_LABELS), r["doc_id"]
+        assert r["amounts"] == rules.amount_range(rules.AmountScanner(s, dot_first=False).amounts()), r["doc_id"]
+        assert r["ref"] == first_in_text(P.DOC_REF_PATTERN, s), r["doc_id"]
+        assert r["grade"] == first_in_text(vocab.EDUCATION_PATTERN, s), r["doc_id"]
 
 
 def test_every_python_whitespace_collapses(spark):
