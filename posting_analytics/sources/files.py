@@ -30,13 +30,27 @@ CLUSTERED_SCHEMA = T.StructType(
        T.StructField("cluster", T.IntegerType(), True)])
 
 
+#: The dialect of both sides: fields quoted with ``"``, a quote inside doubled, spaces kept;
+#: NULL is an empty field and the empty string a quoted empty field.
+_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false"}
+#: The reader puts ``nullValue`` for an unquoted empty field and turns it into NULL; a value
+#: that no text holds keeps quoted empty strings apart.
+_READ = {**_DIALECT, "nullValue": "\u0000", "emptyValue": ""}
+_WRITE = {**_DIALECT, "nullValue": "", "emptyValue": '""'}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             encoding: str = "utf-8", header: bool = True) -> DataFrame:
+             encoding: str = "utf-8", header: bool = True, multiline: bool = True) -> DataFrame:
     """CSV with a header row; a UTF-8 byte-order mark is accepted.
 
-    Without ``schema`` every column is read as string (no inference pass).
+    Quoted fields may hold line breaks, doubled quotes and separators.  A file
+    is then one split; ``multiline=False`` lets large files be split where no
+    field holds a line break.  Without ``schema`` every column is read as
+    string (no inference pass).
     """
-    reader = spark.read.option("header", header).option("encoding", encoding)
+    reader = (spark.read.options(**_READ).option("header", header)
+              .option("encoding", encoding).option("multiLine", multiline))
     if schema is None:
         reader = reader.option("inferSchema", False)
     else:
@@ -59,8 +73,15 @@ def flatten_for_text(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header, nested columns flattened to JSON text."""
-    flatten_for_text(df).write.mode(mode).option("header", True).csv(path)
+    """CSV with a header, nested columns flattened to JSON text.
+
+    ``read_csv`` gives every value back: line breaks, quotes, edge spaces,
+    empty strings and NULLs.  A single nullable column is refused: its NULL
+    would be a blank line, which no reader keeps.
+    """
+    if len(df.columns) == 1 and df.schema.fields[0].nullable:
+        raise ValueError("a CSV of one nullable column cannot hold NULL")
+    flatten_for_text(df).write.mode(mode).options(**_WRITE).option("header", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

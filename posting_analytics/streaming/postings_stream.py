@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clean, extract
-from ..session import scratch_path
 
 PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType(), True),
@@ -32,27 +31,44 @@ def read_pages_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet"
 
 
 def postings_stream(pages: DataFrame, cleaned: bool = True, **params) -> DataFrame:
-    """Posting rows (optionally cleaned) for every page of the stream.
-
-    With ``cleaned``, Catalyst evaluates the filtered fields inside the pushed
-    filter and again for the rows kept (see the README); a stream that keeps
-    most pages can write uncleaned rows and clean the written table instead.
-    """
+    """Posting rows (optionally cleaned) for every page of the stream."""
     out = extract.extract_postings(pages, **params)
     return clean.clean_postings(out) if cleaned else out
 
 
+def _start(rows: DataFrame, out_dir: str, checkpoint: str, fmt: str,
+           available_now: bool) -> StreamingQuery:
+    writer = (rows.writeStream.format(fmt).option("checkpointLocation", checkpoint)
+              .outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start(out_dir)
+
+
+def default_checkpoint(out_dir: str) -> str:
+    """The checkpoint that belongs to an output folder: readers skip its name."""
+    return f"{out_dir.rstrip('/')}/_checkpoint"
+
+
 def start_postings_stream(spark: SparkSession, source_dir: str, out_dir: str,
                           checkpoint: str | None = None, available_now: bool = True,
-                          fmt: str = "parquet", **params) -> StreamingQuery:
-    """Write cleaned postings of newly arriving pages to ``out_dir``.
+                          fmt: str = "parquet", source_fmt: str = "parquet",
+                          max_files_per_trigger: int | None = None, **params) -> StreamingQuery:
+    """Write postings of newly arriving pages to ``out_dir`` (cleaned unless ``cleaned=False``).
 
-    The checkpoint lives in the shared checkpoint folder unless given, so a
-    restarted query resumes where it stopped (exactly-once file sink).
+    The checkpoint stands in the output folder unless given, so a query that
+    is started again on the same folder goes on where it stopped: files that
+    came meanwhile are read, files already read are not (exactly-once sink).
     """
-    rows = postings_stream(read_pages_stream(spark, source_dir), **params)
-    writer = (rows.writeStream.format(fmt)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "postings-stream"))
-              .outputMode("append"))
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start(out_dir)
+    pages = read_pages_stream(spark, source_dir, source_fmt, max_files_per_trigger)
+    return _start(postings_stream(pages, **params), out_dir,
+                  checkpoint or default_checkpoint(out_dir), fmt, available_now)
+
+
+def start_rejects_stream(spark: SparkSession, source_dir: str, out_dir: str,
+                         checkpoint: str | None = None, available_now: bool = True,
+                         fmt: str = "parquet", source_fmt: str = "parquet",
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Write the pages that give no posting row to ``out_dir``, with the reason."""
+    pages = read_pages_stream(spark, source_dir, source_fmt, max_files_per_trigger)
+    return _start(extract.rejected_pages(pages), out_dir,
+                  checkpoint or default_checkpoint(out_dir), fmt, available_now)
