@@ -14,3 +14,11 @@ def as_col(c) -> Column:
 def regex_escape(text: str) -> str:
     """Escape a literal for both the JVM regex engine and RE2."""
     return "".join("\\" + ch if ch in _REGEX_SPECIAL else ch for ch in text)
+
+
+def require_columns(df, cols) -> list[str]:
+    """The column names, all of which the frame must have."""
+    unknown = [c for c in cols if c not in df.columns]
+    if unknown:
+        raise ValueError(f"no such columns: {unknown}; the frame has {df.columns}")
+    return list(cols)

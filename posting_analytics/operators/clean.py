@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import match
+from ..functions._util import require_columns
 from ..functions.numeric import percent
 
 
@@ -25,9 +26,9 @@ def require_present(df: DataFrame, cols: Sequence[str] = ("job_title", "company_
 
 
 def fill_missing(df: DataFrame, values: Mapping[str, str] = vocab.FILL_DEFAULTS) -> DataFrame:
-    """Per-column NULL fill."""
-    present = {k: v for k, v in values.items() if k in df.columns}
-    return df.na.fill(present) if present else df
+    """Per-column NULL fill (an unknown column is an error)."""
+    require_columns(df, values)
+    return df.na.fill(dict(values)) if values else df
 
 
 def require_complete(df: DataFrame, sentinels: Mapping[str, str]) -> DataFrame:

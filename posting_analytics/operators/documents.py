@@ -1,11 +1,10 @@
 """Nested summary documents.
 
-The cluster summary reads its input once: the attribute columns are
-unpivoted into ``(cluster, attribute, value)`` and counted by one aggregation
-(with a map-side partial count); the values are ranked inside each
-``(cluster, attribute)`` on that small count table, and one more aggregation
-per cluster builds every field of the document.  Collected lists hold at most
-one entry per distinct value (the top-n map at most n), never input rows.
+Every attribute is counted per ``(cluster, value)`` with a map-side partial
+count.  Modes are a minimum over those counts; the entries of a count map are
+cut to the wanted number by a window whose limit Spark applies before the
+shuffle, so no task holds all values of a cluster and no list holds more
+entries than its map.
 """
 
 from __future__ import annotations
@@ -17,19 +16,29 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
 
-_ALL = "__rows__"
-_FLAG = "__flag__"
+def _value_counts(df: DataFrame, cluster: str, col: str) -> DataFrame:
+    """Rows per ``(cluster, value)``; NULL values are not counted."""
+    return (df.filter(F.col(col).isNotNull())
+            .groupBy(F.col(cluster).alias("_c"), F.col(col).cast("string").alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_n")))
 
 
-def _attribute_counts(df: DataFrame, cluster: str, attrs: dict, flag: str | None) -> DataFrame:
-    entries = [F.struct(F.lit(_ALL).alias("attr"), F.lit("").alias("value"))]
-    entries += [F.struct(F.lit(name).alias("attr"), F.col(c).cast("string").alias("value"))
-                for name, c in attrs.items()]
-    if flag:
-        entries.append(F.struct(F.lit(_FLAG).alias("attr"), F.col(flag).cast("string").alias("value")))
-    long = df.select(F.col(cluster).alias("_c"), F.explode(F.array(*entries)).alias("_e"))
-    return (long.groupBy("_c", F.col("_e.attr").alias("attr"), F.col("_e.value").alias("value"))
-            .agg(F.count(F.lit(1)).alias("n")))
+def _modes(counts: DataFrame, out: str) -> DataFrame:
+    """Most frequent value per cluster (ties: smallest value); no window, no sort."""
+    best = F.min(F.struct((-F.col("_n")).alias("k"), F.col("_v").alias("v")))
+    return counts.groupBy(F.col("_c").alias(f"_c_{out}")).agg(best["v"].alias(out))
+
+
+def _top(counts: DataFrame, n: int) -> DataFrame:
+    """The ``n`` most frequent values per cluster: Spark limits each partition before the shuffle."""
+    w = Window.partitionBy("_c").orderBy(F.desc("_n"), F.asc("_v"))
+    return counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
+
+
+def _maps(top: DataFrame, out: str) -> DataFrame:
+    """The values of a cluster as an ordered ``value -> count`` map."""
+    entries = F.array_sort(F.collect_list(_entry(F.col("_n"), F.col("_v"))))
+    return top.groupBy(F.col("_c").alias(f"_c_{out}")).agg(_as_map(entries).alias(out))
 
 
 def _entry(n, value):
@@ -45,52 +54,38 @@ def _as_map(entries):
 def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "keyword_category",
                     location: str = "location", education: str = "education_req",
                     flag: str = "has_salary", top_locations: int = 5,
-                    top_categories: int | None = None,
+                    top_categories: int = 100,
                     generated_at: _dt.datetime | None = None) -> DataFrame:
     """One document per cluster.
 
     Fields: ``cluster_id``, ``total_lowongan`` (rows), the most frequent
     category / location / education (ties: smallest value),
-    ``pct_gaji_dicantumkan`` (mean of the 0/1 flag in %, 1 decimal), the full
-    category count map, the top-``top_locations`` location count map and
+    ``pct_gaji_dicantumkan`` (mean of the 0/1, boolean or double flag in %,
+    1 decimal), the category count map (of the ``top_categories`` most
+    frequent), the top-``top_locations`` location count map and
     ``generated_at``.  Map entries run by count desc, value asc.
 
-    Categories come from a fixed rule list, so the full category map is
-    small; for a column of many values, ``top_categories`` cuts that map too.
+    Each attribute is counted once per ``(cluster, value)``; everything else
+    works on those counts, and a map holds at most the number of its entries.
     """
-    attrs = {"category": category, "location": location, "education": education}
-    counts = _attribute_counts(df, cluster, attrs, flag)
-    a, v, n = F.col("attr"), F.col("value"), F.col("n")
-    # rank values inside (cluster, attribute); the count table holds one row per
-    # distinct value, so this window never sees the input rows themselves
-    w = Window.partitionBy("_c", "attr").orderBy(v.isNull(), F.desc("n"), F.asc("value"))
-    ranked = counts.withColumn("_r", F.row_number().over(w))
-    r = F.col("_r")
-    cat_kept = F.lit(True) if top_categories is None else (r <= top_categories)
-
-    def mode(name):
-        return F.max(F.when((a == name) & v.isNotNull() & (r == 1), v))
-
-    per_cluster = ranked.groupBy("_c").agg(
-        F.sum(F.when(a == _ALL, n)).alias("total_lowongan"),
-        F.sum(F.when((a == _FLAG) & (v == "1"), n)).alias("_yes"),
-        F.sum(F.when((a == _FLAG) & v.isNotNull(), n)).alias("_flagged"),
-        mode("category").alias("kategori_dominan"),
-        mode("location").alias("lokasi_dominan"),
-        mode("education").alias("pendidikan_dominan"),
-        F.array_sort(F.collect_list(F.when((a == "category") & v.isNotNull() & cat_kept,
-                                           _entry(n, v)))).alias("_cat"),
-        F.array_sort(F.collect_list(F.when((a == "location") & v.isNotNull() & (r <= top_locations),
-                                           _entry(n, v)))).alias("_loc"),
-    )
+    yes = F.count_if(F.col(flag).cast("double") == 1.0)
+    out = df.groupBy(F.col(cluster).alias("cluster_id")).agg(
+        F.count(F.lit(1)).alias("total_lowongan"), yes.alias("_yes"), F.count(flag).alias("_flagged"))
+    cat, loc = _value_counts(df, cluster, category), _value_counts(df, cluster, location)
+    edu = _value_counts(df, cluster, education)
+    for side, name in ((_modes(cat, "kategori_dominan"), "kategori_dominan"),
+                       (_modes(loc, "lokasi_dominan"), "lokasi_dominan"),
+                       (_modes(edu, "pendidikan_dominan"), "pendidikan_dominan"),
+                       (_maps(_top(cat, top_categories), "distribusi_kategori"), "distribusi_kategori"),
+                       (_maps(_top(loc, top_locations), "distribusi_lokasi"), "distribusi_lokasi")):
+        out = out.join(side, F.col("cluster_id").eqNullSafe(F.col(f"_c_{name}")), "left")
     ts = generated_at or _dt.datetime.now()
-    return per_cluster.select(
-        F.col("_c").alias("cluster_id"),
-        F.col("total_lowongan"),
-        "kategori_dominan", "lokasi_dominan", "pendidikan_dominan",
-        percent(F.coalesce(F.col("_yes"), F.lit(0)), F.col("_flagged"), 1).alias("pct_gaji_dicantumkan"),
-        _as_map(F.col("_cat")).alias("distribusi_kategori"),
-        _as_map(F.col("_loc")).alias("distribusi_lokasi"),
+    empty = F.create_map().cast("map<string,bigint>")
+    return out.select(
+        "cluster_id", "total_lowongan", "kategori_dominan", "lokasi_dominan", "pendidikan_dominan",
+        percent(F.col("_yes"), F.col("_flagged"), 1).alias("pct_gaji_dicantumkan"),
+        F.coalesce("distribusi_kategori", empty).alias("distribusi_kategori"),
+        F.coalesce("distribusi_lokasi", empty).alias("distribusi_lokasi"),
         F.lit(ts).cast("timestamp").alias("generated_at"))
 
 

@@ -11,12 +11,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import match, money, text
-from ..functions._util import as_col
+from ..functions._util import as_col, require_columns
 
 
 def posting_columns(page_text, html, *,
@@ -58,28 +58,44 @@ def posting_columns(page_text, html, *,
     }
 
 
+def _no_html(html) -> Column:
+    return html.isNull() | (F.length(html) == 0)
+
+
 def extract_postings(pages: DataFrame, html_col: str = "html", *,
                      keep: Sequence[str] = ("page_id", "url"),
                      with_errors: bool = False, **params) -> DataFrame:
     """One posting row of the 11 fixed columns per page.
 
-    ``keep`` columns of the input are carried in front.  Pages without HTML
-    are rejected records (E16): with ``with_errors`` they stay, flagged by a
-    ``parse_error`` column; otherwise they are dropped.
+    ``keep`` columns of the input are carried in front (an unknown name is an
+    error).  Pages without HTML are rejected records (E16): with
+    ``with_errors`` they stay, flagged by a ``parse_error`` column; otherwise
+    they are left to ``rejected_pages``.
     """
-    kept = [c for c in keep if c in pages.columns]
+    kept = require_columns(pages, keep)
     html = as_col(html_col)
     staged = pages.select(*kept, html.alias("_html"),
                           text.html_to_text(html).alias("_page_text"))
     cols = posting_columns(F.col("_page_text"), F.col("_html"), **params)
-    bad = F.col("_html").isNull() | (F.length(F.col("_html")) == 0)
     out = staged.select(*kept, *[c.alias(n) for n, c in cols.items()],
-                        bad.alias("parse_error"))
+                        _no_html(F.col("_html")).alias("parse_error"))
     if with_errors:
         return out
     return out.filter(~F.col("parse_error")).drop("parse_error")
 
 
+#: Why a page gives no posting row.
+NO_HTML_REASON = "no html"
+
+
+def rejected_pages(pages: DataFrame, html_col: str = "html", *,
+                   keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
+    """The pages that give no posting row, with the ``reason``."""
+    kept = require_columns(pages, keep)
+    return pages.filter(_no_html(as_col(html_col))).select(
+        *kept, F.lit(NO_HTML_REASON).alias("reason"))
+
+
 def discover_links(pages: DataFrame, html_col: str = "html",
                    href_substring: str = vocab.JOB_LINK_SUBSTRING,
                    root: str = vocab.SITE_ROOT) -> DataFrame:

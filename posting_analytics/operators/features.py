@@ -1,9 +1,8 @@
-"""Feature operators (M1-M4, M9-M12) on ``pyspark.ml``.
+"""Feature operators (M1-M4, M9-M12) on DataFrames and ``pyspark.ml``.
 
-Fitting a ``StringIndexer`` brings the label list of each column to the
-driver, so the number of distinct labels is checked first (``max_labels``):
-the indexed columns are categorical, and an unbounded column is refused
-instead of being pulled into the driver.
+Category codes come from a distributed rank of the distinct labels: counts
+per label, a range sort, and row numbers from per-partition offsets.  No label
+list reaches the driver, so a column of any cardinality can be indexed.
 """
 
 from __future__ import annotations
@@ -11,43 +10,57 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (PCA, OneHotEncoder, PCAModel, StandardScaler, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.feature import PCA, OneHotEncoder, PCAModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_LABELS = 100_000
+from ..session import ensure_checkpoint_dir
 
 
-def check_label_bound(df: DataFrame, cols: Sequence[str], max_labels: int | None) -> None:
-    """Raise when a column to index has more than ``max_labels`` distinct values
-    (approximate count, one aggregation for all columns)."""
-    if not max_labels:
-        return
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    over = {c: row[c] for c in cols if row[c] > max_labels}
-    if over:
-        raise ValueError(f"too many labels to index (limit {max_labels}): {over}")
+def label_ranks(df: DataFrame, col: str, order: str = "frequencyDesc",
+                out: str = "idx") -> DataFrame:
+    """``col, out``: the distinct labels numbered from 0 (as double).
 
-
-def label_indexer(cols: Sequence[str], out_cols: Sequence[str] | None = None,
-                  order: str = "frequencyDesc", handle_invalid: str = "keep") -> StringIndexer:
-    """M1/M9 stage: index categories (``frequencyDesc``: most frequent first,
-    ties alphabetical; ``alphabetAsc``: alphabetical).  With ``keep``, NULL and
-    unseen values get the extra index ``numLabels``."""
-    outs = list(out_cols) if out_cols else [f"{c}_idx" for c in cols]
-    return StringIndexer(inputCols=list(cols), outputCols=outs,
-                         handleInvalid=handle_invalid, stringOrderType=order)
+    ``frequencyDesc``: most frequent first, ties alphabetical;
+    ``alphabetAsc``: alphabetical.  NULL is not a label.
+    """
+    keys = {"frequencyDesc": [F.desc("_n"), F.asc(col)], "alphabetAsc": [F.asc(col)]}
+    if order not in keys:
+        raise ValueError(f"unknown order {order!r}; one of {sorted(keys)}")
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    # the sorted labels are checkpointed, so both uses see the same partitions
+    place = F.monotonically_increasing_id()
+    ranked = counts.orderBy(*keys[order]).select(col, place.alias("_id")).checkpoint()
+    part, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    ranked = ranked.select(col, part.alias("_p"), row.alias("_r"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = ranked.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    return ranked.join(offsets, "_p").select(col, (F.col("_o") + F.col("_r")).cast("double").alias(out))
+
+
+#: Rank tables up to this many labels are broadcast; larger ones are joined by a shuffle.
+BROADCAST_LABELS = 100_000
+
+
+def apply_ranks(df: DataFrame, ranks: DataFrame, col: str, out: str) -> DataFrame:
+    """Add the rank of ``col``; NULL and labels without a rank get the number of labels."""
+    label, idx = ranks.columns
+    n = ranks.count()
+    names = ranks.select(F.col(label).alias("_label"), F.col(idx).alias("_rank"))
+    names = F.broadcast(names) if n <= BROADCAST_LABELS else names
+    joined = df.join(names, F.col(col) == F.col("_label"), "left")
+    return joined.withColumn(out, F.coalesce("_rank", F.lit(float(n)))).drop("_label", "_rank")
 
 
 def index_labels(df: DataFrame, cols: Sequence[str], out_cols: Sequence[str] | None = None,
-                 order: str = "frequencyDesc", handle_invalid: str = "keep",
-                 max_labels: int | None = DEFAULT_MAX_LABELS) -> DataFrame:
+                 order: str = "frequencyDesc") -> DataFrame:
     """M1 (or M9 with ``order="alphabetAsc"``): add index columns."""
-    check_label_bound(df, cols, max_labels)
-    model = label_indexer(cols, out_cols, order, handle_invalid).fit(df)
-    return model.transform(df)
+    for c, out in zip(cols, out_cols or [f"{c}_idx" for c in cols]):
+        df = apply_ranks(df, label_ranks(df, c, order), c, out)
+    return df
 
 
 def assembler(cols: Sequence[str], out: str = "features_raw") -> VectorAssembler:
@@ -61,17 +74,15 @@ def scaler(inp: str = "features_raw", out: str = "features", with_mean: bool = T
     return StandardScaler(inputCol=inp, outputCol=out, withMean=with_mean, withStd=with_std)
 
 
-def feature_pipeline(index_cols: Sequence[str], index_out: Sequence[str],
-                     numeric_cols: Sequence[str] = (), features_col: str = "features",
-                     order: str = "frequencyDesc", one_hot: bool = False) -> Pipeline:
-    """M4: indexers -> assembler -> scaler as one ``Pipeline``.
+def feature_pipeline(index_out: Sequence[str], numeric_cols: Sequence[str] = (),
+                     features_col: str = "features", one_hot: bool = False) -> Pipeline:
+    """M4: (one-hot ->) assembler -> scaler over indexed columns as one ``Pipeline``.
 
     By default the category codes themselves are features (as in the original
     model, so code distance counts as category distance); with ``one_hot``
     each category becomes its own 0/1 feature instead.
     """
-    stages = [label_indexer(index_cols, index_out, order)]
-    coded = list(index_out)
+    stages, coded = [], list(index_out)
     if one_hot:
         coded = [f"{c}_vec" for c in index_out]
         stages.append(OneHotEncoder(inputCols=list(index_out), outputCols=coded,
@@ -83,13 +94,11 @@ def feature_pipeline(index_cols: Sequence[str], index_out: Sequence[str],
 
 def fit_features(df: DataFrame, index_cols: Sequence[str], index_out: Sequence[str],
                  numeric_cols: Sequence[str] = (), features_col: str = "features",
-                 max_labels: int | None = DEFAULT_MAX_LABELS,
                  one_hot: bool = False) -> tuple[PipelineModel, DataFrame]:
-    """Fit the M4 pipeline and transform the same frame."""
-    check_label_bound(df, index_cols, max_labels)
-    model = feature_pipeline(index_cols, index_out, numeric_cols, features_col,
-                             one_hot=one_hot).fit(df)
-    return model, model.transform(df)
+    """Index the categories, fit the M4 pipeline and transform the same frame."""
+    indexed = index_labels(df, index_cols, index_out)
+    model = feature_pipeline(index_out, numeric_cols, features_col, one_hot).fit(indexed)
+    return model, model.transform(indexed)
 
 
 def standardize_columns(df: DataFrame, cols: Sequence[str], out_prefix: str = "z_",

@@ -5,24 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition of a freshly read input when it has fewer
-    partitions than the session's parallelism.
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal the rows of an input round-robin over ``partitions``.
 
-    Regex extraction over pages costs CPU per row.  A large input already
-    arrives in many scan partitions and is left alone (no shuffle); a small
-    input stored as a few large row groups would otherwise run in one task.
-
-    Apply it where the input is read (a plain scan): an input of at least
-    ``min_partitions`` files is taken as large without any planning, and for
-    a few-file scan the partition count is known without running a job.  On a
-    frame that already contains a shuffle, Spark would have to run that
-    shuffle to report its partition count, so operators do not call this
-    themselves.
+    Regex extraction over pages costs CPU per row, and an input stored as a few
+    large row groups would run in a few tasks.  A large input already arrives
+    in many scan partitions (set ``spark.sql.files.maxPartitionBytes``) and
+    needs no such shuffle, so the choice is the caller's.  A stream is
+    partitioned by its source and returned as it is.
     """
-    if df.isStreaming:  # a stream is partitioned by its source
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= target:
-        return df
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df if df.isStreaming else df.repartition(partitions)

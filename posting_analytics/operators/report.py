@@ -13,7 +13,7 @@ Scale notes
   partition.
 * Modes (A10) are ``min(struct(-count, value))`` over the per-value counts:
   a plain aggregation with partial combine, no window.
-* The top-k semi-join (J1) broadcasts exactly ``k`` rows.
+* The top-k semi-join (J1) broadcasts at most ``k`` rows.
 """
 
 from __future__ import annotations
@@ -121,17 +121,19 @@ def conditional_rate(df: DataFrame, group: str, condition: Column, total_col: st
 
 def flag_rate(df: DataFrame, group: str, flag: str, total_col: str = "total",
               hit_col: str = "hits", pct_col: str = "pct", scale: int = 1) -> DataFrame:
-    """``SUM(flag)``, count and % per group, ordered by group."""
+    """Rows with flag 1 (integer, boolean or double), count and % per group, ordered by group."""
     out = (df.groupBy(group)
-           .agg(F.sum(flag).cast("bigint").alias(hit_col), _n().alias(total_col))
+           .agg(F.count_if(F.col(flag).cast("double") == 1.0).alias(hit_col), _n().alias(total_col))
            .withColumn(pct_col, percent(F.col(hit_col), F.col(total_col), scale)))
     return out.orderBy(group)
 
 
 def mean_percent(df: DataFrame, group: str, flag: str, out: str = "pct",
                  scale: int = 1) -> DataFrame:
-    """Mean of a 0/1 flag per group as %, half-up at ``scale`` decimals."""
-    agg = df.groupBy(group).agg(F.sum(flag).alias("_s"), F.count(flag).alias("_c"))
+    """Mean of a 0/1 flag (integer, boolean or double) per group as %, half-up at
+    ``scale`` decimals; NULL flags do not count."""
+    yes = F.count_if(F.col(flag).cast("double") == 1.0)
+    agg = df.groupBy(group).agg(yes.alias("_s"), F.count(flag).alias("_c"))
     return agg.select(group, percent(F.col("_s"), F.col("_c"), scale).alias(out))
 
 
@@ -202,15 +204,15 @@ def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
 
 
 def top_k_values(df: DataFrame, col: str, k: int = 5, count_col: str = "n") -> DataFrame:
-    """The ``k`` most frequent values (ties: value ascending)."""
-    return (df.groupBy(col).agg(_n().alias(count_col))
+    """The ``k`` most frequent values (ties: value ascending); NULL is not a value."""
+    return (df.filter(F.col(col).isNotNull()).groupBy(col).agg(_n().alias(count_col))
             .orderBy(F.desc(count_col), F.asc(col)).limit(k))
 
 
 def keep_top_k(df: DataFrame, col: str, k: int = 5) -> DataFrame:
     """Rows whose ``col`` is among the ``k`` most frequent values.
 
-    A left-semi join against exactly ``k`` broadcast rows.
+    A left-semi join against at most ``k`` broadcast rows.
     """
     top = top_k_values(df, col, k).select(col)
     return df.join(F.broadcast(top), on=col, how="left_semi")
@@ -218,12 +220,12 @@ def keep_top_k(df: DataFrame, col: str, k: int = 5) -> DataFrame:
 
 def attribute_counts(df: DataFrame, group: str, attrs: Sequence[str], count_col: str = "n",
                      attr_col: str = "attribute", value_col: str = "value") -> DataFrame:
-    """A8 for several attributes in one pass: rows per ``(group, attribute,
-    value)``.  The attribute columns are unpivoted (values as text) and
-    counted by one aggregation, so the input is scanned and shuffled once."""
-    entries = [F.struct(F.lit(a).alias(attr_col), F.col(a).cast("string").alias(value_col))
-               for a in attrs]
-    long = df.select(group, F.explode(F.array(*entries)).alias("_e"))
-    return (long.groupBy(group, F.col(f"_e.{attr_col}").alias(attr_col),
-                         F.col(f"_e.{value_col}").alias(value_col))
-            .agg(_n().alias(count_col)))
+    """A8 for several attributes: rows per ``(group, attribute, value)``, values as text.
+
+    Each attribute is counted on its own (a map-side partial count over the
+    two columns it reads) and the count tables are put together, so no input
+    row is copied.
+    """
+    parts = [df.groupBy(group, F.col(a).cast("string").alias(value_col)).agg(_n().alias(count_col))
+             .select(group, F.lit(a).alias(attr_col), value_col, count_col) for a in attrs]
+    return functools.reduce(DataFrame.unionByName, parts)

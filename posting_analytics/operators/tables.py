@@ -8,27 +8,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
-from .report import keep_top_k, top_k_values
+from .report import top_k_values
 
 
-def contingency(df: DataFrame, row: str, col: str, values: Sequence | None = None) -> DataFrame:
-    """V1: ``row x col`` count table, missing cells 0.
-
-    Pass ``values`` when the column domain is known; otherwise Spark runs one
-    extra job to find the distinct values.
-    """
-    pivoted = df.groupBy(row).pivot(col, list(values) if values is not None else None)
-    return pivoted.count().na.fill(0).orderBy(row)
+def contingency(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
+    """V1: ``row x col`` count table over the given ``values``, missing cells 0."""
+    return df.groupBy(row).pivot(col, list(values)).count().na.fill(0).orderBy(row)
 
 
-def contingency_top_k(df: DataFrame, row: str, col: str, k: int = 5) -> DataFrame:
-    """V2: contingency table restricted to the ``k`` most frequent ``col`` values.
+def contingency_top_k(df: DataFrame, row: str, col: str, k: int = 5,
+                      rank_col: str = "rank", count_col: str = "n") -> DataFrame:
+    """V2: contingency of ``row`` with the ``k`` most frequent ``col`` values.
 
-    The ``k`` pivot values are read back to name the columns (exactly ``k``
-    rows reach the driver).
+    One row per ``(row, value)`` with the value's rank, missing cells 0; NULL
+    is not a value.  Every ``row`` of the input that holds one of the values
+    appears.  The ranked values (at most ``k`` rows) are broadcast; the counts
+    of a row are one aggregation.
     """
-    top = [r[0] for r in top_k_values(df, col, k).orderBy(col).collect()]
-    return contingency(keep_top_k(df, col, k), row, col, top)
+    order = Window.orderBy(F.desc("_n"), F.asc(col))  # over k rows
+    top = top_k_values(df, col, k, "_n").select(F.col(col).alias("_v"),
+                                                F.row_number().over(order).alias(rank_col))
+    ranked = df.join(F.broadcast(top), df[col] == top["_v"]).groupBy(row).agg(
+        *[F.count_if(F.col(rank_col) == i).alias(f"_{i}") for i in range(1, k + 1)])
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_{i}").alias("n")) for i in range(1, k + 1)])
+    long = ranked.select(row, F.explode(cells).alias("_c"))
+    return (long.join(F.broadcast(top), F.col("_c.i") == F.col(rank_col))
+            .select(row, rank_col, F.col("_v").alias(col), F.col("_c.n").alias(count_col))
+            .orderBy(row, rank_col))
 
 
 def binary_split(df: DataFrame, group: str, flag: str, yes: str = "yes", no: str = "no",

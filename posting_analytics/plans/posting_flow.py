@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..operators import clean, cluster, documents, extract, features, report, tables
-from ..operators.partitioning import spread
 from ..sources import collections, files
 
+#: The categories of the fixed rules, in alphabetical order.
+CATEGORIES = sorted({label for _, label in vocab.CATEGORY_RULES} | {vocab.CATEGORY_DEFAULT})
 INDEX_COLS = ["location", "education_req", "keyword_category"]
 INDEX_OUT = ["location_idx", "edu_idx", "category_idx"]
 
@@ -61,8 +62,18 @@ class Clustering:
 
 def cluster_postings(cleaned: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 50,
                      elbow_ks=range(2, 8), elbow_iter: int = 20, one_hot: bool = False) -> Clustering:
-    """Flag, index, assemble, scale, sweep k, fit k-means, evaluate."""
+    """Flag, index, assemble, scale, sweep k, fit k-means, evaluate.
+
+    With fewer distinct rows than ``k`` k-means gives as many clusters as
+    there are; without rows every result is an empty table.
+    """
     df = clean.add_presence_flag(cleaned, "salary_range", "has_salary")
+    if df.isEmpty():
+        spark = df.sparkSession
+        return Clustering(df.withColumn("cluster", F.lit(0)).select(*vocab.CLUSTERED_COLUMNS),
+                          spark.createDataFrame([], "k int, wssse double"),
+                          spark.createDataFrame([], "k int, training_cost double, iterations int, "
+                                                    "silhouette double"))
     fmodel, feats = features.fit_features(df, INDEX_COLS, INDEX_OUT, ["has_salary"],
                                           one_hot=one_hot)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
@@ -74,21 +85,13 @@ def cluster_postings(cleaned: DataFrame, k: int = 4, seed: int = 42, max_iter: i
 
 
 def cluster_profiles(clustered: DataFrame) -> dict[str, DataFrame]:
-    """Size, attribute mix and salary transparency per cluster.
-
-    The three attribute tables come from one aggregation.
-    """
-    attrs = report.attribute_counts(clustered, "cluster",
-                                    ["keyword_category", "location", "education_req"], "jumlah")
-    order = [F.asc("cluster"), F.desc("jumlah"), F.asc("value")]
-    per_attr = {a: attrs.filter(F.col("attribute") == a)
-                .select("cluster", F.col("value").alias(a), "jumlah").orderBy(*order[:2], F.asc(a))
-                for a in ("keyword_category", "location", "education_req")}
+    """Size, attribute mix and salary transparency per cluster, each a plain grouped count."""
+    pairs = {name: report.pair_counts(clustered, "cluster", col, count_col="jumlah")
+             for name, col in (("category", "keyword_category"), ("location", "location"),
+                               ("education", "education_req"))}
     return {
         "sizes": report.group_counts(clustered, "cluster", "jumlah_lowongan"),
-        "category": per_attr["keyword_category"],
-        "location": per_attr["location"],
-        "education": per_attr["education_req"],
+        **pairs,
         "salary": report.flag_rate(clustered, "cluster", "has_salary", "total", "ada_gaji",
                                    "pct_ada_gaji"),
     }
@@ -106,23 +109,36 @@ def summary_documents(clustered: DataFrame, run_ts: _dt.datetime) -> dict[str, D
     }
 
 
+def projection(clustered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two principal components of the alphabetical codes, and their variance shares.
+
+    Fewer than two rows have no variance: their scores are 0 and the shares are an empty table.
+    """
+    if clustered.limit(2).count() < 2:
+        none = F.lit(0.0)
+        return (clustered.select("cluster", none.alias("pc1"), none.alias("pc2")),
+                clustered.sparkSession.createDataFrame([], "component int, ratio double"))
+    names = [f"{c}_enc" for c in INDEX_COLS]
+    coded = features.index_labels(clustered, INDEX_COLS, names, order="alphabetAsc")
+    assembled = features.assembler([*names, "has_salary"], "codes").transform(coded)
+    model, scores = features.pca_scores(assembled, "codes", 2, keep=("cluster",))
+    return scores, features.explained_variance(model)
+
+
 def chart_tables(clustered: DataFrame) -> dict[str, DataFrame]:
     """The data behind the five charts."""
     counts = report.pair_counts(clustered, "cluster", "keyword_category", order=False)
-    coded = features.index_labels(clustered, INDEX_COLS, [f"{c}_enc" for c in INDEX_COLS],
-                                  order="alphabetAsc")
-    assembled = features.assembler([f"{c}_enc" for c in INDEX_COLS] + ["has_salary"],
-                                   "codes").transform(coded)
-    pca_model, scores = features.pca_scores(assembled, "codes", 2, keep=("cluster",))
+    scores, variance = projection(clustered)
     return {
         "cluster_sizes": report.group_counts(clustered, "cluster"),
-        "category_by_cluster": tables.contingency(clustered, "cluster", "keyword_category"),
+        "category_by_cluster": tables.contingency(clustered, "cluster", "keyword_category",
+                                                  CATEGORIES),
         "category_offsets": tables.stack_offsets(counts, "cluster", "keyword_category"),
         "top_locations_by_cluster": tables.contingency_top_k(clustered, "cluster", "location", 5),
         "salary_split": tables.binary_split(clustered, "cluster", "has_salary", "Ada Gaji",
                                             "Tidak Ada"),
         "pca_scores": scores,
-        "pca_variance": features.explained_variance(pca_model),
+        "pca_variance": variance,
     }
 
 
@@ -137,7 +153,9 @@ def run(spark: SparkSession, out_dir: str, *, pages: DataFrame | None = None,
     """Run every stage and write its outputs under ``out_dir``.
 
     Input is either a pages table (``page_id, url, html``) or an already
-    extracted posting table.  Returns ``name -> path``.
+    extracted posting table.  Pages that give no posting row are written to
+    ``rejects`` with the reason.  Returns ``name -> path``.  An input of few
+    large files keeps few cores busy: repartition it (``partitioning.spread``).
     """
     out = out_dir.rstrip("/")
     run_ts = run_ts or _dt.datetime.now()
@@ -145,7 +163,9 @@ def run(spark: SparkSession, out_dir: str, *, pages: DataFrame | None = None,
     if raw is None:
         if pages is None:
             raise ValueError("give pages or raw postings")
-        raw = extract.extract_postings(spread(pages), run_date=run_date)
+        raw = extract.extract_postings(pages, run_date=run_date)
+        extract.rejected_pages(pages).write.mode("overwrite").parquet(f"{out}/rejects")
+        paths["rejects"] = f"{out}/rejects"
     raw = _write_read(spark, raw, f"{out}/postings")
     paths["postings"] = f"{out}/postings"
     files.write_csv(raw.select(*vocab.POSTING_COLUMNS), f"{out}/postings_csv")
@@ -156,19 +176,16 @@ def run(spark: SparkSession, out_dir: str, *, pages: DataFrame | None = None,
         files.write_csv(df, f"{out}/reports/{name}")
         paths[f"report_{name}"] = f"{out}/reports/{name}"
 
-    # k-means needs at least k rows; the count comes from the written table
-    n_cleaned = cleaned.count()
-    if n_cleaned < k:
-        paths["clustering"] = f"skipped: {n_cleaned} cleaned rows for k={k}"
-        return paths
     result = cluster_postings(cleaned, k=k)
     clustered = _write_read(spark, result.clustered, f"{out}/clustered")
-    result.extra["features"].unpersist()
+    if "features" in result.extra:
+        result.extra["features"].unpersist()
     paths["clustered"] = f"{out}/clustered"
     files.write_csv(clustered, f"{out}/clustered_csv")
     files.write_json(clustered, f"{out}/clustered_json")
     files.write_csv(result.elbow, f"{out}/model/elbow")
     files.write_csv(result.quality, f"{out}/model/quality")
+    paths["model"] = f"{out}/model"
 
     for name, df in cluster_profiles(clustered).items():
         files.write_csv(df, f"{out}/profiles/{name}")

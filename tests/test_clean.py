@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from posting_analytics import vocab
 from posting_analytics.operators import clean
 
@@ -14,7 +17,10 @@ def test_cleaning_order_fill_before_filter(spark):
         ("A", vocab.NOT_FOUND, "J", "S1", "Rp. 1", "SQL", "x"),    # company sentinel: dropped
         ("A", "B", "J", "S1", "Rp. 1", vocab.NOT_FOUND, "x"),      # requirements missing: dropped
     ]
-    out = clean.clean_postings(spark.createDataFrame(rows, CLEAN_COLS)).collect()
+    df = spark.createDataFrame(rows, CLEAN_COLS)
+    with pytest.raises(ValueError, match="experience_level"):
+        clean.clean_postings(df)
+    out = clean.clean_postings(df.withColumn("experience_level", F.lit("1 tahun"))).collect()
     assert len(out) == 1
     r = out[0]
     assert r["location"] == vocab.UNKNOWN
@@ -24,7 +30,7 @@ def test_cleaning_order_fill_before_filter(spark):
 
 def test_optional_salary_filter(spark):
     rows = [("Data A", "B", "J", "S1", vocab.NOT_STATED, "SQL", "x")]
-    df = spark.createDataFrame(rows, CLEAN_COLS)
+    df = spark.createDataFrame(rows, CLEAN_COLS).withColumn("experience_level", F.lit(None).cast("string"))
     assert clean.clean_postings(df).count() == 0
     assert clean.clean_postings(df, require_salary=False).count() == 1
 

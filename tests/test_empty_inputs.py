@@ -16,7 +16,7 @@ EMPTY_RESULT = {
     "group_mode": lambda e: report.group_mode(e, "cluster", "location"),
     "top_n_per_group": lambda e: report.top_n_per_group(e, "cluster", "location"),
     "keep_top_k": lambda e: report.keep_top_k(e, "location"),
-    "contingency": lambda e: tables.contingency(e, "cluster", "location"),
+    "contingency": lambda e: tables.contingency(e, "cluster", "location", ["Bandung"]),
     "contingency_top_k": lambda e: tables.contingency_top_k(e, "cluster", "location"),
     "binary_split": lambda e: tables.binary_split(e, "cluster", "has_salary"),
     "cluster_summary": lambda e: documents.cluster_summary(e, generated_at=dt.datetime(2026, 1, 1)),
@@ -25,7 +25,8 @@ EMPTY_RESULT = {
                                                      .withColumn("company_name", e["location"])
                                                      .withColumn("job_requirements", e["location"])
                                                      .withColumn("job_responsibilities", e["location"])
-                                                     .withColumn("salary_range", e["location"])),
+                                                     .withColumn("salary_range", e["location"])
+                                                     .withColumn("experience_level", e["location"])),
 }
 
 

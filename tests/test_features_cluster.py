@@ -17,9 +17,10 @@ def test_index_frequency_keep(spark):
 
 def test_index_unseen_value_keep(spark):
     train = spark.createDataFrame([("a",), ("b",)], "v string")
-    model = features.label_indexer(["v"], ["i"]).fit(train)
-    test = spark.createDataFrame([("zz",), (None,)], "v string")
-    assert [r["i"] for r in model.transform(test).collect()] == [2.0, 2.0]
+    ranks = features.label_ranks(train, "v")
+    test = spark.createDataFrame([("zz",), (None,), ("b",)], "v string")
+    got = {r["v"]: r["i"] for r in features.apply_ranks(test, ranks, "v", "i").collect()}
+    assert got == {"zz": 2.0, None: 2.0, "b": 1.0}
 
 
 def test_index_alphabetical(spark):
@@ -28,10 +29,15 @@ def test_index_alphabetical(spark):
     assert got == {"a": 0.0, "b": 1.0, "c": 2.0}
 
 
-def test_label_bound_is_checked(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("v"))
+def test_many_labels_are_ranked_without_the_driver(spark):
+    df = spark.range(200_000).select(F.format_string("v%06d", F.col("id") % 150_000).alias("v"))
+    got = features.index_labels(df, ["v"], ["i"]).groupBy("v").agg(F.first("i").alias("i"))
+    row = got.agg(F.count("*"), F.min("i"), F.max("i"), F.count_distinct("i")).first()
+    assert tuple(row) == (150_000, 0.0, 149_999.0, 150_000)
+    top = {r["v"]: r["i"] for r in got.filter("i in (0, 49999, 50000)").collect()}
+    assert top == {"v000000": 0.0, "v049999": 49_999.0, "v050000": 50_000.0}
     with pytest.raises(ValueError):
-        features.index_labels(df, ["v"], ["i"], max_labels=10)
+        features.index_labels(df, ["v"], ["i"], order="other")
 
 
 def test_standardize_sample_std_and_zero_variance(spark):
@@ -79,6 +85,17 @@ def test_feature_pipeline_one_hot(spark):
                                "location string, edu string, has int")
     _, out = features.fit_features(df, ["location", "edu"], ["li", "ei"], ["has"], one_hot=True)
     width = len(out.select(vector_to_array("features").alias("v")).first()["v"])
-    # one slot per label plus the indexer's unseen/NULL slot: 3 + 1 locations, 2 + 1 educations,
-    # and the flag
-    assert width == (3 + 1) + (2 + 1) + 1
+    # one slot per label (NULL and unseen labels are all zeros): 3 locations, 2 educations, the flag
+    assert width == 3 + 2 + 1
+
+
+def test_fewer_points_than_clusters(spark):
+    df = spark.createDataFrame([(0.0,), (0.0,), (5.0,), (9.0,)], "x double")
+    feats = features.assembler(["x"], "features").transform(df)
+    model, out = cluster.kmeans_assign(feats, k=7)
+    assert {r["x"]: r["cluster"] for r in out.collect()}.__len__() == 3 and model.summary.k == 3
+    assert cluster.elbow(feats, range(3, 6)).collect() == [(3, 0.0), (4, 0.0), (5, 0.0)]
+    one = feats.filter("x = 0")
+    model, out = cluster.kmeans_assign(one, k=4)
+    assert model is None and {r["cluster"] for r in out.collect()} == {0}
+    assert cluster.model_quality(model, out).first()["training_cost"] == 0.0

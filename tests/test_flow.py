@@ -6,6 +6,7 @@ import os
 import pytest
 
 from fixtures import PAGES, PAGES_SCHEMA
+from posting_analytics import vocab
 from posting_analytics.plans import posting_flow
 from posting_analytics.session import cluster_conf
 from posting_analytics.sources import collections, files
@@ -20,8 +21,7 @@ def test_run_writes_every_stage(spark, scratch):
     assert spark.read.parquet(paths["postings"]).count() == 160
     assert spark.read.parquet(paths["cleaned"]).count() == 69
     clustered = spark.read.parquet(paths["clustered"])
-    assert clustered.columns == ["job_title", "company_name", "location", "keyword_category",
-                                 "education_req", "salary_range", "has_salary", "cluster"]
+    assert clustered.columns == list(vocab.CLUSTERED_COLUMNS)
     counts = {r["collection"]: r["n"] for r in collections.count_collections(
         spark, paths["collections"], ["raw_jobs", "cluster_summary", "top_companies"]).collect()}
     assert counts == {"raw_jobs": 69, "cluster_summary": 4, "top_companies": 4}
@@ -47,9 +47,33 @@ def test_cluster_conf_scales_partitions():
     assert conf["spark.sql.adaptive.enabled"] == "true"
 
 
-def test_run_on_pages_with_too_few_rows_skips_clustering(spark, scratch):
+def every_output(spark, out):
+    for name in ("missing", "location_share", "salary_by_city"):
+        assert os.path.isdir(f"{out}/reports/{name}")
+    for name in ("sizes", "category", "location", "education", "salary"):
+        assert os.path.isdir(f"{out}/profiles/{name}")
+    for name in ("raw_jobs", "cluster_summary", "top_companies"):
+        assert os.path.isdir(f"{out}/collections/{name}")
+    for name in ("cluster_sizes", "category_by_cluster", "category_offsets", "top_locations_by_cluster",
+                 "salary_split", "pca_scores", "pca_variance"):
+        assert os.path.isdir(f"{out}/charts/{name}")
+    return spark.read.parquet(f"{out}/clustered")
+
+
+def test_run_on_one_cleaned_row_writes_every_stage(spark, scratch):
     pages = spark.createDataFrame(PAGES, PAGES_SCHEMA)
-    paths = posting_flow.run(spark, os.path.join(scratch, "small"), pages=pages, run_date="2026-06-13")
-    assert paths["clustering"].startswith("skipped: 1 cleaned rows")
+    out = os.path.join(scratch, "small")
+    paths = posting_flow.run(spark, out, pages=pages, run_date="2026-06-13")
     assert spark.read.parquet(paths["postings"]).count() == 3
     assert files.read_csv(spark, paths["report_location_share"]).count() == 1
+    assert every_output(spark, out).select("cluster").collect() == [(0,)]
+    rejects = spark.read.parquet(paths["rejects"])
+    assert rejects.count() == len(PAGES) - 3 and {r["reason"] for r in rejects.collect()} == {"no html"}
+    assert set(files.POSTING_SCHEMA.fieldNames()) <= set(spark.read.parquet(paths["postings"]).columns)
+
+
+def test_run_without_any_row_writes_empty_tables(spark, scratch):
+    out = os.path.join(scratch, "none")
+    posting_flow.run(spark, out, pages=spark.createDataFrame([], PAGES_SCHEMA), run_date="2026-06-13")
+    clustered = every_output(spark, out)
+    assert clustered.count() == 0 and clustered.columns == list(vocab.CLUSTERED_COLUMNS)

@@ -72,15 +72,11 @@ def test_extraction_adds_no_shuffle(spark):
     assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 1
 
 
-def test_spread_on_scan_runs_no_job(spark):
+def test_spread_is_the_callers_choice(spark):
     from posting_analytics.operators.partitioning import spread
-    sc = spark.sparkContext
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    before = len(sc.statusTracker().getJobIdsForGroup(None))
-    spread(docs)
-    assert len(sc.statusTracker().getJobIdsForGroup(None)) == before
-    many_files = spark.read.parquet(*[f"{SF}/{t}.parquet" for t in ("documents",) * 1])
-    assert spread(many_files, min_partitions=1) is many_files
+    assert spread(docs, 5).rdd.getNumPartitions() == 5
+    assert "Exchange" not in plan(Q.normalize_ws(spark, SF))
 
 
 def test_cluster_summary_scans_base_once(spark):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from posting_analytics.operators import documents, report, tables
@@ -20,7 +21,8 @@ TS = dt.datetime(2026, 6, 13, 8, 0, 0)
 
 def test_contingency_zero_filled(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    out = {r["cluster"]: r.asDict() for r in tables.contingency(df, "cluster", "keyword_category").collect()}
+    out = {r["cluster"]: r.asDict() for r in tables.contingency(df, "cluster", "keyword_category",
+                                                             ["Analyst", "Data", "IT Umum", "Software"]).collect()}
     assert out[0] == {"cluster": 0, "Analyst": 0, "Data": 1, "IT Umum": 0, "Software": 2}
     assert out[1]["Analyst"] == 3 and out[1]["Software"] == 0
 
@@ -29,7 +31,28 @@ def test_contingency_top_k(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     out = tables.contingency_top_k(df, "cluster", "location", 2)
     # top 2 locations: Jakarta (3), then Bandung (1, smallest of the ties)
-    assert out.columns == ["cluster", "Bandung", "Jakarta"]
+    assert out.columns == ["cluster", "rank", "location", "n"]
+    assert {(r["rank"], r["location"]) for r in out.collect()} == {(1, "Jakarta"), (2, "Bandung")}
+    for r in out.collect():
+        assert r["n"] == df.filter((F.col("cluster") == r["cluster"]) & (F.col("location") == r["location"])).count()
+
+
+def test_contingency_top_k_ignores_null(spark):
+    rows = [("g", None)] * 10 + [("g", "a"), ("h", "a"), ("g", "b"), ("g", "c")]
+    out = tables.contingency_top_k(spark.createDataFrame(rows, "r string, v string"), "r", "v", 2)
+    assert [tuple(r) for r in out.collect()] == [("g", 1, "a", 1), ("g", 2, "b", 1), ("h", 1, "a", 1), ("h", 2, "b", 0)]
+
+
+@pytest.mark.parametrize("kind", ["boolean", "double", "int", "decimal(3,1)"])
+def test_flag_percentages_by_type(spark, kind):
+    df = spark.createDataFrame([(0, 1), (0, 0), (1, None), (1, 1), (1, 1), (1, 0)], "cluster int, f int")
+    df = df.select("cluster", F.col("f").cast(kind).alias("has_salary"), F.lit("x").alias("keyword_category"),
+                   F.lit("y").alias("location"), F.lit(None).cast("string").alias("education_req"))
+    got = {r["cluster_id"]: r for r in documents.cluster_summary(df, generated_at=TS).collect()}
+    assert got[0]["pct_gaji_dicantumkan"] == 50.0 and got[1]["pct_gaji_dicantumkan"] == 66.7
+    assert got[0]["pendidikan_dominan"] is None and got[1]["total_lowongan"] == 4
+    assert {r["cluster"]: r["pct"] for r in report.mean_percent(df, "cluster", "has_salary").collect()} == {0: 50.0, 1: 66.7}
+    assert {r["cluster"]: r["pct"] for r in report.flag_rate(df, "cluster", "has_salary").collect()} == {0: 50.0, 1: 50.0}
 
 
 def test_binary_split_and_offsets(spark):
