@@ -6,6 +6,7 @@ the order of the dictionary decides, not the position in the text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -87,7 +88,15 @@ def presence_flag(c, sentinel: str = vocab.NOT_STATED) -> Column:
     return F.when(as_col(c) != F.lit(sentinel), F.lit(1)).otherwise(F.lit(0))
 
 
+def _words_only(lowered: Column) -> Column:
+    """The text with a space for everything that is no letter, digit or underscore, and at both ends."""
+    return F.concat(F.lit(" "), F.regexp_replace(lowered, "[^a-z0-9_]", " "), F.lit(" "))
+
+
 def _contains(lowered: Column, keyword: str, whole_word: bool) -> Column:
     if not whole_word:
         return lowered.contains(F.lit(keyword))
-    return lowered.rlike(r"(^|[^a-z0-9_])" + regex_escape(keyword) + r"($|[^a-z0-9_])")
+    if re.fullmatch("[a-z0-9_]+", keyword):  # the same cleaned text serves every such keyword
+        return _words_only(lowered).contains(F.lit(f" {keyword} "))
+    pattern = r"(^|[^a-z0-9_])" + regex_escape(keyword) + r"($|[^a-z0-9_])"
+    return lowered.contains(F.lit(keyword)) & lowered.rlike(pattern)

@@ -43,10 +43,19 @@ def money_format(text, prefix: str = vocab.MONEY_PREFIX,
     return F.when(d == "", as_col(text)).otherwise(formatted)
 
 
-def _by_value(left: Column, right: Column) -> Column:
-    ll, rl = F.length(left), F.length(right)
-    return (F.when(ll < rl, -1).when(ll > rl, 1)
-            .when(left < right, -1).when(left > right, 1).otherwise(0))
+def _amount_digits(text, pattern: str, min_digits: int, drop_fraction: bool) -> Column:
+    """Canonical digit strings of all matches that are long enough, in text order."""
+    found = F.regexp_extract_all(F.coalesce(as_col(text), F.lit("")), F.lit(pattern), 0)
+    if drop_fraction:
+        found = F.transform(found, lambda m: F.regexp_replace(m, ",[0-9]+$", ""))
+    digits = F.transform(found, digits_only)
+    kept = F.filter(digits, lambda d: F.length(d) >= min_digits)
+    return F.transform(kept, canonical_digits)
+
+
+def _by_size(digits: Column) -> Column:
+    """Structs that order as the numbers do: shorter first, then by digits."""
+    return F.transform(digits, lambda d: F.struct(F.length(d).alias("n"), d.alias("d")))
 
 
 def amounts(text, pattern: str = vocab.SALARY_PATTERN,
@@ -55,13 +64,8 @@ def amounts(text, pattern: str = vocab.SALARY_PATTERN,
     canonical digit strings; matches with fewer than ``min_digits`` digits are
     dropped.  By default the digits after a decimal comma count too (as in the
     original rule); ``drop_fraction`` removes a trailing ``,<digits>`` first."""
-    found = F.regexp_extract_all(F.coalesce(as_col(text), F.lit("")), F.lit(pattern), 0)
-    if drop_fraction:
-        found = F.transform(found, lambda m: F.regexp_replace(m, ",[0-9]+$", ""))
-    digits = F.transform(found, digits_only)
-    kept = F.filter(digits, lambda d: F.length(d) >= min_digits)
-    values = F.array_distinct(F.transform(kept, canonical_digits))
-    return F.array_sort(values, _by_value)
+    sized = _by_size(_amount_digits(text, pattern, min_digits, drop_fraction))
+    return F.transform(F.sort_array(F.array_distinct(sized)), lambda x: x["d"])
 
 
 def amount_range(text, pattern: str = vocab.SALARY_PATTERN,
@@ -71,10 +75,10 @@ def amount_range(text, pattern: str = vocab.SALARY_PATTERN,
                  drop_fraction: bool = False) -> Column:
     """E9: 'min - max' of the amounts in the text (one amount alone, the
     sentinel when there is none)."""
-    vals = amounts(text, pattern, min_digits, drop_fraction)
-    lo = F.concat(F.lit(prefix), group_thousands(F.element_at(vals, 1), sep))
-    hi = F.concat(F.lit(prefix), group_thousands(F.element_at(vals, -1), sep))
-    n = F.size(vals)
-    return (F.when(n == 0, F.lit(sentinel))
-            .when(n == 1, lo)
+    sized = _by_size(_amount_digits(text, pattern, min_digits, drop_fraction))
+    low, high = F.array_min(sized)["d"], F.array_max(sized)["d"]
+    lo = F.concat(F.lit(prefix), group_thousands(low, sep))
+    hi = F.concat(F.lit(prefix), group_thousands(high, sep))
+    return (F.when(low.isNull(), F.lit(sentinel))
+            .when(low == high, lo)
             .otherwise(F.concat(lo, F.lit(range_sep), hi)))

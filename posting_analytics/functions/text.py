@@ -6,7 +6,7 @@ as JVM code on the executors that hold the pages, with no Python workers.
 
 from __future__ import annotations
 
-import functools
+import html.entities
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,17 +14,24 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ._util import as_col, regex_escape
 
-# Start and end tags never cross a '<' or '>': a failed attempt stops at the
-# next tag, so matching stays linear on pages full of unclosed tags (a raw '<'
-# inside a quoted attribute value is the case this gives up).
-# Blocks whose content is not page text: script, style, comments, doctype.
-DROP_BLOCKS = (
-    r"(?is)<script(?:[^<>A-Za-z0-9][^<>]*)?>.*?</script[^<>]*>"
-    r"|<style(?:[^<>A-Za-z0-9][^<>]*)?>.*?</style[^<>]*>"
-    r"|<!--.*?-->|<![^<>]*>"
-)
+# Attributes of a tag: quoted values may hold '<' and '>'.  The repeats are
+# possessive, so matching neither backtracks nor recurses, and a quoted value
+# is at most _QUOTED characters long, so an unclosed quote costs no more; such
+# a tag ends at its next '>' instead.
+_QUOTED = 4096
+_ATTRS = rf"""(?:[^<>"']++|"[^"]{{0,{_QUOTED}}}+"|'[^']{{0,{_QUOTED}}}+')*+"""
+_REST = rf"(?:{_ATTRS}>|[^<>]*+>)"
+# Blocks whose content is not page text: script, style, template, comments, doctype.
+DROP_BLOCKS = "(?is)" + "|".join(
+    rf"<{t}(?=[\s/>]){_REST}.*?</{t}[^<>]*>" for t in ("script", "style", "template")
+) + r"|<!--.*?-->|<![^<>]*>"
 # A markup tag: '<' followed by a letter, '/', '!' or '?'.
-TAG = r"<[A-Za-z/!?][^<>]*>"
+TAG = rf"<[A-Za-z/!?]{_REST}"
+
+# Named references of HTML 4 (a stdlib table) and the code points that HTML
+# reads as Windows-1252.
+NAMED_REFERENCES = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
+_C1 = "".join(bytes([i]).decode("cp1252", "replace") for i in range(0x80, 0xA0))
 
 
 def normalize_ws(c) -> Column:
@@ -33,12 +40,42 @@ def normalize_ws(c) -> Column:
     return F.coalesce(F.trim(collapsed), F.lit(""))
 
 
-def decode_entities(c, entities=None) -> Column:
-    """Decode the fixed set of named entities ("&amp;" last)."""
-    out = as_col(c)
-    for raw, text in entities or vocab.HTML_ENTITIES:
-        out = F.replace(out, F.lit(raw), F.lit(text))
-    return out
+def _code_point(n: Column) -> Column:
+    """The character of a code point; what HTML does not allow is U+FFFD."""
+    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    bad = n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+    return (F.when(bad, F.lit("\ufffd"))
+            .when(n.between(0x80, 0x9F), F.substr(F.lit(_C1), (n - 0x7F).cast("int"), F.lit(1)))
+            .otherwise(char))
+
+
+def _decode_piece(piece: Column, names: Column) -> Column:
+    """What follows an ``&``: its reference decoded, or the ``&`` kept."""
+    number = F.regexp_extract(piece, "^#([0-9]+);?", 1)
+    hexa = F.regexp_extract(piece, "^#[xX]([0-9A-Fa-f]+);?", 1)
+    name = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*);", 1)
+    code = (F.when(F.length(F.ltrim(number, F.lit("0"))) > 7, F.lit(0x110000))
+            .when(number != "", number.try_cast("bigint"))
+            .when(F.length(F.ltrim(hexa, F.lit("0"))) > 6, F.lit(0x110000))
+            .otherwise(F.conv(hexa, 16, 10).try_cast("bigint")))
+    rest = F.regexp_replace(piece, "^#(?:[xX][0-9A-Fa-f]+|[0-9]+);?", "")
+    known = F.element_at(names, name)
+    return (F.when((number != "") | (hexa != ""), F.concat(_code_point(code), rest))
+            .when(known.isNotNull(), F.concat(known, F.substr(piece, F.length(name) + F.lit(2))))
+            .otherwise(F.concat(F.lit("&"), piece)))
+
+
+def decode_entities(c) -> Column:
+    """Decode character references: numeric ones (``&#8211;``, ``&#x27;``, with or
+    without ``;``) and the named ones of HTML 4 and ``&apos;`` (with ``;``).
+
+    The text is cut at every ``&`` and each piece decoded once, so what a
+    reference gives is never read as a reference again.
+    """
+    names = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
+    decoded = F.transform(F.split(as_col(c), "&"),
+                          lambda p, i: F.when(i == 0, p).otherwise(_decode_piece(p, names)))
+    return F.array_join(decoded, "")
 
 
 def strip_tags(c, replacement: str = " ") -> Column:
@@ -49,39 +86,30 @@ def strip_tags(c, replacement: str = " ") -> Column:
 def html_to_text(html) -> Column:
     """Visible text of a page, text nodes joined by one space.
 
-    Tags become spaces, whitespace runs are collapsed, then entities are
-    decoded.  Entities contain no whitespace, so collapsing first gives the
-    same text; only ``&nbsp;`` decodes to a space, and a page holding it is
-    collapsed once more.  Each regex repeats a single tag or character class:
-    the JVM engine recurses once per repetition of an alternation group, so
-    ``(?:tag|space)+`` would overflow the stack on a long run of tags.
+    Tags become spaces and references are decoded.  Every whitespace run is
+    then one space, also inside a text node (a parser that only strips each
+    node would keep inner line breaks; here phrases match across them).
     """
     body = F.regexp_replace(as_col(html), DROP_BLOCKS, " ")
-    spaced = F.regexp_replace(F.regexp_replace(body, TAG, " "), vocab.WS + "+", " ")
-    decoded = decode_entities(spaced)
-    nbsp = [raw for raw, out in vocab.HTML_ENTITIES if out.isspace()]
-    if nbsp:
-        has_space_entity = functools.reduce(lambda a, b: a | b,
-                                            [spaced.contains(F.lit(e)) for e in nbsp])
-        decoded = F.when(has_space_entity, F.regexp_replace(decoded, vocab.WS + "+", " ")) \
-            .otherwise(decoded)
-    return F.coalesce(F.trim(decoded), F.lit(""))
+    return normalize_ws(decode_entities(F.regexp_replace(body, TAG, " ")))
 
 
 def element_pattern(tag: str) -> str:
-    """Regex for the first ``<tag ...>...</tag>`` element (tag included)."""
+    """Regex for the first ``<tag ...>...</tag>`` element (tag included); one
+    that is never closed runs to the end of the page."""
     t = regex_escape(tag)
-    return rf"(?is)<{t}(?:[^<>A-Za-z0-9][^<>]*)?>.*?</{t}[^<>]*>"
+    return rf"(?is)<{t}(?=[\s/>]){_REST}(?:.*?</{t}[^<>]*>|.*\z)"
 
 
 # Attribute syntax of an <a> start tag: names ignore case, whitespace is the
-# HTML set, and a value is double-quoted, single-quoted or unquoted (and, like
-# every tag above, never crosses a '<' or '>').
+# HTML set, and a value is double-quoted, single-quoted or unquoted.  Attributes
+# before the href may be quoted and hold '<' and '>'.
 HTML_WS = r"[ \t\r\n\f]"
-_A_HREF = rf"(?i:<a)(?:{HTML_WS}[^<>]*?)?{HTML_WS}(?i:href){HTML_WS}*={HTML_WS}*"
+_A_HREF = (rf"""(?i:<a)(?:(?!{HTML_WS}(?i:href){HTML_WS}*=)(?:[^<>"']|"[^"]{{0,{_QUOTED}}}+"|"""
+           rf"""'[^']{{0,{_QUOTED}}}+'))*+{HTML_WS}(?i:href){HTML_WS}*={HTML_WS}*""")
 _UNQUOTED = r"""[^ \t\r\n\f<>"']"""
-_DQ = r'[^"<>]'
-_SQ = r"[^'<>]"
+_DQ = r'[^"]'
+_SQ = r"[^']"
 
 
 def anchor_pattern(href_substring: str) -> str:
@@ -90,7 +118,7 @@ def anchor_pattern(href_substring: str) -> str:
     sub = regex_escape(href_substring)
     value = ("(?:" + f'"{_DQ}*{sub}{_DQ}*"' + "|" + f"'{_SQ}*{sub}{_SQ}*'" + "|"
              + f"{_UNQUOTED}*{sub}{_UNQUOTED}*" + ")")
-    return rf"(?s){_A_HREF}{value}[^<>]*>.*?(?i:</a)[^<>]*>"
+    return rf"(?s){_A_HREF}{value}{_REST}.*?(?i:</a)[^<>]*>"
 
 
 def element_text(html, pattern: str, sentinel: str = vocab.NOT_FOUND) -> Column:

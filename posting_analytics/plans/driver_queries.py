@@ -7,15 +7,17 @@ matching SQL in ``oracle``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import match, money, text
 from ..operators import clean, cluster, documents, extract, features, report, tables
+from ..operators.partitioning import compute_once
 from ..session import scratch_path
 from ..sources import collections, files, profile
 from . import params as P
@@ -64,7 +66,8 @@ def regex_first(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id",
                     match.regex_first("text", P.DOC_REF_PATTERN).alias("first_ref"),
-                    match.regex_first("text", vocab.EDUCATION_PATTERN).alias("first_grade"))
+                    match.regex_first("text", P.DOC_LOWER_PATTERN, lower=True).alias("first_phrase"),
+                    match.regex_first("text", P.DOC_CASE_PATTERN).alias("first_grade"))
 
 
 def amount_range(spark, sf_dir):
@@ -116,7 +119,7 @@ def link_discovery(spark, sf_dir):
 
 def link_cap(spark, sf_dir):
     links = extract.discover_links(table(spark, sf_dir, "pages"), href_substring=P.PAGE_HREF)
-    return extract.cap_links(links, vocab.LINK_TARGET)
+    return extract.cap_links(links, P.PAGE_LINK_CAP)
 
 
 def safe_extract(spark, sf_dir):
@@ -126,14 +129,26 @@ def safe_extract(spark, sf_dir):
     return d.select("doc_id", value.cast("string").alias("amount"), err.alias("parse_error"))
 
 
+PAGE_PARAMS = dict(cities=P.DOC_FIRST_WORDS, skills=P.DOC_TAG_WORDS, responsibilities=P.DOC_LABELS,
+                   company_href=P.PAGE_HREF, full_time_phrase=P.PAGE_PHRASE,
+                   experience_pattern=P.PAGE_LOWER_PATTERN, education_pattern=P.PAGE_CASE_PATTERN,
+                   salary_pattern=P.PAGE_AMOUNT_PATTERN, run_date=P.RUN_DATE)
+
+
+def _pages_some_empty(spark, sf_dir):
+    """Pages of which some came without HTML (NULL) or with none in it (empty)."""
+    lost = F.col("page_id") % P.PAGE_REJECT_EVERY
+    html = F.when(lost == 0, F.lit(None)).when(lost == 1, F.lit("")).otherwise(F.col("html"))
+    return table(spark, sf_dir, "pages").withColumn("html", html)
+
+
 def extract_postings(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    return extract.extract_postings(p, keep=("page_id",), company_href=P.PAGE_HREF,
-                                    run_date=P.RUN_DATE)
+    return extract.extract_postings(_pages_some_empty(spark, sf_dir), keep=("page_id",),
+                                    **PAGE_PARAMS)
 
 
-PAGE_PARAMS = dict(cities=P.DOC_FIRST_WORDS, skills=P.DOC_TAG_WORDS, responsibilities=P.DOC_LABELS,
-                   company_href=P.PAGE_HREF, run_date=P.RUN_DATE)
+def rejects(spark, sf_dir):
+    return extract.rejected_pages(_pages_some_empty(spark, sf_dir))
 
 
 def page_location_share(spark, sf_dir):
@@ -141,7 +156,7 @@ def page_location_share(spark, sf_dir):
     each (location, category) among the kept postings."""
     postings = extract.extract_postings(table(spark, sf_dir, "pages"), keep=("page_id",),
                                         **PAGE_PARAMS)
-    cleaned = clean.clean_postings(postings, require_salary=False)
+    cleaned = clean.clean_postings(compute_once(postings), require_salary=False)
     keyed = cleaned.withColumn("location_category",
                                F.concat_ws(" / ", "location", "keyword_category"))
     return report.value_share(keyed, "location_category")
@@ -213,9 +228,10 @@ def value_share_customer(spark, sf_dir):
 
 
 def topk_with_set(spark, sf_dir):
-    top = report.top_k_with_set(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", 10,
-                                set_col="statuses")
-    return top.withColumn("statuses", F.array_join("statuses", ","))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("string").alias("order_day"),
+                                              "o_orderpriority")
+    top = report.top_k_with_set(o, "order_day", "o_orderpriority", 40, set_col="priorities")
+    return top.withColumn("priorities", F.array_join("priorities", ","))
 
 
 def status_count(spark, sf_dir):
@@ -317,6 +333,12 @@ def pivot_top_counts(spark, sf_dir):
                                     "o_custkey", 5)
 
 
+def pivot_top_nulls(spark, sf_dir):
+    """The most frequent priorities among values of which many are NULL."""
+    return tables.contingency_top_k(_nullified_orders(spark, sf_dir), "o_orderstatus",
+                                    "o_orderpriority", 3)
+
+
 def binary_split(spark, sf_dir):
     return tables.binary_split(_part_flags(spark, sf_dir), "p_brand", "big_size")
 
@@ -339,6 +361,21 @@ def index_alpha(spark, sf_dir):
     return features.index_labels(p, ["p_brand"], ["brand_idx"], order="alphabetAsc")
 
 
+def index_many(spark, sf_dir):
+    """Codes of a column with about as many labels as customers."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    return features.index_labels(o, ["customer"], ["customer_idx"])
+
+
+def feature_vectors(spark, sf_dir):
+    """M4: indexed categories and a number, assembled and scaled."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
+    _, out = features.fit_features(p, ["p_type", "p_brand"], ["t", "b"], ["p_size"])
+    z = vector_to_array("features")
+    return out.select("p_partkey", *[F.round(z[i], 6).alias(f"z{i}") for i in range(3)])
+
+
 def standardize(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     out = features.standardize_columns(p, ["p_size", "p_retailprice"], digits=6)
@@ -376,23 +413,129 @@ def pca_variance(spark, sf_dir):
     return features.explained_variance(model, spark)
 
 
+def _plane(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    return features.assembler(["p_size", "p_retailprice"], "features").transform(p)
+
+
+def pca_plane(spark, sf_dir):
+    """Scores on the two components of a two-column table; the sign is the one
+    that makes the component's loading on the price positive."""
+    model, out = features.pca_scores(_plane(spark, sf_dir), "features", 2, keep=("p_partkey",))
+    sign = [1.0 if model.pc[1, i] >= 0 else -1.0 for i in range(2)]
+    return out.select("p_partkey", *[F.round(F.col(f"pc{i + 1}") * sign[i], 4).alias(f"pc{i + 1}")
+                                     for i in range(2)])
+
+
+def pca_plane_variance(spark, sf_dir):
+    model, _ = features.pca_projection(_plane(spark, sf_dir), "features", 2)
+    return features.explained_variance(model, spark).withColumn("ratio", F.round("ratio", 8))
+
+
+def _groups(spark, sf_dir):
+    """Line items as points around far apart places, one per return flag."""
+    place = (F.ascii("l_returnflag") * 10_000).cast("double")
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", (place + F.col("l_quantity")).alias("x"))
+    return features.assembler(["x"], "features").transform(rows)
+
+
+def _fitted_groups(spark, sf_dir):
+    points = _groups(spark, sf_dir)
+    return cluster.kmeans_assign(points, k=points.select("l_returnflag").distinct().count(), seed=42, max_iter=50)
+
+
+def kmeans_groups(spark, sf_dir):
+    """Clusters of well separated points, numbered by the least point in them."""
+    _, out = _fitted_groups(spark, sf_dir)
+    least = out.groupBy("cluster").agg(F.min("x").alias("low"))
+    number = least.select("cluster", F.row_number().over(Window.orderBy("low")).cast("int").alias("number"))
+    return (out.join(F.broadcast(number), "cluster")  # k rows
+            .groupBy("number", "l_returnflag").agg(F.count(F.lit(1)).alias("n")))
+
+
+def cluster_quality_groups(spark, sf_dir):
+    model, out = _fitted_groups(spark, sf_dir)
+    return cluster.model_quality(model, out).select(
+        "k", F.round("training_cost", 2).alias("training_cost"), F.round("silhouette", 8).alias("silhouette"))
+
+
+def elbow_groups(spark, sf_dir):
+    """Sweep over points around three places of unlike distances, so that k = 2 and k = 3 have one best split."""
+    place = F.element_at(F.create_map(*[F.lit(x) for v, at in P.PRIORITY_PLACES.items() for x in (v, at)]),
+                         F.col("o_orderpriority"))
+    points = table(spark, sf_dir, "orders").select((place + F.col("o_orderkey") % 5).alias("x"))
+    return cluster.elbow(features.assembler(["x"], "features").transform(points), (2, 3), digits=1)
+
+
 # --- S: sinks and read-back ------------------------------------------------
 
+_SINKS = ("csv", "json", "parquet")
+
+
+def _through(spark, df, schema, fmt, path):
+    """Write with the sink of ``fmt`` and read back."""
+    if fmt == "csv":
+        files.write_csv(df, path)
+        return files.read_csv(spark, path, schema)
+    if fmt == "json":
+        files.write_json(df, path)
+        return files.read_json(spark, path, schema)
+    df.write.mode("overwrite").parquet(path)
+    return files.read_documents(spark, path)
+
+
 def sink_roundtrip(spark, sf_dir):
+    """Every order, all columns, as each sink gives it back."""
     o = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "orders")
+    parts = [_through(spark, o, o.schema, fmt, f"{root}/{fmt}").withColumn("sink", F.lit(fmt)) for fmt in _SINKS]
+    out = functools.reduce(DataFrame.unionByName, parts).select("sink", *o.columns)
+    return out.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+def text_roundtrip(spark, sf_dir):
+    """Document texts with quotes, line breaks, edge spaces, empty strings and NULLs, as each sink gives them back."""
+    t, turn = F.col("text"), F.col("doc_id") % 5
+    hard = (F.when(turn == 0, F.concat(F.lit(' "'), t, F.lit('"\n')))
+            .when(turn == 1, F.lit("")).when(turn == 2, F.lit(None))
+            .when(turn == 3, F.concat(F.lit("\\,"), t, F.lit("\r\n "))).otherwise(t))
+    d = table(spark, sf_dir, "documents").select("doc_id", hard.alias("text"), "lang")
+    root = scratch_path(spark, "texts")
+    parts = [_through(spark, d, d.schema, fmt, f"{root}/{fmt}").withColumn("sink", F.lit(fmt)) for fmt in _SINKS]
+    # compared by length and digest: DuckDB views hold the same values
+    return functools.reduce(DataFrame.unionByName, parts).select(
+        "sink", "doc_id", F.coalesce(F.length("text"), F.lit(-1)).alias("n"),
+        F.md5(F.coalesce(F.col("text"), F.lit("NULL"))).alias("digest"))
+
+
+def json_arrays(spark, sf_dir):
+    """Orders written as JSON arrays of up to 1,000 and read back."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    path = scratch_path(spark, "arrays")
+    files.write_json_arrays(o, path, F.floor(F.col("o_orderkey") / 1000))
+    return files.read_json(spark, path, o.schema)
+
+
+def collection_counts(spark, sf_dir):
+    """Replaced twice, a collection holds the rows of the last writing."""
     root = scratch_path(spark, "collections")
-    share = report.value_share(o, "o_orderpriority", order=False)
-    collections.write_collections({"orders": o.drop("o_orderdate"), "priority_share": share}, root)
-    files.write_csv(share, f"{root}/priority_share_csv")
-    files.write_json(share, f"{root}/priority_share_json")
-    back_csv = files.read_csv(spark, f"{root}/priority_share_csv")
-    back_json = files.read_json(spark, f"{root}/priority_share_json")
-    counts = collections.count_collections(spark, root, ["orders", "priority_share"])
-    extra = (back_csv.agg(F.count(F.lit(1)).alias("n")).select(F.lit("priority_share_csv")
-                                                                .alias("collection"), "n")
-             .unionByName(back_json.agg(F.count(F.lit(1)).alias("n"))
-                          .select(F.lit("priority_share_json").alias("collection"), "n")))
-    return counts.unionByName(extra)
+    o = table(spark, sf_dir, "orders")
+    collections.write_collections({"orders": o, "shares": o.limit(3)}, root)
+    collections.write_collections({"shares": report.value_share(o, "o_orderpriority", order=False)}, root)
+    return collections.count_collections(spark, root, ["orders", "shares"])
+
+
+def documents_view(spark, sf_dir):
+    """Documents written with an ``_id``, read without it and queried as a view."""
+    c = table(spark, sf_dir, "customer").withColumn("_id", F.md5(F.col("c_custkey").cast("string")))
+    path = collections.replace_collection(c, scratch_path(spark, "view"), "customers")
+    files.register_view(files.read_documents(spark, path), "customer_documents")
+    return spark.sql("SELECT * FROM customer_documents")
+
+
+def first_rows(spark, sf_dir):
+    """T4: the first rows in key order."""
+    return profile.head(table(spark, sf_dir, "orders").drop("o_orderdate").orderBy("o_orderkey"), 20)
 
 
 QUERIES: dict[str, Query] = {
@@ -443,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "topk_semijoin": topk_semijoin,
     "pivot_counts": pivot_counts,
     "pivot_top_counts": pivot_top_counts,
+    "pivot_top_nulls": pivot_top_nulls,
     "binary_split": binary_split,
     "stack_offsets": stack_offsets,
     "index_freq": index_freq,
@@ -453,5 +597,18 @@ QUERIES: dict[str, Query] = {
     "cluster_quality": cluster_quality,
     "pca_scores": pca_scores,
     "pca_variance": pca_variance,
+    "index_many": index_many,
+    "feature_vectors": feature_vectors,
+    "pca_plane": pca_plane,
+    "pca_plane_variance": pca_plane_variance,
+    "kmeans_groups": kmeans_groups,
+    "cluster_quality_groups": cluster_quality_groups,
+    "elbow_groups": elbow_groups,
+    "rejects": rejects,
     "sink_roundtrip": sink_roundtrip,
+    "text_roundtrip": text_roundtrip,
+    "json_arrays": json_arrays,
+    "collection_counts": collection_counts,
+    "documents_view": documents_view,
+    "first_rows": first_rows,
 }

@@ -1,6 +1,6 @@
 """DuckDB SQL for each driver query (the correctness oracle).
 
-The SQL is written independently of the Spark code: list functions and
+The SQL and its patterns are written apart from the Spark code: list functions and
 window functions in DuckDB, and exact integer arithmetic for half-up
 percentages.  Regexes are RE2-safe (no look-around, no back-references in
 patterns) and use the same explicit whitespace class as the Spark side.
@@ -9,9 +9,21 @@ patterns) and use the same explicit whitespace class as the Spark side.
 from __future__ import annotations
 
 from .. import vocab
-from ..functions.text import DROP_BLOCKS, HREF_PATTERN, TAG, anchor_pattern, element_pattern
 from . import params as P
 
+# HTML as the test pages hold it, written apart from the Spark expressions: plain tags,
+# double-quoted attributes, five named references.
+BLOCKS = r"(?is)<(?:script|style|template)\b[^>]*>.*?</(?:script|style|template)>|<!--.*?-->|<![^>]*>"
+ANY_TAG = r"</?[A-Za-z][^>]*>"
+FIRST_H1 = r"(?s)<h1>.*?</h1>"
+LINK_TARGETS = r'<a href="([^"]*)"'
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
+              ("&amp;", "&"))
+
+
+def first_link(part: str) -> str:
+    return rf'(?s)<a href="[^"]*{part}[^"]*">.*?</a>'
+
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -22,17 +34,17 @@ def norm(x: str) -> str:
 
 
 def decode(x: str) -> str:
-    for raw, text in vocab.HTML_ENTITIES:
+    for raw, text in REFERENCES:
         x = f"replace({x}, {lit(raw)}, {lit(text)})"
     return x
 
 
 def strip_tags(x: str, rep: str) -> str:
-    return f"regexp_replace({x}, {lit(TAG)}, {lit(rep)}, 'g')"
+    return f"regexp_replace({x}, {lit(ANY_TAG)}, {lit(rep)}, 'g')"
 
 
 def html_to_text(x: str) -> str:
-    body = f"regexp_replace({x}, {lit(DROP_BLOCKS)}, ' ', 'g')"
+    body = f"regexp_replace({x}, {lit(BLOCKS)}, ' ', 'g')"
     return norm(decode(strip_tags(body, " ")))
 
 
@@ -120,30 +132,33 @@ def _value_share(table: str, key: str) -> str:
             f"SELECT {key}, n, {pct('n', '(SELECT CAST(sum(n) AS BIGINT) FROM g)')} AS pct FROM g")
 
 
-def _extract_postings(cities=vocab.CITIES, skills=vocab.SKILLS,
-                      responsibilities=vocab.RESPONSIBILITIES) -> str:
+_SOME_EMPTY = (f"(SELECT page_id, url, CASE WHEN page_id % {P.PAGE_REJECT_EVERY} = 0 THEN NULL "
+               f"WHEN page_id % {P.PAGE_REJECT_EVERY} = 1 THEN '' ELSE html END AS html FROM pages)")
+
+
+def _extract_postings(source: str = _SOME_EMPTY) -> str:
     pt = "page_text"
     cols = {
-        "job_title": element_text("html", element_pattern("h1")),
-        "company_name": element_text("html", anchor_pattern(P.PAGE_HREF)),
-        "location": first_listed(pt, cities),
-        "job_type": ordered_case(pt, [(vocab.FULL_TIME_PHRASE, vocab.FULL_TIME_LABEL)], vocab.NOT_FOUND),
-        "experience_level": regex_first(f"lower({pt})", vocab.EXPERIENCE_PATTERN),
-        "education_req": regex_first(pt, vocab.EDUCATION_PATTERN),
-        "salary_range": amount_range(pt, vocab.SALARY_PATTERN),
-        "job_requirements": keyword_tags(pt, skills),
-        "job_responsibilities": ordered_case(pt, responsibilities, vocab.NOT_FOUND),
+        "job_title": element_text("html", FIRST_H1),
+        "company_name": element_text("html", first_link(P.PAGE_HREF)),
+        "location": first_listed(pt, P.DOC_FIRST_WORDS),
+        "job_type": ordered_case(pt, [(P.PAGE_PHRASE, vocab.FULL_TIME_LABEL)], vocab.NOT_FOUND),
+        "experience_level": regex_first(f"lower({pt})", P.PAGE_LOWER_PATTERN),
+        "education_req": regex_first(pt, P.PAGE_CASE_PATTERN),
+        "salary_range": amount_range(pt, P.PAGE_AMOUNT_PATTERN),
+        "job_requirements": keyword_tags(pt, P.DOC_TAG_WORDS),
+        "job_responsibilities": ordered_case(pt, P.DOC_LABELS, vocab.NOT_FOUND),
         "posted_date": lit(P.RUN_DATE),
         "source_platform": lit(vocab.SOURCE_PLATFORM),
     }
     select = ", ".join(f"{expr} AS {name}" for name, expr in cols.items())
-    return (f"WITH p AS (SELECT page_id, html, {html_to_text('html')} AS page_text FROM pages "
+    return (f"WITH p AS (SELECT page_id, html, {html_to_text('html')} AS page_text FROM {source} "
             f"WHERE html IS NOT NULL AND length(html) > 0) SELECT page_id, {select} FROM p")
 
 
 def _page_location_share() -> str:
     nf = lit(vocab.NOT_FOUND)
-    postings = _extract_postings(P.DOC_FIRST_WORDS, P.DOC_TAG_WORDS, P.DOC_LABELS)
+    postings = _extract_postings("pages")
     kept = (f"SELECT location || ' / ' || {ordered_case('job_title', vocab.CATEGORY_RULES, vocab.CATEGORY_DEFAULT)} "
             f"AS location_category FROM ({postings}) WHERE job_title <> {nf} AND company_name <> {nf} "
             f"AND job_requirements <> {nf} AND job_responsibilities <> {nf} AND location <> {nf}")
@@ -151,10 +166,9 @@ def _page_location_share() -> str:
 
 
 def _links() -> str:
-    unq = "CASE WHEN left(x, 1) IN ('\"', '''') THEN substr(x, 2, length(x) - 2) ELSE x END"
-    hrefs = f"list_transform(regexp_extract_all(html, {lit(HREF_PATTERN)}, 1), lambda x: {decode(unq)})"
-    return (f"SELECT DISTINCT {lit(vocab.SITE_ROOT)} || h AS url FROM "
-            f"(SELECT unnest({hrefs}) AS h FROM pages) WHERE contains(h, {lit(P.PAGE_HREF)})")
+    return (f"SELECT DISTINCT {lit(vocab.SITE_ROOT)} || {decode('h')} AS url FROM "
+            f"(SELECT unnest(regexp_extract_all(html, {lit(LINK_TARGETS)}, 1)) AS h FROM pages) "
+            f"WHERE contains({decode('h')}, {lit(P.PAGE_HREF)})")
 
 
 def _missing_rate() -> str:
@@ -215,9 +229,12 @@ def _pivot_counts() -> str:
     return f"SELECT o_orderstatus, {cells} FROM orders GROUP BY o_orderstatus"
 
 
-def _pivot_top_counts() -> str:
-    return (f"PIVOT (SELECT o_orderpriority, o_custkey FROM orders WHERE o_custkey IN "
-            f"({_top_custkeys(5)})) ON o_custkey USING count(*) GROUP BY o_orderpriority")
+def _pivot_top(table: str, row: str, col: str, k: int) -> str:
+    return (f"WITH t AS (SELECT {col} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) AS INTEGER) AS \"rank\" "
+            f"FROM {table} WHERE {col} IS NOT NULL GROUP BY {col} ORDER BY 2 LIMIT {k}), "
+            f"r AS (SELECT DISTINCT {row} FROM {table} WHERE {col} IN (SELECT v FROM t)) "
+            f"SELECT r.{row}, t.\"rank\", t.v AS {col}, (SELECT count(*) FROM {table} o "
+            f"WHERE o.{row} IS NOT DISTINCT FROM r.{row} AND o.{col} = t.v) AS n FROM r, t")
 
 
 def _binary_split() -> str:
@@ -233,12 +250,65 @@ def _standardize() -> str:
     return f"SELECT p_partkey, {z('p_size')}, {z('p_retailprice')} FROM part"
 
 
-def _sink_roundtrip() -> str:
-    share = "(SELECT count(*) FROM (SELECT DISTINCT o_orderpriority FROM orders))"
-    return ("SELECT 'orders' AS collection, count(*) AS n FROM orders UNION ALL "
-            f"SELECT 'priority_share', {share} UNION ALL "
-            f"SELECT 'priority_share_csv', {share} UNION ALL "
-            f"SELECT 'priority_share_json', {share}")
+_SINKS = "(VALUES ('csv'), ('json'), ('parquet')) AS s(sink)"
+
+
+def _text_roundtrip() -> str:
+    hard = ("CASE doc_id % 5 WHEN 0 THEN ' \"' || text || '\"' || chr(10) WHEN 1 THEN '' WHEN 2 THEN NULL "
+            "WHEN 3 THEN '\\,' || text || chr(13) || chr(10) || ' ' ELSE text END")
+    return (f"SELECT sink, doc_id, CAST(coalesce(length(t), -1) AS INTEGER) AS n, md5(coalesce(t, 'NULL')) AS digest "
+            f"FROM (SELECT doc_id, {hard} AS t FROM documents) CROSS JOIN {_SINKS}")
+
+
+def _feature_vectors() -> str:
+    def codes(col):
+        return (f"SELECT {col}, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS DOUBLE) AS i "
+                f"FROM part GROUP BY {col}")
+
+    def z(c):
+        return f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6)"
+
+    return (f"WITH t AS ({codes('p_type')}), b AS ({codes('p_brand')}), "
+            f"x AS (SELECT p_partkey, t.i AS t, b.i AS b, CAST(p_size AS DOUBLE) AS s FROM part "
+            f"JOIN t USING (p_type) JOIN b USING (p_brand)) "
+            f"SELECT p_partkey, {z('t')} AS z0, {z('b')} AS z1, {z('s')} AS z2 FROM x")
+
+
+# Eigenvalues of a 2 x 2 covariance matrix [[a, b], [b, c]]; vectors (b, l - a) normed, second entry positive.
+_EIGEN = ("e AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c, avg(x) AS mx, avg(y) AS my FROM p), "
+          "l AS (SELECT *, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS l1, "
+          "(a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) AS l2 FROM e), "
+          "v AS (SELECT *, b * sign(l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS x1, "
+          "abs(l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS y1, "
+          "b * sign(l2 - a) / sqrt(b * b + (l2 - a) * (l2 - a)) AS x2, "
+          "abs(l2 - a) / sqrt(b * b + (l2 - a) * (l2 - a)) AS y2 FROM l)")
+_PLANE = "p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y FROM part)"
+
+_POINTS = ("x AS (SELECT l_returnflag AS f, ascii(l_returnflag) * 10000.0 + l_quantity AS x FROM lineitem), "
+           "g AS (SELECT f, count(*) AS n, avg(x) AS m, avg(x * x) AS q, min(x) AS low FROM x GROUP BY f)")
+
+
+def _quality_groups() -> str:
+    """Cost about the group means; mean of (b - a) / max(a, b) with mean squared distances a to the
+    own group (without the point) and b to the nearest other one."""
+    return (f"WITH {_POINTS}, w AS (SELECT f, x, count(*) AS c FROM x GROUP BY f, x), "
+            f"d AS (SELECT w.f, w.x, c, g.f = w.f AS own, g.n, w.x * w.x - 2 * w.x * g.m + g.q AS d FROM w, g), "
+            f"a AS (SELECT f, x, c, min(d) FILTER (NOT own) AS b, max(d * n / nullif(n - 1, 0)) FILTER (own) AS a "
+            f"FROM d GROUP BY f, x, c) "
+            f"SELECT CAST((SELECT count(*) FROM g) AS INTEGER) AS k, "
+            f"(SELECT round(sum((x.x - g.m) * (x.x - g.m)), 2) FROM x JOIN g USING (f)) AS training_cost, "
+            f"round(sum(c * CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) / sum(c), 8) AS silhouette "
+            f"FROM a")
+
+
+def _elbow_groups() -> str:
+    """k = 3 keeps the places apart; k = 2 joins the two that lie close."""
+    places = ", ".join(f"({lit(v)}, {at})" for v, at in P.PRIORITY_PLACES.items())
+    near = sorted(set(P.PRIORITY_PLACES.values()))[1]
+    cost = "SELECT {k} AS k, round(sum((x - m) * (x - m)), 1) AS wssse FROM (SELECT x, avg(x) OVER (PARTITION BY {by}) AS m FROM x)"
+    return (f"WITH v(p, place) AS (VALUES {places}), x AS (SELECT CAST(place AS DOUBLE) AS place, "
+            f"CAST(place + o_orderkey % 5 AS DOUBLE) AS x FROM orders JOIN v ON o_orderpriority = p) "
+            f"{cost.format(k=2, by=f'place <= {near}')} UNION ALL {cost.format(k=3, by='place')}")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -246,14 +316,15 @@ def oracle_sql() -> dict[str, str]:
     return {
         "normalize_ws": f"SELECT doc_id, {norm('text')} AS text_norm FROM documents",
         "html_text": f"SELECT page_id, {html_to_text('html')} AS page_text FROM pages",
-        "html_h1": f"SELECT page_id, {element_text('html', element_pattern('h1'))} AS job_title FROM pages",
-        "html_anchor": (f"SELECT page_id, {element_text('html', anchor_pattern(P.PAGE_HREF))} "
+        "html_h1": f"SELECT page_id, {element_text('html', FIRST_H1)} AS job_title FROM pages",
+        "html_anchor": (f"SELECT page_id, {element_text('html', first_link(P.PAGE_HREF))} "
                         f"AS company_name FROM pages"),
         "first_match": f"SELECT doc_id, {first_listed('text', P.DOC_FIRST_WORDS)} AS first_word FROM documents",
         "flag_text": (f"SELECT doc_id, {ordered_case('text', [(P.DOC_FLAG_PHRASE, P.DOC_FLAG_LABEL)], s)} "
                       f"AS license_flag FROM documents"),
         "regex_first": (f"SELECT doc_id, {regex_first('text', P.DOC_REF_PATTERN)} AS first_ref, "
-                        f"{regex_first('text', vocab.EDUCATION_PATTERN)} AS first_grade FROM documents"),
+                        f"{regex_first('lower(text)', P.DOC_LOWER_PATTERN)} AS first_phrase, "
+                        f"{regex_first('text', P.DOC_CASE_PATTERN)} AS first_grade FROM documents"),
         "amount_range": (f"SELECT doc_id, {amount_range('text', P.DOC_AMOUNT_PATTERN)} AS amount_range "
                          f"FROM documents"),
         "amount_range_no_fraction": (
@@ -269,7 +340,7 @@ def oracle_sql() -> dict[str, str]:
                           f"{lit(P.RUN_DATE)} AS posted_date, {lit(P.RUN_TS)} AS scraped_at, "
                           f"{lit(vocab.DOCUMENT_SOURCE)} AS source FROM orders"),
         "link_discovery": _links(),
-        "link_cap": f"SELECT url FROM ({_links()}) ORDER BY url LIMIT {vocab.LINK_TARGET}",
+        "link_cap": f"SELECT url FROM ({_links()}) ORDER BY url LIMIT {P.PAGE_LINK_CAP}",
         "safe_extract": (
             f"WITH m AS (SELECT doc_id, nullif(regexp_extract(text, {lit(P.DOC_LONG_NUMBER)}, 0), '') AS h "
             f"FROM documents) SELECT doc_id, CAST(TRY_CAST(h AS BIGINT) AS VARCHAR) AS amount, "
@@ -302,9 +373,9 @@ def oracle_sql() -> dict[str, str]:
                           f"{lit(P.PRIORITY_SENTINEL)} THEN 1 ELSE 0 END AS has_priority FROM orders"),
         "value_share": _value_share("orders", "o_orderpriority"),
         "value_share_customer": _value_share("orders", "o_custkey"),
-        "topk_with_set": ("SELECT o_custkey, count(*) AS n, "
-                          "array_to_string(list_sort(list_distinct(list(o_orderstatus))), ',') AS statuses "
-                          "FROM orders GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 10"),
+        "topk_with_set": ("SELECT CAST(o_orderdate AS VARCHAR) AS order_day, count(*) AS n, "
+                          "array_to_string(list_sort(list_distinct(list(o_orderpriority))), ',') AS priorities "
+                          "FROM orders GROUP BY 1 ORDER BY n DESC, order_day LIMIT 40"),
         "status_count": (f"SELECT CASE WHEN o_orderpriority <> {lit(P.PRIORITY_SENTINEL)} "
                          f"THEN 'Priority stated' ELSE 'Priority not stated' END AS priority_status, "
                          f"count(*) AS n FROM orders GROUP BY 1"),
@@ -345,7 +416,28 @@ def oracle_sql() -> dict[str, str]:
         "topk_semijoin": (f"SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN "
                           f"({_top_custkeys(5)})"),
         "pivot_counts": _pivot_counts(),
-        "pivot_top_counts": _pivot_top_counts(),
+        "pivot_top_counts": _pivot_top("orders", "o_orderpriority", "o_custkey", 5),
+        "pivot_top_nulls": _pivot_top(_NULLIFIED, "o_orderstatus", "o_orderpriority", 3),
+        "index_many": (
+            "WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS customer, CAST(row_number() OVER (ORDER BY count(*) DESC, "
+            "CAST(o_custkey AS VARCHAR)) - 1 AS DOUBLE) AS customer_idx FROM orders GROUP BY 1) "
+            "SELECT o_orderkey, customer, customer_idx FROM orders JOIN r ON CAST(o_custkey AS VARCHAR) = customer"),
+        "feature_vectors": _feature_vectors(),
+        "pca_plane": (f"WITH {_PLANE}, {_EIGEN} SELECT p_partkey, round((x - mx) * x1 + (y - my) * y1, 4) AS pc1, "
+                      f"round((x - mx) * x2 + (y - my) * y2, 4) AS pc2 FROM p, v"),
+        "pca_plane_variance": (f"WITH {_PLANE}, {_EIGEN} SELECT 1 AS component, round(l1 / (l1 + l2), 8) AS ratio FROM l "
+                               f"UNION ALL SELECT 2, round(l2 / (l1 + l2), 8) FROM l"),
+        "kmeans_groups": (f"WITH {_POINTS} SELECT CAST(row_number() OVER (ORDER BY low) AS INTEGER) AS number, "
+                          f"f AS l_returnflag, n FROM g"),
+        "cluster_quality_groups": _quality_groups(),
+        "elbow_groups": _elbow_groups(),
+        "rejects": f"SELECT page_id, url, 'no html' AS reason FROM {_SOME_EMPTY} WHERE html IS NULL OR html = ''",
+        "text_roundtrip": _text_roundtrip(),
+        "json_arrays": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
+        "collection_counts": ("SELECT 'orders' AS collection, count(*) AS n FROM orders UNION ALL "
+                              "SELECT 'shares', count(DISTINCT o_orderpriority) FROM orders"),
+        "documents_view": "SELECT * FROM customer",
+        "first_rows": "SELECT * EXCLUDE (o_orderdate) FROM orders ORDER BY o_orderkey LIMIT 20",
         "binary_split": _binary_split(),
         "stack_offsets": (
             "WITH c AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2) "
@@ -360,5 +452,6 @@ def oracle_sql() -> dict[str, str]:
         "index_alpha": ("SELECT p_partkey, p_brand, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS DOUBLE) "
                         "AS brand_idx FROM part"),
         "standardize": _standardize(),
-        "sink_roundtrip": _sink_roundtrip(),
+        "sink_roundtrip": (f"SELECT sink, orders.* REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) "
+                           f"FROM orders CROSS JOIN {_SINKS}"),
     }

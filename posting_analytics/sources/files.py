@@ -8,7 +8,7 @@ rendered as JSON text first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,9 +89,19 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, chunk: Column, mode: str = "overwrite") -> None:
+    """JSON arrays, one per line: the rows of equal ``chunk`` are one array.
+
+    The caller bounds an array by its chunk expression (e.g. a key divided by 1,000).
+    """
+    rows = df.groupBy(chunk.alias("_chunk")).agg(F.collect_list(F.struct(*df.columns)).alias("_rows"))
+    rows.select(F.to_json("_rows").alias("value")).write.mode(mode).text(path)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
               multiline: bool = False) -> DataFrame:
-    """JSON Lines, or one JSON array per file with ``multiline``."""
+    """JSON Lines - an object or an array of objects per line - or, with
+    ``multiline``, one JSON array per file."""
     reader = spark.read.option("multiLine", multiline)
     if schema is not None:
         reader = reader.schema(schema)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clean, extract
+from ..operators.partitioning import compute_once
 
 PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType(), True),
@@ -31,9 +32,9 @@ def read_pages_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet"
 
 
 def postings_stream(pages: DataFrame, cleaned: bool = True, **params) -> DataFrame:
-    """Posting rows (optionally cleaned) for every page of the stream."""
+    """Posting rows (optionally cleaned) for every page of the stream; each page is read once."""
     out = extract.extract_postings(pages, **params)
-    return clean.clean_postings(out) if cleaned else out
+    return clean.clean_postings(compute_once(out)) if cleaned else out
 
 
 def _start(rows: DataFrame, out_dir: str, checkpoint: str, fmt: str,

@@ -123,23 +123,6 @@ FILL_DEFAULTS = {
     "education_req": NOT_STATED,
 }
 
-# named entities decoded in page text; "&amp;" must stay last
-HTML_ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&amp;", "&"),
-]
-
 # --- fixed values: column layouts ------------------------------------------
 POSTING_COLUMNS = [
     "job_title",

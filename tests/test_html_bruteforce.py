@@ -77,7 +77,7 @@ def test_text_title_anchor_match_dom(spark, pages):
         dom = Dom("/th")
         dom.feed(r["html"])
         dom.close()
-        assert r["t"] == clean(" ".join(dom.text)), r["page_id"]
+        assert r["t"] == " ".join(" ".join(dom.text).split()), r["page_id"]
         want_h1 = clean("".join(dom.h1)) if dom.h1 is not None else vocab.NOT_FOUND
         assert r["h1"] == want_h1, r["page_id"]
         want_a = clean("".join(dom.anchor)) if dom.anchor is not None else vocab.NOT_FOUND
@@ -93,3 +93,33 @@ def test_link_discovery_matches_dom(spark, pages):
         dom.close()
         want |= {h for h in dom.hrefs if "/th" in h}
     assert got == want
+
+
+FIXTURES = [
+    '<a title="a > b" href="/companies/x">Ac<b>me</b></a> z',
+    "<a class='q>' data-x=\"<\" HREF='/companies/9' >B &amp;amp; C</a>",
+    "<p title=\"x > y\" alt='<'>caf&eacute; &#8211; it&#x27;s &hearts; &copy; &#128;</p><a href=/companies/u>U</a>",
+    "<h1 class=\"a>b\">T &lt;i&gt; <i>x</i></h1><p>y<style>p > q {}</style>z</p><script>var a = '<p>';</script>",
+    "<p>full\n time</p>", "<div>a<br/>b</div><!-- <p>no</p> --><p>&amp;lt;</p>", "plain &unknown; text & more",
+    "<h1>open <i>x</i> to the end", "<h1>one</h1><h1>two</h1>",
+]
+
+
+@pytest.mark.parametrize("i", range(len(FIXTURES)))
+def test_fixture_pages_match_dom(spark, i):
+    html = FIXTURES[i]
+    r = spark.createDataFrame([(html,)], "h string").select(
+        text.html_to_text("h").alias("t"), text.first_tag_text("h", "h1").alias("h1"),
+        text.anchor_text("h", "/companies/").alias("a"), text.hrefs("h").alias("l")).first()
+    dom = Dom("/companies/")
+    dom.feed(html)
+    dom.close()
+    assert r["t"] == " ".join(" ".join(dom.text).split())
+    assert r["h1"] == (" ".join("".join(dom.h1).split()) if dom.h1 is not None else vocab.NOT_FOUND)
+    assert r["a"] == (" ".join("".join(dom.anchor).split()) if dom.anchor is not None else vocab.NOT_FOUND)
+    assert r["l"] == dom.hrefs
+
+
+def test_template_content_is_no_text(spark):
+    r = spark.createDataFrame([("a<template><p>b</p></template>c",)], "h string").select(text.html_to_text("h")).first()
+    assert r[0] == "a c"

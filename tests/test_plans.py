@@ -79,12 +79,42 @@ def test_spread_is_the_callers_choice(spark):
     assert "Exchange" not in plan(Q.normalize_ws(spark, SF))
 
 
-def test_cluster_summary_scans_base_once(spark):
-    df = Q.cluster_summary(spark, SF)
-    df.collect()
-    final = plan(df)
-    scans = re.findall(r"^\(\d+\) Scan parquet", final, re.M)
-    assert len(scans) == 1 or "ReusedExchange" in final
+def test_cluster_summary_limits_before_shuffle(spark):
+    p = plan(Q.cluster_summary(spark, SF))
+    # the count maps are cut on each partition first; modes need no window
+    assert "row_number(), 5, Partial" in p and "row_number(), 100, Partial" in p
+    assert len(re.findall(r"^\(\d+\) Window ", p, re.M)) <= 2
+
+
+def page_texts(df):
+    """Copies of the block regex in the optimized plan: one per page text that is worked out."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("<template")
+
+
+def test_cleaning_in_the_plan_reads_each_page_once(spark):
+    from posting_analytics.operators import clean
+    from posting_analytics.operators.partitioning import compute_once
+    pages = Q.table(spark, SF, "pages")
+    postings = extract.extract_postings(pages, keep=("page_id",), **Q.PAGE_PARAMS)
+    share = Q.page_location_share(spark, SF)
+    assert page_texts(share) == 2  # the shares and their grand total, which take the same exchange
+    share.collect()
+    assert "ReusedExchange" in plan(share)
+    assert page_texts(clean.clean_postings(compute_once(postings))) == 1
+    assert page_texts(clean.clean_postings(postings)) > 1  # what the barrier is for
+
+
+def test_no_query_falls_back_from_code_generation(spark):
+    """With the fallback off, a stage whose generated code fails to compile is an error."""
+    key = "spark.sql.codegen.fallback"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        for name in ("page_location_share", "extract_postings", "html_text", "keyword_tags_whole_word",
+                     "amount_range", "html_anchor", "cluster_summary"):
+            Q.QUERIES[name](spark, SF).collect()
+    finally:
+        spark.conf.set(key, old)
 
 
 def test_distinct_counts_column_branches(spark):
@@ -106,9 +136,8 @@ ROWS_ONLY_ML = {"elbow", "kmeans_assign", "cluster_quality", "pca_scores", "pca_
 
 
 def test_no_query_plans_a_cross_join_or_python(spark):
-    import __spark_entry__ as E
-    for name, fn in E.queries().items():
-        if name in ROWS_ONLY_ML or name == "sink_roundtrip":
+    for name, fn in Q.QUERIES.items():
+        if name in ROWS_ONLY_ML:
             continue
         df = fn(spark, SF)
         df.collect()
