@@ -60,3 +60,37 @@ def test_register_view(spark):
     df = spark.createDataFrame([(1,)], "x int")
     files.register_view(df, "pa_view_test")
     assert spark.sql("SELECT count(*) AS c FROM pa_view_test").first()["c"] == 1
+
+
+HARD = ["a\nb", " lead ", "", None, 'say "hi", ok', "a\r\nb\rc", '"', "\\", '\\"x', '""', ",", "\ttab\t", " ", "\n", "#c", "a\\\nb", ' "q" ']
+
+
+def test_csv_gives_every_value_back(spark, scratch):
+    df = spark.createDataFrame(list(enumerate(HARD)), "i int, t string")
+    files.write_csv(df, os.path.join(scratch, "hard"))
+    back = files.read_csv(spark, os.path.join(scratch, "hard"), df.schema)
+    assert {r["i"]: r["t"] for r in back.collect()} == dict(enumerate(HARD)) and back.count() == len(HARD)
+
+
+def test_csv_of_other_writers(spark, scratch):
+    import csv
+    path = os.path.join(scratch, "other.csv")
+    rows = [["1", 'say ""hi""', "x\ny"], ["2", 'a "quoted", word', ""], ["3", " b ", "z"]]
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        csv.writer(f).writerows([["i", "t", "u"], *rows])
+    got = sorted(tuple(r) for r in files.read_csv(spark, path).collect())
+    assert got == [("1", 'say ""hi""', "x\ny"), ("2", 'a "quoted", word', None), ("3", " b ", "z")]
+
+
+def test_csv_refuses_what_it_cannot_hold(spark, scratch):
+    import pytest
+    with pytest.raises(ValueError):
+        files.write_csv(spark.createDataFrame([(None,)], "t string"), os.path.join(scratch, "one"))
+
+
+def test_json_arrays_round_trip(spark, scratch):
+    df = spark.range(2500).select(F.col("id"), F.concat(F.lit('"x\n'), F.col("id")).alias("t"))
+    files.write_json_arrays(df, os.path.join(scratch, "arrays"), F.floor(F.col("id") / 1000))
+    back = files.read_json(spark, os.path.join(scratch, "arrays"), df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert spark.read.text(os.path.join(scratch, "arrays")).count() == 3
