@@ -142,6 +142,7 @@ def path_features(path: tuple[str, ...]) -> list[str]:
         tag, _, words = entry.partition(" ")
         found.add(f"tag={tag}")
         found.update(f"name={w}" for w in words.split())
+        found.update(f"start={w[:4]}" for w in words.split() if len(w) > 4)  # commentlist, adsense, cookies
         if words:
             found.add(f"names={words}")
     return sorted(found)
@@ -213,8 +214,8 @@ class Crf:
         return "\n".join(b.text for b, y in zip(page, self.decode(page)) if y)
 
 
-def train(pages: list[tuple[list[Block], list[int]]], *, steps: int = 120, rate: float = 0.1,
-          decay: float = 2e-4, least: int = 3) -> Crf:
+def train(pages: list[tuple[list[Block], list[int]]], *, steps: int = 90, rate: float = 0.1,
+          decay: float = 5e-5, least: int = 3) -> Crf:
     """Maximum likelihood by Adam over all pages at once; features seen ``least`` times count."""
     pages = [p for p in pages if p[0]]
     feats = [[path_features(b.path) + text_features(b, i, len(bs)) for i, b in enumerate(bs)] for bs, _ in pages]
@@ -270,17 +271,20 @@ def train(pages: list[tuple[list[Block], list[int]]], *, steps: int = 120, rate:
 # Usual names of page parts, for the labelled pages.
 _PARTS: dict[str, tuple[str, ...]] = {
     "menu": ("menu", "nav", "navbar", "navigation", "main-menu", "topnav", "breadcrumb", "breadcrumbs", "toc",
-             "pagination", "pager", "tabs", "site-nav"),
-    "header": ("header", "site-header", "masthead", "top-bar", "banner", "branding", "logo", "page-header"),
-    "footer": ("footer", "site-footer", "bottom", "copyright", "colophon", "legal", "page-footer"),
+             "pagination", "pager", "tabs", "site-nav", "navigation-bar", "menubar", "submenu", "skip-links"),
+    "header": ("header", "site-header", "masthead", "top-bar", "banner", "branding", "logo", "page-header", "headerbar", "site-title", "tagline", "hero-banner"),
+    "footer": ("footer", "site-footer", "bottom", "copyright", "colophon", "legal", "page-footer", "footnav", "disclaimer", "imprint", "credits"),
     "side": ("sidebar", "side", "aside", "widget", "related", "related-posts", "recommended", "trending", "rail",
-             "popular", "tags", "author-box", "social", "share", "promo-box"),
+             "popular", "tags", "author-box", "social", "share", "promo-box", "sidebar-widget", "related-articles",
+             "share-buttons", "social-links", "recommendations", "most-read", "author-bio", "tag-list"),
     "notice": ("notice", "cookie", "cookie-banner", "consent", "alert", "gdpr", "popup", "modal", "message",
-               "warning", "subscribe", "newsletter", "paywall", "overlay"),
+               "warning", "subscribe", "newsletter", "paywall", "overlay", "cookie-consent", "newsletter-signup",
+               "announcement", "privacy", "signup", "login-box", "toast", "subscription"),
     "ad": ("ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "banner-ad", "ad-slot",
-           "adsbox", "ad-container"),
+           "adsbox", "ad-container", "adsbygoogle", "google-ad", "advert-box", "sponsored-content", "dfp", "adunit"),
     "comments": ("comments", "comment", "comment-list", "reader-comments", "discussion", "responses", "disqus",
-                 "replies", "user-comments", "comment-body"),
+                 "replies", "user-comments", "comment-body", "commentlist", "comment-form", "disqus-thread", "feedback",
+                 "reviews", "respond", "comment-text"),
 }
 _ARTICLE = ("content", "article", "post", "entry-content", "article-body", "main-content", "story", "post-body",
             "entry", "text", "body-text", "page-content", "article-content")
@@ -382,8 +386,8 @@ def labelled_pages(n: int = 500, seed: int = 5) -> list[tuple[str, set[str]]]:
         body = [f"<h1>{text(1, 25)}</h1>"] if chance(0.85) else []
         for _ in range(int(rng.integers(1, 14))):
             body.append(para())
-            if chance(0.06):
-                body.append(pick((ad, ad, form, side, notice))())
+            if chance(0.12):
+                body.append(pick((ad, ad, form, side, notice, notice, menu, footer, header, comments))())
         if chance(0.15):
             body.append(comments())
         name = pick(_ARTICLE)
@@ -415,7 +419,7 @@ def label(html: str, article: set[str]) -> tuple[list[Block], list[int]]:
     return page, [int(b.text in article) for b in page]
 
 
-def trained(n: int = 700, seed: int = 5) -> Crf:
+def trained(n: int = 900, seed: int = 5) -> Crf:
     """The CRF of the built labelled pages."""
     return train([label(h, a) for h, a in labelled_pages(n, seed)])
 
