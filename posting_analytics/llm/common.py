@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
         named = tempfile.mkdtemp(prefix="llm-shared-")
     sc.setCheckpointDir(named)
