@@ -43,7 +43,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def n_buckets(spark: SparkSession, most: int = 1 << 12) -> int:
+def n_buckets(spark: SparkSession, most: int = 1 << 16) -> int:
     """Buckets for routed keys: the power of two at or above the session's
     shuffle partitions, which its owner sizes to the data."""
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -180,6 +180,10 @@ _SENT = "w_bucket int, bucket int, w binary, types binary, counts binary, coc ar
 _BACK = "bucket int, w_bucket int, types binary, counts binary, coc array<long>, words array<long>"
 
 
+#: Buckets of words at most (2 ** 10): a bucket of words holds counts of distinct words only.
+_WORD_BITS = 10
+
+
 def _count(bits: int):
     """Continuation counts of a bucket, sent to every bucket of words with the bucket's counts of counts."""
     def run(table: pa.Table) -> pa.Table:
@@ -321,12 +325,12 @@ def score_corpus(docs: DataFrame, held_out: Column) -> DataFrame:
     shuffle partitions, which its owner sizes to the data.
     """
     spark = docs.sparkSession
-    bits = min(10, max(0, int(spark.conf.get("spark.sql.shuffle.partitions", "200")).bit_length() - 1))
+    bits = min(16, max(0, int(spark.conf.get("spark.sql.shuffle.partitions", "200")).bit_length() - 1))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col("text").cast("string").alias("text"))
     sent = rows.mapInArrow(_route(bits), _ROUTED)
-    named = sent.groupBy("bucket").applyInArrow(_count(bits), _SENT)
+    named = sent.groupBy("bucket").applyInArrow(_count(min(bits, _WORD_BITS)), _SENT)
     back = named.groupBy("w_bucket").applyInArrow(_continue, _BACK)
     parts = sent.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(_score, _PART)
     return parts.groupBy("run").applyInArrow(_finish, _OUT)

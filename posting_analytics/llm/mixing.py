@@ -7,9 +7,10 @@ stand in key order and a prefix sum of their sizes is cut at the source's token
 budget.  A budget above the source's size takes complete epochs first and the
 rest by key order.  Only DataFrame functions are used.
 
-The prefix sum never sorts a source in one task: keys fall in ``key_buckets``
-ranges, range totals give the range in which the budget ends, ranges before it
-are taken whole, and only the rows of that one range are put in order.
+The prefix sum never sorts a source in one task: keys fall in ranges, whose
+number follows the number of rows; range totals give the range in which the
+budget ends, ranges before it are taken whole, and only the rows of that one
+range are put in order.
 
 Cases: a null text has size 0 and is taken 0 times; a null source is a source
 of its own and stands last; repeated rows are documents of their own; ties in
@@ -19,11 +20,15 @@ extra columns are ignored; a missing weight column is not needed.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut, uniform
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a key range on average, at most, if all rows were of one source; fewest ranges.
+ROWS_PER_RANGE, LEAST_RANGES = 100_000, 4096
 #: Sources up to this many are joined by broadcast (about 100 bytes each); more are shuffled.
 BROADCAST_SOURCES = 10_000
 
@@ -68,14 +73,23 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], total_share: fl
     return t.select("source", "source_size", target.alias("target"))
 
 
-def _keyed(docs: DataFrame, seed: int, key_buckets: int, quality: Column | None) -> DataFrame:
-    """The rows with ``_source, _size, _key, _bucket`` added."""
+def _keyed(docs: DataFrame, seed: int, quality: Column | None) -> DataFrame:
+    """The rows with ``_source, _size, _key`` added."""
     weight = noise_weight(F.col("text")) if quality is None else quality
     key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / F.greatest(weight, F.lit(1e-9))
-    rows = docs.withColumns({"_source": F.col("source").cast("string"),
+    return docs.withColumns({"_source": F.col("source").cast("string"),
                              "_size": word_count(F.col("text")), "_key": key})
-    place = F.floor((1 - F.exp(-F.col("_key"))) * key_buckets)
-    return rows.withColumn("_bucket", F.least(place, F.lit(key_buckets - 1)).cast("int"))
+
+
+def _ranges(slim: DataFrame, wanted: int | None) -> int:
+    """The number of key ranges for the (checkpointed) rows."""
+    return wanted or max(LEAST_RANGES, math.ceil(slim.count() / ROWS_PER_RANGE))
+
+
+def _in_ranges(rows: DataFrame, n: int) -> DataFrame:
+    """``_bucket``: the range of the key, in key order."""
+    place = F.floor((1 - F.exp(-F.col("_key"))) * n)
+    return rows.withColumn("_bucket", F.least(place, F.lit(n - 1)).cast("long"))
 
 
 #: Order of the rows of a source.
@@ -114,7 +128,7 @@ def _edge_rows(rows: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5,
-                most_epochs: float = 2.0, seed: int = 17, key_buckets: int = 4096,
+                most_epochs: float = 2.0, seed: int = 17, key_ranges: int | None = None,
                 quality: Column | None = None) -> DataFrame:
     """``doc_id, source, size, source_size, target, epochs, taken`` of every document.
 
@@ -122,8 +136,8 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), tota
     plus what the fractional selection takes; the document in which the budget
     ends gives the words up to it.
     """
-    slim = cut(_keyed(docs.select("doc_id", "source", "text"), seed, key_buckets, quality)
-               .select("_source", "_bucket", *_ORDER))
+    slim = cut(_keyed(docs.select("doc_id", "source", "text"), seed, quality).select("_source", *_ORDER))
+    slim = _in_ranges(slim, _ranges(slim, key_ranges))
     rows = _with_plan(slim, _plan(slim, weights, total_share, most_epochs))
     base = F.col("epochs") * F.col("_size")
     rest = F.when(F.col("_bucket") < F.col("edge"), F.col("_size")).otherwise(0)
@@ -136,14 +150,16 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), tota
 
 
 def mixed_documents(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5,
-                    most_epochs: float = 2.0, seed: int = 17, key_buckets: int = 4096,
+                    most_epochs: float = 2.0, seed: int = 17, key_ranges: int | None = None,
                     quality: Column | None = None) -> DataFrame:
     """The mix as whole documents, all columns: a document stands there once per epoch that takes it.
 
     The document in which a source's budget ends is taken whole.
     """
-    keyed = _keyed(docs, seed, key_buckets, quality)
-    slim = cut(keyed.select("_source", "_bucket", *_ORDER))
+    keyed = _keyed(docs, seed, quality)
+    slim = cut(keyed.select("_source", *_ORDER))
+    n = _ranges(slim, key_ranges)
+    keyed, slim = _in_ranges(keyed, n), _in_ranges(slim, n)
     plan = _plan(slim, weights, total_share, most_epochs)
     place = F.struct(*_ORDER)
     last = _edge_rows(_with_plan(slim, plan)).filter("ahead < rest").groupBy(

@@ -11,7 +11,8 @@ Only DataFrame functions are used.
 
 Slots number the rows of a shard from 0 without gaps: rows are counted per
 (shard, sub-bucket), counts are prefix-summed over the sub-buckets, and rows are
-numbered inside a sub-bucket only, so no task orders a whole shard.
+numbered inside a sub-bucket only, so no task orders a whole shard.  The number of
+sub-buckets follows the number of rows.
 
 Cases: a null text has no bytes and checksum 0; a null doc_id is a key of its
 own; equal keys share a shard; rows that agree in doc_id, size and checksum are
@@ -20,10 +21,16 @@ interchangeable; an empty table gives an empty result; extra columns are ignored
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut, uniform
 
+#: Rows of a sub-bucket on average, at most; fewest sub-buckets of a shard.
+ROWS_PER_BUCKET, LEAST_BUCKETS = 100_000, 64
+#: Start tables up to this many rows are joined by broadcast (about 30 bytes each); larger ones are shuffled.
+BROADCAST_STARTS = 100_000
 #: (region, rack) of shard i: racks of 4 shards, regions of 2 racks.
 SHARDS_PER_RACK, RACKS_PER_REGION = 4, 2
 
@@ -54,7 +61,7 @@ def descend(regions: list[list[list[tuple[int, float]]]], key: Column, seed: int
 
 
 def assign_shards(docs: DataFrame, n_shards: int = 24, *, weights: dict[int, float] | None = None,
-                  seed: int = 29, sub_buckets: int = 64) -> DataFrame:
+                  seed: int = 29, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
     ``size`` is the text's UTF-8 bytes plus 8; ``grown_shard`` is the shard in
@@ -67,13 +74,15 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, *, weights: dict[int, flo
         F.crc32(body.cast("binary")).alias("text_crc32"),
         descend(tree(n_shards, weights), key, seed).alias("shard"),
         descend(tree(n_shards + 1, weights), key, seed).alias("grown_shard"),
-        F.pmod(F.xxhash64("doc_id", body, F.lit(seed + 1)), F.lit(sub_buckets)).cast("int").alias("sub")))
+        F.xxhash64("doc_id", body, F.lit(seed + 1)).alias("spot")))
+    sub_buckets = max(LEAST_BUCKETS, math.ceil(rows.count() / n_shards / rows_per_bucket))
+    rows = rows.withColumn("sub", F.pmod("spot", F.lit(sub_buckets)))
     run = Window.partitionBy("shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("shard", "sub").agg(F.count("*").alias("n")).select(
         "shard", "sub", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("start"))
     inside = Window.partitionBy("shard", "sub").orderBy("doc_id", "text_crc32", "size")
-    # shards x sub_buckets rows: the size of this side is fixed by the two parameters
+    few = n_shards * sub_buckets <= BROADCAST_STARTS
     return rows.withColumn("place", F.row_number().over(inside) - 1).join(
-        F.broadcast(starts), ["shard", "sub"]).select(
+        F.broadcast(starts) if few else starts, ["shard", "sub"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("start") + F.col("place")).cast("long").alias("slot"), "grown_shard")

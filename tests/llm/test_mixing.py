@@ -66,7 +66,7 @@ def test_better_documents_come_first(docs_of):
 def test_range_cut_equals_a_plain_prefix_sum(docs_of):
     """Few key ranges and many give the same selection."""
     rows = random_rows(200, 9)
-    a, b = (sorted((r["doc_id"], r["taken"]) for r in M.mix_sources(docs_of(rows), key_buckets=n).collect())
+    a, b = (sorted((r["doc_id"], r["taken"]) for r in M.mix_sources(docs_of(rows), key_ranges=n).collect())
             for n in (1, 5000))
     assert a == b
 
