@@ -45,7 +45,7 @@ from .common import cut, n_buckets, written
 
 K, NUMERATOR, DENOMINATOR = 4, 85, 100
 GROUPS, NODE, LEAF = 64, 16, 256
-_RUN_BYTES, _RUN_DOCS, _DOC_BITS = 8 << 20, 4096, 12
+_RUN_BYTES, _RUN_DOCS, _DOC_BITS = 4 << 20, 4096, 12
 U = np.uint64
 
 
