@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import match, money, text
 from ..operators import clean, cluster, documents, extract, features, report, tables
-from ..operators.partitioning import compute_once
+from ..operators.partitioning import compute_once, spread
 from ..session import scratch_path
 from ..sources import collections, files, profile
 from . import params as P
@@ -25,45 +25,56 @@ from . import params as P
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Session setting: how many partitions the rows of CPU-heavy inputs are dealt over after the scan.
+#: Unset (the default) nothing is dealt: a large input arrives in many scan partitions.
+DEAL_SETTING = "spark.posting_analytics.dealOver"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that feeds CPU-heavy work per row, dealt over partitions if the session's owner asks for it."""
+    df, wanted = table(spark, sf_dir, name), spark.conf.get(DEAL_SETTING, None)
+    return spread(df, int(wanted)) if wanted else df
+
+
 # --- E: extraction ---------------------------------------------------------
 
 def normalize_ws(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", text.normalize_ws("text").alias("text_norm"))
 
 
 def html_text(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
+    p = heavy(spark, sf_dir, "pages")
     return p.select("page_id", text.html_to_text("html").alias("page_text"))
 
 
 def html_h1(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
+    p = heavy(spark, sf_dir, "pages")
     return p.select("page_id", text.first_tag_text("html", "h1").alias("job_title"))
 
 
 def html_anchor(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
+    p = heavy(spark, sf_dir, "pages")
     return p.select("page_id", text.anchor_text("html", P.PAGE_HREF).alias("company_name"))
 
 
 def first_match(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", match.first_listed("text", P.DOC_FIRST_WORDS).alias("first_word"))
 
 
 def flag_text(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", match.phrase_flag("text", P.DOC_FLAG_PHRASE, P.DOC_FLAG_LABEL)
                     .alias("license_flag"))
 
 
 def regex_first(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id",
                     match.regex_first("text", P.DOC_REF_PATTERN).alias("first_ref"),
                     match.regex_first("text", P.DOC_LOWER_PATTERN, lower=True).alias("first_phrase"),
@@ -71,18 +82,18 @@ def regex_first(spark, sf_dir):
 
 
 def amount_range(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", money.amount_range("text", P.DOC_AMOUNT_PATTERN).alias("amount_range"))
 
 
 def amount_range_no_fraction(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", money.amount_range("text", P.DOC_AMOUNT_PATTERN, drop_fraction=True)
                     .alias("amount_range"))
 
 
 def keyword_tags_whole_word(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", match.keyword_tags("text", P.DOC_TAG_WORDS, whole_word=True)
                     .alias("tags"))
 
@@ -94,12 +105,12 @@ def money_format(spark, sf_dir):
 
 
 def keyword_tags(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", match.keyword_tags("text", P.DOC_TAG_WORDS).alias("tags"))
 
 
 def keyword_label(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     return d.select("doc_id", match.ordered_label("text", P.DOC_LABELS, vocab.NOT_FOUND)
                     .alias("label"))
 
@@ -114,16 +125,16 @@ def const_columns(spark, sf_dir):
 
 
 def link_discovery(spark, sf_dir):
-    return extract.discover_links(table(spark, sf_dir, "pages"), href_substring=P.PAGE_HREF)
+    return extract.discover_links(heavy(spark, sf_dir, "pages"), href_substring=P.PAGE_HREF)
 
 
 def link_cap(spark, sf_dir):
-    links = extract.discover_links(table(spark, sf_dir, "pages"), href_substring=P.PAGE_HREF)
+    links = extract.discover_links(heavy(spark, sf_dir, "pages"), href_substring=P.PAGE_HREF)
     return extract.cap_links(links, P.PAGE_LINK_CAP)
 
 
 def safe_extract(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = heavy(spark, sf_dir, "documents")
     value, err = extract.safe_number("text", P.DOC_LONG_NUMBER)
     # shown as text: a nullable bigint would reach pandas as float64
     return d.select("doc_id", value.cast("string").alias("amount"), err.alias("parse_error"))
@@ -139,7 +150,7 @@ def _pages_some_empty(spark, sf_dir):
     """Pages of which some came without HTML (NULL) or with none in it (empty)."""
     lost = F.col("page_id") % P.PAGE_REJECT_EVERY
     html = F.when(lost == 0, F.lit(None)).when(lost == 1, F.lit("")).otherwise(F.col("html"))
-    return table(spark, sf_dir, "pages").withColumn("html", html)
+    return heavy(spark, sf_dir, "pages").withColumn("html", html)
 
 
 def extract_postings(spark, sf_dir):
@@ -154,7 +165,7 @@ def rejects(spark, sf_dir):
 def page_location_share(spark, sf_dir):
     """Pages -> posting rows -> cleaning chain -> title category -> share of
     each (location, category) among the kept postings."""
-    postings = extract.extract_postings(table(spark, sf_dir, "pages"), keep=("page_id",),
+    postings = extract.extract_postings(heavy(spark, sf_dir, "pages"), keep=("page_id",),
                                         **PAGE_PARAMS)
     cleaned = clean.clean_postings(compute_once(postings), require_salary=False)
     keyed = cleaned.withColumn("location_category",
@@ -435,7 +446,7 @@ def pca_plane_variance(spark, sf_dir):
 def _groups(spark, sf_dir):
     """Line items as points around far apart places, one per return flag."""
     place = (F.ascii("l_returnflag") * 10_000).cast("double")
-    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", (place + F.col("l_quantity")).alias("x"))
+    rows = heavy(spark, sf_dir, "lineitem").select("l_returnflag", (place + F.col("l_quantity")).alias("x"))
     return features.assembler(["x"], "features").transform(rows)
 
 
@@ -499,7 +510,7 @@ def text_roundtrip(spark, sf_dir):
     hard = (F.when(turn == 0, F.concat(F.lit(' "'), t, F.lit('"\n')))
             .when(turn == 1, F.lit("")).when(turn == 2, F.lit(None))
             .when(turn == 3, F.concat(F.lit("\\,"), t, F.lit("\r\n "))).otherwise(t))
-    d = table(spark, sf_dir, "documents").select("doc_id", hard.alias("text"), "lang")
+    d = heavy(spark, sf_dir, "documents").select("doc_id", hard.alias("text"), "lang")
     root = scratch_path(spark, "texts")
     parts = [_through(spark, d, d.schema, fmt, f"{root}/{fmt}").withColumn("sink", F.lit(fmt)) for fmt in _SINKS]
     # compared by length and digest: DuckDB views hold the same values
