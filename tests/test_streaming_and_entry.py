@@ -43,12 +43,6 @@ def test_entry_and_registry(spark):
     assert rows_only == {"elbow", "kmeans_assign", "cluster_quality", "pca_scores", "pca_variance"}
 
 
-def test_every_query_runs_at_smallest_scale(spark):
-    for name, fn in driver_queries.QUERIES.items():
-        df = fn(spark, SF)
-        assert df.count() >= 0, name
-
-
 def test_default_restart_reads_only_what_came_meanwhile(spark, scratch):
     src, out = os.path.join(scratch, "pages4"), os.path.join(scratch, "out4")
     for batch in (1, 2):
