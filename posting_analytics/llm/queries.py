@@ -87,13 +87,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_topk_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.z, c.z), p -> p[1] * p[2])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(q.z, c.z), lambda p: p[1] * p[2])) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.z) = len(c.z)
             WHERE q.vec_id % 50 = 0),
         r AS (
