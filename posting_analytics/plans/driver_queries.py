@@ -146,20 +146,23 @@ PAGE_PARAMS = dict(cities=P.DOC_FIRST_WORDS, skills=P.DOC_TAG_WORDS, responsibil
                    salary_pattern=P.PAGE_AMOUNT_PATTERN, run_date=P.RUN_DATE)
 
 
-def _pages_some_empty(spark, sf_dir):
-    """Pages of which some came without HTML (NULL) or with none in it (empty)."""
+def _pages_and_empty(spark, sf_dir):
+    """All pages, and copies of some that came without HTML (NULL) or with none in it (empty)."""
+    pages = heavy(spark, sf_dir, "pages")
     lost = F.col("page_id") % P.PAGE_REJECT_EVERY
-    html = F.when(lost == 0, F.lit(None)).when(lost == 1, F.lit("")).otherwise(F.col("html"))
-    return heavy(spark, sf_dir, "pages").withColumn("html", html)
+    copies = table(spark, sf_dir, "pages").filter(lost < 2).withColumn(
+        "html", F.when(lost == 1, F.lit("")))
+    return pages.unionByName(copies)
 
 
 def extract_postings(spark, sf_dir):
-    return extract.extract_postings(_pages_some_empty(spark, sf_dir), keep=("page_id",),
+    """A posting row of every page; the copies without HTML give none."""
+    return extract.extract_postings(_pages_and_empty(spark, sf_dir), keep=("page_id",),
                                     **PAGE_PARAMS)
 
 
 def rejects(spark, sf_dir):
-    return extract.rejected_pages(_pages_some_empty(spark, sf_dir))
+    return extract.rejected_pages(_pages_and_empty(spark, sf_dir))
 
 
 def page_location_share(spark, sf_dir):
@@ -505,12 +508,17 @@ def sink_roundtrip(spark, sf_dir):
 
 
 def text_roundtrip(spark, sf_dir):
-    """Document texts with quotes, line breaks, edge spaces, empty strings and NULLs, as each sink gives them back."""
+    """Every document text, some with quotes, line breaks and edge spaces, as each sink gives it back.
+
+    Empty strings and NULLs are rows of their own, under the negative ids ``-1 - doc_id``.
+    """
     t, turn = F.col("text"), F.col("doc_id") % 5
     hard = (F.when(turn == 0, F.concat(F.lit(' "'), t, F.lit('"\n')))
-            .when(turn == 1, F.lit("")).when(turn == 2, F.lit(None))
             .when(turn == 3, F.concat(F.lit("\\,"), t, F.lit("\r\n "))).otherwise(t))
     d = heavy(spark, sf_dir, "documents").select("doc_id", hard.alias("text"), "lang")
+    bare = table(spark, sf_dir, "documents").filter(turn.isin(1, 2)).select(
+        (F.lit(-1) - F.col("doc_id")).alias("doc_id"), F.when(turn == 1, F.lit("")).alias("text"), "lang")
+    d = d.unionByName(bare)
     root = scratch_path(spark, "texts")
     parts = [_through(spark, d, d.schema, fmt, f"{root}/{fmt}").withColumn("sink", F.lit(fmt)) for fmt in _SINKS]
     # compared by length and digest: DuckDB views hold the same values
