@@ -11,14 +11,18 @@ smallest doc_id that links reach.
    shingles are under 85 % of its set has no partner.
 3. Classes that share one of their rarest shingles - as many as a partner at the
    threshold could lack, plus one - may link.  Their connected components are
-   the clusters in which partners lie.
+   the clusters in which partners lie.  In a cluster of more than one leaf, each
+   class is first verified against one hub a round, the class of a drawn order
+   that heads most of its rarest shingles; what links is one part from then on.
 4. Shingles hash into 64 groups, and a class is the point of its group counts.  A
    cluster's points are packed into the leaves of an R-tree by size and
    coordinates; the overlap of a point with anything in a node is at most the sum
    of the coordinate minima of the point and the node's upper corner.  Large
-   clusters have many leaves and leaf pairs are joined under the same bound.
-   Points under a surviving node are bounded one by one, and what is left is
-   verified on the shingles themselves.
+   clusters have many leaves, cut from points sorted by part, size and coordinate
+   sums, and leaf pairs are joined under the same bound.  A large part has leaves
+   of its own, and leaves of one part are not joined: its points still meet all
+   points outside it.  Points under a surviving node are bounded one by one, and
+   what is left is verified on the shingles themselves.
 5. Verified links give the components.  A search starts from a point and takes in
    what links to it, so points already reached are not compared again and a large
    group of near copies yields a spanning tree, not all its pairs.
@@ -38,6 +42,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as B
@@ -45,6 +50,7 @@ from .common import cut, n_buckets, written
 
 K, NUMERATOR, DENOMINATOR = 4, 85, 100
 GROUPS, NODE, LEAF = 64, 16, 256
+_ROUNDS = 4
 _RUN_BYTES, _RUN_DOCS, _DOC_BITS = 4 << 20, 4096, 12
 U = np.uint64
 
@@ -197,7 +203,7 @@ def _shared(bits: int):
     return run
 
 
-_POINT = "sig long, n int, keys binary, prefix array<long>"
+_POINT = "sig long, n int, keys binary, prefix array<long>, low int, even int"
 
 
 def _least_overlap(a, b):
@@ -219,7 +225,7 @@ def _gather(table: pa.Table) -> pa.Table:
     key, own = key[order], own[order]
     n_shared = np.bincount(own, minlength=len(whole))
     first = np.concatenate([[0], np.cumsum(n_shared)])
-    out: list[list] = [[], [], [], []]
+    out: list[list] = [[], [], [], [], [], []]
     for i in np.flatnonzero(DENOMINATOR * n_shared >= NUMERATOR * size).tolist():
         mine = key[first[i]:first[i + 1]]
         n = int(size[i])
@@ -229,8 +235,11 @@ def _gather(table: pa.Table) -> pa.Table:
         out[1].append(n)
         out[2].append(np.sort(mine).tobytes())
         out[3].append(mine[:rare].view(np.int64))
+        out[4].append(int((mine % U(GROUPS) < U(GROUPS // 2)).sum()))
+        out[5].append(int((mine % U(2) == 0).sum()))
     return pa.table({"sig": pa.array(out[0], pa.int64()), "n": pa.array(out[1], pa.int32()),
-                     "keys": pa.array(out[2], pa.binary()), "prefix": pa.array(out[3], pa.list_(pa.int64()))})
+                     "keys": pa.array(out[2], pa.binary()), "prefix": pa.array(out[3], pa.list_(pa.int64())),
+                     "low": pa.array(out[4], pa.int32()), "even": pa.array(out[5], pa.int32())})
 
 
 # --- R-tree ---------------------------------------------------------------------------------
@@ -267,68 +276,121 @@ class Tree:
         return at[bound >= _least_overlap(size, self.sizes[at])]
 
 
-def _links(sigs: list[int], sizes: np.ndarray, keys: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect all points that any links connect (a spanning forest)."""
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many of the sorted keys of b are among the sorted keys of a."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    return int((a[at] == b).sum())
+
+
+def _links(sigs: list[int], sizes: np.ndarray, keys: list[np.ndarray], parts: list[int]) -> list[tuple[int, int]]:
+    """Links that, with the parts already linked, connect all points that any links connect."""
     tree = Tree(np.stack([count_vector(k) for k in keys]), sizes)
     free = np.ones(len(sigs), bool)
     place = np.argsort(tree.order)
+    members: dict[int, list[int]] = {}
+    for i, part in enumerate(parts):
+        members.setdefault(part, []).append(i)
     out = []
-    for start in range(len(sigs)):
-        if not free[place[start]]:
+    for start in members:
+        if not free[place[members[start][0]]]:
             continue
-        free[place[start]] = False
-        queue = [start]
-        while queue:
+        queue = list(members[start])
+        free[place[queue]] = False
+        while queue and free.any():
             i = queue.pop()
             mine, n = keys[i], int(sizes[i])
             for p in tree.search(tree.vectors[place[i]], n, free).tolist():
                 j = int(tree.order[p])
-                other = keys[j]
-                at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
-                common = int((mine[at] == other).sum())
-                if common >= _least_overlap(n, int(sizes[j])):
-                    free[p] = False
-                    queue.append(j)
+                if free[p] and _common(mine, keys[j]) >= _least_overlap(n, int(sizes[j])):
+                    with_it = members[parts[j]]
+                    free[place[with_it]] = False
+                    queue += with_it
                     out.append((sigs[i], sigs[j]))
     return out
 
 
-def _leaf(table: pa.Table) -> pa.Table:
-    keys = [np.frombuffer(k.as_py(), U) for k in table.column("keys")]
-    upper = np.max([count_vector(k) for k in keys], axis=0)
-    n = table.column("n").to_numpy()
-    return pa.table({
-        "cluster": table.column("cluster").slice(0, 1), "band": table.column("band").slice(0, 1),
-        "part": table.column("part").slice(0, 1), "upper": pa.array([upper.tolist()], pa.list_(pa.int32())),
-        "least": pa.array([int(n.min())], pa.int32()), "most": pa.array([int(n.max())], pa.int32()),
-        "sigs": pa.array([table.column("sig").to_numpy().tobytes()], pa.binary()),
-        "sizes": pa.array([n.astype(np.int32).tobytes()], pa.binary()),
-        "lengths": pa.array([np.array([len(k) for k in keys], np.int32).tobytes()], pa.binary()),
-        "points": pa.array([b"".join(k.tobytes() for k in keys)], pa.binary())})
+_BODY = ["sigs", "sizes", "parts", "lengths", "points"]
+_LEAF = ("cluster long, band int, own long, leaf long, upper array<int>, least int, most int, sigs binary, "
+         "sizes binary, parts binary, lengths binary, points binary")
+
+
+def _leaf(cluster: int, band: int, own: int | None, leaf: int, rows: list[tuple[int, int, bytes, int]]) -> dict:
+    """A leaf of points ``sig, n, keys, part``."""
+    keys = [np.frombuffer(r[2], U) for r in rows]
+    n = np.array([r[1] for r in rows], np.int32)
+    return {"cluster": cluster, "band": band, "own": own, "leaf": leaf,
+            "upper": np.max([count_vector(k) for k in keys], axis=0).tolist(),
+            "least": int(n.min()), "most": int(n.max()),
+            "sigs": np.array([r[0] for r in rows], np.int64).tobytes(), "sizes": n.tobytes(),
+            "parts": np.array([r[3] for r in rows], np.int64).tobytes(),
+            "lengths": np.array([len(k) for k in keys], np.int32).tobytes(), "points": b"".join(r[2] for r in rows)}
+
+
+def _leaf_table(rows: list[dict]) -> dict[str, pa.Array]:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+    return {name: pa.array([r[name] for r in rows], kinds[kind])
+            for name, kind in (x.split() for x in _LEAF.split(", "))}
+
 
+def _shared_leaf(table: pa.Table) -> pa.Table:
+    """Small clusters that share a leaf."""
+    rows = list(zip(*[table.column(c).to_pylist() for c in ("sig", "n", "keys", "sig")]))
+    return pa.table(_leaf_table([_leaf(table.column("share")[0].as_py(), -1, None, 0, rows)]))
 
-_LEAF = ("cluster long, band int, part int, upper array<int>, least int, most int, sigs binary, "
-         "sizes binary, lengths binary, points binary")
+
+def _cut_leaves(size: int):
+    """Leaves of ``size`` points of large clusters, which come sorted."""
+    def run(batches):
+        number = TaskContext.get().partitionId() << 32
+        rows, key = [], None
+
+        def leaf():
+            nonlocal number
+            number += 1
+            return pa.RecordBatch.from_pydict(_leaf_table([_leaf(*key, number, rows)]))
+
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("cluster", "band", "own", "sig", "n", "keys", "part")]
+            for cluster, band, own, *row in zip(*cols):
+                if rows and (len(rows) >= size or key != (cluster, band, own)):
+                    yield leaf()
+                    rows = []
+                key = (cluster, band, own)
+                rows.append(tuple(row))
+        if rows:
+            yield leaf()
+    return run
 
 
 def _link_leaves(batches):
     for batch in batches:
         for row in batch.to_pylist():
             sigs: list[int] = []
+            parts: list[int] = []
             sizes, keys = [], []
             for side in ("", "2"):
                 if row["sigs" + side] is None:
                     continue
                 sigs += np.frombuffer(row["sigs" + side], np.int64).tolist()
+                parts += np.frombuffer(row["parts" + side], np.int64).tolist()
                 sizes.append(np.frombuffer(row["sizes" + side], np.int32).astype(np.int64))
                 lengths = np.frombuffer(row["lengths" + side], np.int32)
                 keys += np.split(np.frombuffer(row["points" + side], U), np.cumsum(lengths)[:-1])
-            found = _links(sigs, np.concatenate(sizes), keys)
+            found = _links(sigs, np.concatenate(sizes), keys, parts)
             if found:
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _verify(batches):
+    """Of classes and their hubs: those that link."""
+    for batch in batches:
+        n, n2 = batch.column("n").to_pylist(), batch.column("n2").to_pylist()
+        ok = [_common(np.frombuffer(a.as_py(), U), np.frombuffer(b.as_py(), U)) >= _least_overlap(x, y)
+              for a, b, x, y in zip(batch.column("keys"), batch.column("keys2"), n, n2)]
+        yield pa.RecordBatch.from_arrays([batch.column("sig"), batch.column("hub")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` (the least node reached) of every node of ``edges`` (``a, b``).
 
@@ -352,28 +414,106 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("node", "label")
 
 
-def _with_leaves(points: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Points with the leaf ``cluster, band, part`` they belong to.
+def _joined(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """``sig, part`` after ``found`` links: only the parts that they connect are labelled anew."""
+    def end(name):
+        return parts.select(F.col("sig").alias(name), F.col("part").alias(f"part_{name}"))
+
+    met = found.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
+        F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")).distinct()
+    label = components(met)
+    new = label.join(parts, label.node == parts.sig, "left_anti").select(F.col("node").alias("sig"), F.col("label").alias("part"))
+    old = parts.join(label, parts.part == label.node, "left").select("sig", F.coalesce("label", "part").alias("part"))
+    return old.unionByName(new)
+
+
+def _contracted(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Verified links of classes with hubs, and ``sig, part`` of the classes they connect.
+
+    Each round tries one hub for each class that has one outside its part, so a
+    round costs one comparison a class whatever the group's size.  The rounds only
+    spare later work: what they leave unlinked is compared in the leaves.
+    """
+    spark = points.sparkSession
+    links = spark.createDataFrame([], "a long, b long")
+    parts = spark.createDataFrame([], "sig long, part long")
+    body = points.select("sig", "n", "keys")
+    for turn in range(_ROUNDS):
+        entries = points.select("sig", "n", F.explode("prefix").alias("key")).join(parts, "sig", "left").select(
+            "sig", "n", "key", F.coalesce("part", "sig").alias("part"))
+        hub = entries.groupBy("key").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)), "sig", "n", "part")).alias("h"))
+        hub = hub.select("key", F.col("h.sig").alias("hub"), F.col("h.n").alias("n2"), F.col("h.part").alias("part2"))
+        near = entries.join(hub, "key").filter(
+            (F.col("part") != F.col("part2")) & (DENOMINATOR * F.col("n") >= NUMERATOR * F.col("n2"))
+            & (DENOMINATOR * F.col("n2") >= NUMERATOR * F.col("n")))
+        best = near.groupBy("sig", "hub").agg(F.count("*").alias("shared")).groupBy("sig").agg(
+            F.max(F.struct("shared", "hub")).alias("m"))
+        tries = written(best.select("sig", F.col("m.hub").alias("hub")), "ngram-tries")
+        hubs = written(tries.select(F.col("hub").alias("sig")).distinct().join(body, "sig").select(
+            F.col("sig").alias("hub"), F.col("n").alias("n2"), F.col("keys").alias("keys2")), "ngram-hubs")
+        found = written(tries.join(body, "sig").join(hubs, "hub").mapInArrow(_verify, "a long, b long"), "ngram-hub-links")
+        tried, hits = tries.count(), found.count()
+        if hits:
+            links = links.unionByName(found)
+            parts = cut(_joined(parts, found))
+        if 4 * hits < tried or not tried:
+            break
+    return links, parts
+
+
+def _leaves(points: DataFrame, clusters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Points packed into leaves, and the links found on the way.
 
     Clusters of up to LEAF points share leaves with others, whole; a larger one
     is cut into size bands (partners differ by one band at most) of leaves.
     """
     step = math.log(DENOMINATOR / NUMERATOR)
-    p = points.join(clusters.withColumnRenamed("node", "sig"), "sig").withColumnRenamed("label", "cluster")
-    p = p.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
-    size = cut(p.groupBy("cluster", "band").agg(F.count("*").alias("in_band")))
-    whole = size.groupBy("cluster").agg(F.sum("in_band").alias("members"))
-    small = whole.filter(F.col("members") <= LEAF).agg(F.sum("members")).first()[0] or 0
-    shares = max(1, math.ceil(small / LEAF))
-    p = p.join(whole, "cluster").join(size, ["cluster", "band"])
-    few = F.col("members") <= LEAF
-    # shared leaves have numbers below the signed range's middle and no partner leaves
-    return p.select(
-        "sig", "n", "keys",
-        F.when(few, F.pmod(F.xxhash64("cluster"), F.lit(shares))).otherwise(F.col("cluster")).alias("cluster"),
-        F.when(few, F.lit(-1)).otherwise(F.col("band")).alias("band"),
-        F.when(few, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("sig"), F.ceil(F.col("in_band") / LEAF))).cast("int").alias("part"))
+    clusters = clusters.select(F.col("node").alias("sig"), F.col("label").alias("cluster"))
+    whole = cut(clusters.groupBy("cluster").agg(F.count("*").alias("members")))
+    few = whole.filter(F.col("members") <= LEAF).agg(F.sum("members")).first()[0] or 0
+    shares = max(1, math.ceil(few / LEAF))
+    named = written(clusters.join(whole, "cluster").select("sig", "cluster", F.when(
+        F.col("members") <= LEAF, F.pmod(F.xxhash64("cluster"), F.lit(shares))).alias("share")), "ngram-clusters")
+    p = written(points.join(named, "sig"), "ngram-clustered")  # the bodies are sent here and to their leaf
+    leaves = p.filter("share is not null").select("sig", "n", "keys", "share").groupBy("share").applyInArrow(
+        _shared_leaf, _LEAF)
+    large = p.filter("share is null")
+    if named.filter("share is null").isEmpty():
+        return written(leaves, "ngram-leaves"), points.sparkSession.createDataFrame([], "a long, b long")
+    links, parts = _contracted(large)
+    own = parts.groupBy("part").agg(F.count("*").alias("in_part")).filter(F.col("in_part") > LEAF).select(
+        "part", F.col("part").alias("own"))
+    placed = large.drop("prefix").join(parts.join(own, "part", "left"), "sig", "left").select(
+        "cluster", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band"), "own", "n", "low", "even",
+        "sig", F.coalesce("part", "sig").alias("part"), "keys")
+    order = ["cluster", "band", "own", "n", "low", "even", "sig"]
+    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(leaves.unionByName(placed.mapInArrow(_cut_leaves(LEAF), _LEAF)), "ngram-leaves"), links
+
+
+def _leaf_pairs(leaves: DataFrame) -> DataFrame:
+    """``leaf, leaf2`` of large clusters that may hold a link between two parts.
+
+    All leaves of a part's band are one node; nodes of one part are not paired.
+    """
+    slim = leaves.filter("band >= 0").select("cluster", "band", "own", "leaf", "upper", "least", "most",
+                                             F.coalesce("own", F.lit(0)).alias("part"),
+                                             F.when(F.col("own").isNull(), F.col("leaf")).otherwise(0).alias("node"))
+    node = slim.groupBy("cluster", "band", "own", "part", "node").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    names = lambda df, *cols: df.select("cluster", *[F.col(c).alias(f"{c}2") for c in cols])
+    sizes = ((DENOMINATOR * F.col("most") >= NUMERATOR * F.col("least2"))
+             & (DENOMINATOR * F.col("most2") >= NUMERATOR * F.col("least")))
+    after = F.struct("part2", "node2") > F.struct("part", "node")
+    pairs = node.join(names(node, "band", "own", "part", "node", "least", "most"), "cluster").filter(
+        (F.col("own").isNull() | F.col("own2").isNull() | (F.col("own") != F.col("own2"))) & sizes
+        & (((F.col("band2") == F.col("band")) & after) | (F.col("band2") == F.col("band") + 1))).select(
+        "cluster", "band", "part", "node", "band2", "part2", "node2")
+    bound = F.aggregate(F.zip_with("upper", "upper2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    need = F.ceil(F.lit(NUMERATOR) * (F.col("least") + F.col("least2")) / (NUMERATOR + DENOMINATOR))
+    one = slim.select("cluster", "band", "part", "node", "leaf", "upper", "least", "most")
+    two = names(slim, "band", "part", "node", "leaf", "upper", "least", "most")
+    return pairs.join(one, ["cluster", "band", "part", "node"]).join(two, ["cluster", "band2", "part2", "node2"]).filter(
+        (bound >= need) & sizes).select("leaf", "leaf2")
 
 
 def verified_links(docs: DataFrame, k: int = K) -> DataFrame:
@@ -393,28 +533,14 @@ def verified_links(docs: DataFrame, k: int = K) -> DataFrame:
         F.col("sig").alias("a"), F.col("hub").alias("b")).distinct()
     clusters = components(edges)
 
-    leaves = written(_with_leaves(points.select("sig", "n", "keys"), clusters)
-                     .groupBy("cluster", "band", "part").applyInArrow(_leaf, _LEAF), "ngram-leaves")
-    alone = leaves.select("sigs", "sizes", "lengths", "points", *[
-        F.lit(None).cast("binary").alias(f"{c}2") for c in ("sigs", "sizes", "lengths", "points")])
-    # Pairs of leaves of a large cluster, under the same bound as points and nodes.
-    large = leaves.filter("band >= 0")
-    slim = large.select("cluster", "band", "part", "upper", "least", "most")
-    other = slim.select("cluster", *[F.col(c).alias(f"{c}2") for c in ("band", "part", "upper", "least", "most")])
-    bound = F.aggregate(F.zip_with("upper", "upper2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    need = F.ceil(F.lit(NUMERATOR) * (F.col("least") + F.col("least2")) / (NUMERATOR + DENOMINATOR))
-    pairs = slim.join(other, "cluster").filter(
-        ((F.col("band2") == F.col("band")) & (F.col("part2") > F.col("part"))) | (F.col("band2") == F.col("band") + 1))
-    pairs = pairs.filter((bound >= need) & (DENOMINATOR * F.col("most") >= NUMERATOR * F.col("least2"))
-                         & (DENOMINATOR * F.col("most2") >= NUMERATOR * F.col("least"))).select(
-        "cluster", "band", "part", "band2", "part2")
-    body = ["sigs", "sizes", "lengths", "points"]
-    left = large.select("cluster", "band", "part", *body)
-    right = large.select("cluster", F.col("band").alias("band2"), F.col("part").alias("part2"),
-                         *[F.col(c).alias(f"{c}2") for c in body])
-    paired = pairs.join(left, ["cluster", "band", "part"]).join(right, ["cluster", "band2", "part2"])
-    both = alone.unionByName(paired.select(*body, *[f"{c}2" for c in body]))
-    return both.mapInArrow(_link_leaves, "a long, b long")
+    leaves, links = _leaves(points, clusters)
+    # Leaves of one part hold no new link by themselves.
+    alone = leaves.filter("own is null").select(*_BODY, *[F.lit(None).cast("binary").alias(f"{c}2") for c in _BODY])
+    left = leaves.filter("band >= 0").select("leaf", *_BODY)
+    right = left.select(F.col("leaf").alias("leaf2"), *[F.col(c).alias(f"{c}2") for c in _BODY])
+    paired = _leaf_pairs(leaves).join(left, "leaf").join(right, "leaf2")
+    both = alone.unionByName(paired.select(*_BODY, *[f"{c}2" for c in _BODY]))
+    return both.mapInArrow(_link_leaves, "a long, b long").unionByName(links)
 
 
 def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:

@@ -83,6 +83,31 @@ def test_a_large_group_of_near_copies_uses_many_leaves(docs_of, monkeypatch):
     assert run(docs_of(rows)) == brute(rows)
 
 
+def test_near_copies_of_one_part_send_no_leaf_pairs(docs_of, monkeypatch):
+    """Leaves of what hubs connect are not joined with each other; points outside the part still meet it."""
+    rng = random.Random(11)
+    monkeypatch.setattr(N, "LEAF", 8)
+    base = [f"k{i}" for i in range(200)]
+    rows = []
+    for i in range(160):  # near copies: every pair links
+        w = list(base)
+        w[rng.randrange(200)] = f"z{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(6):  # a chain that leads away from them, a few words more each time
+        rows.append((200 + i, " ".join(base + [f"y{j}" for j in range(20 * (i + 1))])))
+    seen = []
+    pairs = N._leaf_pairs
+    monkeypatch.setattr(N, "_leaf_pairs", lambda leaves: (seen.append((leaves, pairs(leaves))), seen[-1][1])[1])
+    assert run(docs_of(rows)) == brute(rows)
+    leaves, found = seen[0]
+    own = {r["leaf"]: r["own"] for r in leaves.filter("band >= 0").select("leaf", "own").collect()}
+    inside = sum(v is not None for v in own.values())
+    assert inside >= 160 // 8
+    sent = [(r["leaf"], r["leaf2"]) for r in found.collect()]
+    assert all(own[a] is None or own[a] != own[b] for a, b in sent)
+    assert len(sent) <= inside * (len(own) - inside + 1)  # not with the square of the group
+
+
 def test_chains_exact_threshold_and_special_rows(docs_of):
     base = [f"a{i}" for i in range(43)]  # 40 shingles
     rows = [(5, " ".join(base)), (4, " ".join(base + ["q1", "q2", "q3"])), (3, " ".join(base + [f"q{i}" for i in range(1, 8)])),
