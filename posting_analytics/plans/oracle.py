@@ -132,11 +132,13 @@ def _value_share(table: str, key: str) -> str:
             f"SELECT {key}, n, {pct('n', '(SELECT CAST(sum(n) AS BIGINT) FROM g)')} AS pct FROM g")
 
 
-_SOME_EMPTY = (f"(SELECT page_id, url, CASE WHEN page_id % {P.PAGE_REJECT_EVERY} = 0 THEN NULL "
-               f"WHEN page_id % {P.PAGE_REJECT_EVERY} = 1 THEN '' ELSE html END AS html FROM pages)")
+# every real page, and copies of some without HTML beside them
+_AND_EMPTY = (f"(SELECT page_id, url, html FROM pages UNION ALL "
+              f"SELECT page_id, url, CASE WHEN page_id % {P.PAGE_REJECT_EVERY} = 1 THEN '' END "
+              f"FROM pages WHERE page_id % {P.PAGE_REJECT_EVERY} < 2)")
 
 
-def _extract_postings(source: str = _SOME_EMPTY) -> str:
+def _extract_postings(source: str = _AND_EMPTY) -> str:
     pt = "page_text"
     cols = {
         "job_title": element_text("html", FIRST_H1),
@@ -254,10 +256,12 @@ _SINKS = "(VALUES ('csv'), ('json'), ('parquet')) AS s(sink)"
 
 
 def _text_roundtrip() -> str:
-    hard = ("CASE doc_id % 5 WHEN 0 THEN ' \"' || text || '\"' || chr(10) WHEN 1 THEN '' WHEN 2 THEN NULL "
+    hard = ("CASE doc_id % 5 WHEN 0 THEN ' \"' || text || '\"' || chr(10) "
             "WHEN 3 THEN '\\,' || text || chr(13) || chr(10) || ' ' ELSE text END")
+    rows = (f"SELECT doc_id, {hard} AS t FROM documents UNION ALL "
+            f"SELECT -1 - doc_id, CASE WHEN doc_id % 5 = 1 THEN '' END FROM documents WHERE doc_id % 5 IN (1, 2)")
     return (f"SELECT sink, doc_id, CAST(coalesce(length(t), -1) AS INTEGER) AS n, md5(coalesce(t, 'NULL')) AS digest "
-            f"FROM (SELECT doc_id, {hard} AS t FROM documents) CROSS JOIN {_SINKS}")
+            f"FROM ({rows}) CROSS JOIN {_SINKS}")
 
 
 def _feature_vectors() -> str:
@@ -431,7 +435,7 @@ def oracle_sql() -> dict[str, str]:
                           f"f AS l_returnflag, n FROM g"),
         "cluster_quality_groups": _quality_groups(),
         "elbow_groups": _elbow_groups(),
-        "rejects": f"SELECT page_id, url, 'no html' AS reason FROM {_SOME_EMPTY} WHERE html IS NULL OR html = ''",
+        "rejects": f"SELECT page_id, url, 'no html' AS reason FROM {_AND_EMPTY} WHERE html IS NULL OR html = ''",
         "text_roundtrip": _text_roundtrip(),
         "json_arrays": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
         "collection_counts": ("SELECT 'orders' AS collection, count(*) AS n FROM orders UNION ALL "
