@@ -68,3 +68,11 @@ def ship_code(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     sc.addPyFile(str(path))
     sc._llm_code_shipped = True
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

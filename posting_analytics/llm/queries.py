@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (chat_template, decontam_tiling, html_crf, kneser_ney, license_index, mixing,
-               ngram_join, quality_cnn, sharding, topk_search)
+from . import (chat_template, collocations, decontam_tiling, html_crf, kneser_ney, license_index, mixing,
+               ngram_join, quality_cnn, repetition, sharding, token_alignment, topk_search)
 from .common import ship_code
+from .oracles import COLLOCATION_SQL, repetition_sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,10 +78,33 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition measures of every document and whether the quality rules keep it."""
+    out = repetition.verdicts(_table(spark, sf_dir, "documents"))
+    failed = F.col("failed")
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "dup_line_chars", "n_repeat_words",
+        *[F.col("top_chars")[n].alias(f"top_{n}") for n in sorted(repetition.TOP_SHARES)],
+        *[F.col("dup_chars")[n].alias(f"dup_{n}") for n in sorted(repetition.DUP_SHARES)],
+        (F.array_contains(failed, "min_words") | F.array_contains(failed, "repeat_words")).alias("base_failed"),
+        "kept")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two or three words of every language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Common token ends of two tokenizers in every document, and the corpus counts of the linked ids."""
+    return token_alignment.align_corpus(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk_search, op2_quality_cnn, op3_kneser_ney, op4_source_mixing,
                             op5_html_crf, op6_license_index, op7_decontam_tiling, op8_shard_tree,
-                            op9_chat_template, op10_ngram_join)
+                            op9_chat_template, op10_ngram_join, op11_repetition, op12_collocations,
+                            op13_token_alignment)
 }
 
 #: Queries that SQL can express.
@@ -99,4 +123,6 @@ ORACLE_SQL: dict[str, str] = {
         r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
         SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 5""",
+    "op11_repetition": repetition_sql(),
+    "op12_collocations": COLLOCATION_SQL,
 }
