@@ -12,16 +12,19 @@ differ (a normaliser has changed the text), bytes decide; where the decoded
 bytes are not the space and the text, a document has no tokens.
 
 Byte offsets where a token of both ends cut a document into groups.  A link is
-an A token and a B token that end together.  Pairs of ids are counted over the
-corpus: a run of documents is tokenised once and written to the shared folder
-with its links as numbers in its own list of distinct pairs; the lists are
-summed and the sums joined back.
+an A token and a B token that end together.
 
-A long text is tokenised in parts, cut at a single space between two other
-characters.  Neither tokenizer joins anything across such a space: the words of
-A's splitting pattern begin with it, and no piece of B holds a space behind
-another character, which is checked when the model is read (else texts are not
-cut).
+A text is read in units, cut at each single space between two other characters.
+Neither tokenizer joins anything across such a space: the words of A's splitting
+pattern begin with it, and no piece of B holds a space behind another character,
+which is checked when the model is read (else a text is one unit).  So both
+tokenizers end there, a unit's tokens and groups are the same wherever it
+stands, and a worker tokenises it once for as long as it remembers it.
+
+Pairs of ids are counted over the corpus: a run of documents is written to the
+shared folder with its sequence of units, each unit's links as numbers in the
+run's own list of distinct pairs, and the pairs' counts; the lists are summed
+and the sums joined back.
 
 Cases: a null or empty text, and one that is not valid UTF-8, has no tokens;
 repeated rows and rows with a null doc_id are documents of their own; texts of
@@ -31,12 +34,14 @@ columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +56,12 @@ from .common import written
 A_PATH, B_PATH = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 
 _RUN_BYTES, _RUN_DOCS = 4 << 20, 1 << 14
-_PART_CHARS = 1 << 18
+_BATCH_CHARS = 1 << 17  # units given to the tokenizers at once
+REMEMBERED = 1 << 19  # units of a worker; beyond that it keeps those seen most before the next run
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 _RELATION = ("run long, ids array<long>, n_a binary, n_b binary, n_links binary, digest array<string>, "
-             "links binary, a binary, b binary, n binary")
+             "n_units binary, units binary, n_unit_links binary, links binary, a binary, b binary, n binary")
 _PAIRS = "run long, at int, a int, b int, n long"
 _DIGEST = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
            "groups_sha256 string")
@@ -88,16 +94,16 @@ class ByteLevel:
             self.bytes[i] = bytes(byte[c] for c in token) if known else token.encode()
         self.size = np.array([len(x) for x in self.bytes])
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Ids, coarse starts and coarse ends of each text's tokens behind a space, in bytes."""
-        spaced = [f" {t}" for t in texts]
-        for text, e in zip(spaced, self.model.encode_batch(spaced, add_special_tokens=False)):
-            ids = np.array(e.ids, np.int64)
-            spans = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
-            if not text.isascii():
-                raw = np.frombuffer(text.encode(), np.uint8)
-                spans = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))[spans]
-            yield ids, spans[:, 0], spans[:, 1]
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, coarse starts and coarse ends of the tokens of a space and the text, in bytes."""
+        text = f" {text}"
+        found = self.model.encode(text, add_special_tokens=False)
+        ids = np.array(found.ids, np.int64)
+        spans = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
+        if not text.isascii():
+            raw = np.frombuffer(text.encode(), np.uint8)
+            spans = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))[spans]
+        return ids, spans[:, 0], spans[:, 1]
 
 
 class Pieces:
@@ -114,13 +120,12 @@ class Pieces:
         self.size = np.array([len(x) for x in self.bytes])
         self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for text in texts:
-            r = self.model.encode(text, return_type="offset_mapping", return_bytes=True)
-            ids = np.array(r["ids"], np.int64)
-            spans = np.fromiter(chain.from_iterable(r["offsets"]), np.int64, 2 * len(ids)).reshape(-1, 2) + 1
-            spans[:1, 0] = 0  # the space put in
-            yield ids, spans[:, 0], spans[:, 1]
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = self.model.encode(text, return_type="offset_mapping", return_bytes=True)
+        ids = np.array(found["ids"], np.int64)
+        spans = np.fromiter(chain.from_iterable(found["offsets"]), np.int64, 2 * len(ids)).reshape(-1, 2) + 1
+        spans[:1, 0] = 0  # the space put in
+        return ids, spans[:, 0], spans[:, 1]
 
 
 @lru_cache(maxsize=4)
@@ -146,98 +151,133 @@ def refined_ends(start: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.nda
     return base + total
 
 
-def parts(text: str, most: int = _PART_CHARS) -> list[str]:
-    """The text, or parts of about ``most`` characters without the single spaces they are cut at."""
-    if len(text) <= most:
-        return [text]
-    out, at = [], 0
-    while len(text) - at > most:
-        m = _SPACE.search(text, at + most)
-        if not m:
-            break
-        out.append(text[at:m.start()])
-        at = m.end()
-    return [*out, text[at:]]
+def units_of(text: str) -> list[str]:
+    """The text without the single spaces it is cut at."""
+    return _SPACE.split(text) if text else []
+
+
+@lru_cache(maxsize=2)
+def _spelled(n_a: int, n_b: int) -> list[bytes]:
+    """Ids with what follows them: in a group, at the end of A's part, at the end of a group."""
+    return [b"%d%s" % (i, sep) for n, seps in ((n_a, (b",", b"|")), (n_b, (b",", b";"))) for i in range(n)
+            for sep in seps]
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges of ``size`` from ``start``, one range behind the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
 
+class Units:
+    """Units that a worker has tokenised: their tokens, groups and links.
 
-class Alignment:
-    """Tokens of a run of documents by two tokenizers, and where both end."""
+    ``groups[u]`` is a unit's groups as text, ``a1,a2|b1;a3|b2,b3``, and
+    ``bad[u]`` says that its tokens do not give its bytes back.
+    """
 
-    def __init__(self, texts: list[bytes], a: ByteLevel, b: Pieces, most: int = _PART_CHARS):
-        cut: list[str] = []
-        of: list[int] = []
-        for i, raw in enumerate(texts):
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.models, self.size = (a, b), (len(a.size), len(b.size))
+        self._number([])
+        self.groups: list[bytes] = []
+        none = np.zeros(0, np.int32)
+        self.bad, self.n_a, self.n_b, self.n_links, self.seen = np.zeros(0, bool), none, none, none, none
+        self.link_a, self.link_b = none, none  # of all units, one behind the other
+
+    def _number(self, units: list[str]) -> None:
+        self.number: dict[str, int] = defaultdict(None, zip(units, range(len(units))))
+        self.number.default_factory = self.number.__len__  # a new unit gets the next number
+
+    def forget(self) -> None:
+        """Keep at most half as many units as may be remembered, those seen most."""
+        least = 2
+        while np.count_nonzero(self.seen >= least) > REMEMBERED // 2:
+            least *= 2
+        kept = np.flatnonzero(self.seen >= least)
+        link = _ranges((np.cumsum(self.n_links) - self.n_links)[kept], self.n_links[kept])
+        units = list(self.number)
+        self._number([units[u] for u in kept])
+        self.groups = [self.groups[u] for u in kept]
+        self.bad, self.n_a, self.n_b, self.n_links, self.seen = (
+            x[kept] for x in (self.bad, self.n_a, self.n_b, self.n_links, self.seen))
+        self.link_a, self.link_b = self.link_a[link], self.link_b[link]
+
+    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The units of every text, and how many it has; a text that is not UTF-8 has none."""
+        if len(self.number) > REMEMBERED:
+            self.forget()
+        number, known = self.number, len(self.number)
+        flat: list[int] = []
+        n = []
+        for raw in texts:
             try:
                 text = raw.decode()
             except UnicodeDecodeError:
+                n.append(0)
                 continue
-            some = parts(text, most if b.cuttable else len(text)) if text else []
-            cut += some
-            of += [i] * len(some)
-        sizes = np.array([len(x) + 1 if x else 0 for x in texts], np.int64)
-        self.base = np.concatenate([[0], np.cumsum(sizes)])  # where a document's bytes, space first, begin
-        bad = np.zeros(len(texts), bool)
-        sides = [([], [], []), ([], [], [])]  # ids, ends, documents
-        at = dict.fromkeys(range(len(texts)), 0)
-        for text, i, x, y in zip(cut, of, a.encode(cut), b.encode(cut)):
-            raw = b" " + text.encode()
-            for (ids, start, end), t, side in zip((x, y), (a, b), sides):
-                size = t.size[ids]
-                bad[i] |= b"".join([t.bytes[k] for k in ids.tolist()]) != raw
-                ends = refined_ends(start, end, size)
-                total = np.cumsum(size)
-                side[0].append(ids)
-                side[1].append(self.base[i] + at[i] + (ends if np.array_equal(ends, total) else total))
-                side[2].append(np.full(len(ids), i))
-            at[i] += len(raw)
-        whole = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        self.n_docs = len(texts)
-        self.side = []
-        for side in sides:
-            ids, ends, doc = (whole(x) for x in side)
-            good = ~bad[doc]
-            self.side.append((ids[good], ends[good], doc[good]))
-        (self.a, a_end, self.a_doc), (self.b, b_end, self.b_doc) = self.side
-        self.a_cut = np.isin(a_end, b_end, assume_unique=True)
-        self.b_cut = np.isin(b_end, a_end, assume_unique=True)
-        self.a_end, self.b_end = a_end, b_end
-
-    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A id, B id and document of every link, in order."""
-        return self.a[self.a_cut], self.b[self.b_cut], self.a_doc[self.a_cut]
-
-    def group_order(self) -> tuple[np.ndarray, np.ndarray]:
-        """The places of the A and the B tokens when written group by group, A's first."""
-        a_group = np.cumsum(self.a_cut) - self.a_cut
-        b_group = np.cumsum(self.b_cut) - self.b_cut
-        b_before = np.searchsorted(b_group, a_group)  # B tokens of earlier groups
-        a_upto = np.searchsorted(a_group, b_group, "right")  # A tokens up to this group
-        return np.arange(len(self.a)) + b_before, np.arange(len(self.b)) + a_upto
+            some = units_of(text) if self.models[1].cuttable else [text] * bool(text)
+            flat += map(number.__getitem__, some)
+            n.append(len(some))
+        self._learn(list(islice(number, known, None)))
+        unit = np.array(flat, np.int64)
+        times = np.bincount(unit, minlength=len(number)) + np.pad(self.seen, (0, len(number) - known))
+        self.seen = np.minimum(times, 1 << 30).astype(np.int32)
+        return unit, np.array(n, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        bad, n_a, n_b, n_links, link_a, link_b = ([x] for x in (
+            self.bad, self.n_a, self.n_b, self.n_links, self.link_a, self.link_b))
+        at, joined = 0, self.models[1].cuttable
+        # edges of texts, and B's own sign for a space, which may join with the next unit's
+        alone = [not joined or u[0].isspace() or u[-1].isspace() or "▁" in u for u in new]
+        while at < len(new):
+            to, chars = at + 1, len(new[at])
+            while to < len(new) and not alone[at] and not alone[to] and chars + len(new[to]) < _BATCH_CHARS:
+                chars += len(new[to]) + 1
+                to += 1
+            for all_, part in zip((bad, n_a, n_b, n_links, link_a, link_b), self._aligned(new[at:to])):
+                all_.append(part)
+            at = to
+        self.bad, self.n_a, self.n_b, self.n_links, self.link_a, self.link_b = map(
+            np.concatenate, (bad, n_a, n_b, n_links, link_a, link_b))
+
+    def _aligned(self, units: list[str]) -> tuple[np.ndarray, ...]:
+        whole = " ".join(units)  # tokenised in one call: a space before each unit
+        raw = [b" " + u.encode() for u in units]
+        edge = np.concatenate([[0], np.cumsum([len(x) for x in raw])])  # bytes of all units
+        bad, sides = np.zeros(len(units), bool), []
+        for t in self.models:
+            ids, start, end = t.encode(whole)
+            of = np.searchsorted(edge, start, "right") - 1
+            size = t.size[ids]
+            joined = b"".join([t.bytes[i] for i in ids.tolist()])
+            total = np.concatenate([[0], np.cumsum(size)])
+            upto = total[np.searchsorted(of, np.arange(len(raw) + 1))]
+            if joined != b"".join(raw) or not np.array_equal(upto, edge):
+                bad |= [joined[upto[i]:upto[i + 1]] != x for i, x in enumerate(raw)]
+            by_bytes = total[1:] - upto[of] + edge[of]
+            ends = refined_ends(start, end, size)
+            sides.append((ids, np.where(ends == by_bytes, ends, by_bytes), of))
+        (a, a_end, a_of), (b, b_end, b_of) = ([c[~bad[s[2]]] for c in s] for s in sides)
+        a_cut, b_cut = np.isin(a_end, b_end, assume_unique=True), np.isin(b_end, a_end, assume_unique=True)
+        # the tokens written group by group, A's first
+        a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
+        a_at = np.arange(len(a)) + np.searchsorted(b_group, a_group)
+        b_at = np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")
+        code, of = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.int64)
+        code[a_at], code[b_at] = 2 * a + a_cut, 2 * (self.size[0] + b) + b_cut
+        of[a_at], of[b_at] = a_of, b_of
+        spelled = _spelled(*self.size)
+        pieces = [spelled[c] for c in code.tolist()]
+        cut = np.searchsorted(of, np.arange(len(units) + 1)).tolist()
+        self.groups += [b"".join(pieces[i:j])[:-1] for i, j in zip(cut, cut[1:])]
+        per_unit = lambda x: np.bincount(x, minlength=len(units)).astype(np.int32)
+        return bad, per_unit(a_of), per_unit(b_of), per_unit(a_of[a_cut]), *(
+            x.astype(np.int32) for x in (a[a_cut], b[b_cut]))
 
 
 @lru_cache(maxsize=2)
-def _spelled(n_a: int, n_b: int) -> list[bytes]:
-    """Ids with what follows them: in a group, at the end of A's part, at the end of a group."""
-    return [b"%d%s" % (i, sep) for n, seps in ((n_a, (b",", b"|")), (n_b, (b",", b";"))) for i in range(n)
-            for sep in seps]
-
-
-def digests(x: Alignment, n_a: int, n_b: int) -> list[str]:
-    """SHA-256 of every document's groups, written `a1,a2|b1;a3|b2,b3`; empty without tokens."""
-    spelled = _spelled(n_a, n_b)
-    a_at, b_at = x.group_order()
-    code, doc = np.empty(len(a_at) + len(b_at), np.int64), np.empty(len(a_at) + len(b_at), np.int64)
-    code[a_at], code[b_at] = 2 * x.a + x.a_cut, 2 * (n_a + x.b) + x.b_cut
-    doc[a_at], doc[b_at] = x.a_doc, x.b_doc
-    edge = np.searchsorted(doc, np.arange(x.n_docs + 1)).tolist()
-    out = []
-    for i in range(x.n_docs):
-        if edge[i] == edge[i + 1]:
-            out.append("")
-        else:
-            text = b"".join([spelled[c] for c in code[edge[i]:edge[i + 1]].tolist()])
-            out.append(hashlib.sha256(text[:-1]).hexdigest())
-    return out
+def _units(a_path: str, b_path: str) -> Units:
+    return Units(_tokenizer(a_path), _tokenizer(b_path))
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -246,26 +286,58 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
         yield i, j, [data[off[k]:off[k + 1]].tobytes() for k in range(i, j)]
 
 
+def _sums(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the next ``n`` of ``x`` each."""
+    total = np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
+    edge = np.concatenate([[0], np.cumsum(n)])
+    return total[edge[1:]] - total[edge[:-1]]
+
+
+def aligned_run(texts: list[bytes], known: Units) -> dict:
+    """The relation's row of some documents, without its number and their ids."""
+    gc.disable()  # no cycles here, and the collector would walk every unit again and again
+    try:
+        return _aligned_run(texts, known)
+    finally:
+        gc.enable()
+
+
+def _aligned_run(texts: list[bytes], known: Units) -> dict:
+    unit, n_units = known.numbers(texts)
+    edge = np.concatenate([[0], np.cumsum(n_units)]).tolist()
+    whole = _sums(known.bad[unit], n_units) == 0
+    unit, n_units = unit[np.repeat(whole, n_units)], np.where(whole, n_units, 0)
+    out = {f"n_{c}": pack(_sums(getattr(known, f"n_{c}")[unit], n_units)) for c in ("a", "b", "links")}
+    edge = np.concatenate([[0], np.cumsum(n_units)]).tolist()
+    spelled = [known.groups[u] for u in unit.tolist()]
+    out["digest"] = [hashlib.sha256(b";".join(spelled[i:j])).hexdigest() if i < j else ""
+                     for i, j in zip(edge, edge[1:])]
+    own, at, times = np.unique(unit, return_inverse=True, return_counts=True)
+    n = known.n_links[own]
+    link = _ranges((np.cumsum(known.n_links) - known.n_links)[own], n)
+    key, links = np.unique(known.link_a[link].astype(np.int64) * known.size[1] + known.link_b[link],
+                           return_inverse=True)
+    order = np.argsort(links, kind="stable")
+    count = _sums(np.repeat(times, n)[order], np.bincount(links, minlength=len(key)))
+    ka, kb = np.divmod(key, known.size[1])
+    return out | {"n_units": pack(n_units), "units": pack(at), "n_unit_links": pack(n), "links": pack(links),
+                  "a": pack(ka), "b": pack(kb), "n": pack(count)}
+
+
 def _relation(a_path: str, b_path: str):
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+             "array<string>": pa.list_(pa.string())}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _RELATION.split(", ")])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _tokenizer(a_path), _tokenizer(b_path)
-        number = 0
+        known, number = _units(a_path, b_path), 0
         for batch in batches:
             ids = batch.column("doc_id")
             for i, j, texts in _runs(batch):
-                x = Alignment(texts, a, b)
-                la, lb, doc = x.links()
-                key, links, n = np.unique(la * len(b.size) + lb, return_inverse=True, return_counts=True)
-                ka, kb = np.divmod(key, len(b.size))
-                per_doc = lambda d: pack(np.bincount(d, minlength=j - i))
-                row = [(TaskContext.get().partitionId() << 32) + number, ids.slice(i, j - i).to_pylist(),
-                       per_doc(x.a_doc), per_doc(x.b_doc), per_doc(doc), digests(x, len(a.size), len(b.size)),
-                       pack(links), pack(ka), pack(kb), pack(n)]
+                row = {"run": (TaskContext.get().partitionId() << 32) + number, "ids": ids.slice(i, j - i).to_pylist(),
+                       **aligned_run(texts, known)}
                 number += 1
-                kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(),
-                         pa.list_(pa.string()), *[pa.binary()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)],
-                                                 [c.split()[0] for c in _RELATION.split(", ")])
+                yield pa.RecordBatch.from_pylist([row], schema)
     return run
 
 
@@ -290,13 +362,9 @@ def _finish(relation: pa.Table, counts: pa.Table) -> pa.Table:
     total, best = np.zeros(counts.num_rows, np.int64), np.zeros(counts.num_rows, bool)
     at = counts.column("at").to_numpy()
     total[at], best[at] = counts.column("total").to_numpy(), counts.column("best").to_numpy(zero_copy_only=False)
-    links, n_links = unpack(row["links"]), unpack(row["n_links"]).astype(np.int64)
-    edge = np.concatenate([[0], np.cumsum(n_links)])
-
-    def summed(x: np.ndarray) -> np.ndarray:
-        s = np.concatenate([[0], np.cumsum(x[links], dtype=np.int64)])
-        return s[edge[1:]] - s[edge[:-1]]
-
+    units, n_units, n_links = (unpack(row[c]).astype(np.int64) for c in ("units", "n_units", "n_links"))
+    links, n_unit_links = unpack(row["links"]), unpack(row["n_unit_links"]).astype(np.int64)
+    summed = lambda x: _sums(_sums(x[links], n_unit_links)[units], n_units)
     cols = [row["ids"], unpack(row["n_a"]), unpack(row["n_b"]), n_links, n_links, summed(best), summed(total),
             row["digest"]]
     return pa.table([pa.array(c if isinstance(c, list) else c.astype(np.int64), t) for c, t in zip(cols, kinds)], names)
@@ -318,27 +386,30 @@ def align_corpus(docs: DataFrame, a_path: str = A_PATH, b_path: str = B_PATH) ->
     best = total.groupBy("b").agg(F.max("total").alias("most"))
     judged = total.join(best, "b").select("a", "b", "total", (F.col("total") == F.col("most")).alias("best"))
     counts = pairs.join(judged, ["a", "b"]).select("run", "at", "total", "best")
-    done = relation.select("run", "ids", "n_a", "n_b", "n_links", "digest", "links")
+    done = relation.drop("a", "b", "n")
     return done.groupBy("run").cogroup(counts.groupBy("run")).applyInArrow(_finish, _DIGEST)
 
 
 def _groups(a_path: str, b_path: str):
+    kind = pa.list_(pa.struct([("end", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _tokenizer(a_path), _tokenizer(b_path)
+        known = _units(a_path, b_path)
+        size = known.models[0].size
         for batch in batches:
             ids = batch.column("doc_id")
             for i, j, texts in _runs(batch):
-                x = Alignment(texts, a, b)
-                a_to, b_to = np.flatnonzero(x.a_cut) + 1, np.flatnonzero(x.b_cut) + 1
-                a_from, b_from = np.append(0, a_to[:-1]), np.append(0, b_to[:-1])
-                doc = x.a_doc[a_to - 1]
-                end = x.a_end[a_to - 1] - x.base[doc]
-                rows: list[list[dict]] = [[] for _ in texts]
-                for d, e, a0, a1, b0, b1 in zip(doc.tolist(), end.tolist(), a_from.tolist(), a_to.tolist(),
-                                                b_from.tolist(), b_to.tolist()):
-                    rows[d].append({"end": e, "a": x.a[a0:a1].tolist(), "b": x.b[b0:b1].tolist()})
-                kind = pa.list_(pa.struct([("end", pa.int64()), ("a", pa.list_(pa.int32())),
-                                           ("b", pa.list_(pa.int32()))]))
+                unit, n_units = known.numbers(texts)
+                edge = np.concatenate([[0], np.cumsum(n_units)]).tolist()
+                rows = []
+                for x, y in zip(edge, edge[1:]):
+                    own, at, groups = unit[x:y].tolist(), 0, []
+                    if not known.bad[own].any():
+                        for group in chain.from_iterable(known.groups[u].split(b";") for u in own):
+                            a, b = ([int(t) for t in side.split(b",")] for side in group.split(b"|"))
+                            at += int(size[a].sum())
+                            groups.append({"end": at, "a": a, "b": b})
+                    rows.append(groups)
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(rows, kind)], ["doc_id", "groups"])
     return run
 
@@ -347,4 +418,5 @@ def token_groups(docs: DataFrame, a_path: str = A_PATH, b_path: str = B_PATH) ->
     """``doc_id, groups``: the token ids of both tokenizers between common ends, with the
     byte offset each group ends at (the space before the text is the first byte)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_groups(a_path, b_path), "doc_id long, groups array<struct<end: bigint, a: array<int>, b: array<int>>>")
+    return rows.mapInArrow(_groups(a_path, b_path),
+                           "doc_id long, groups array<struct<end: bigint, a: array<int>, b: array<int>>>")

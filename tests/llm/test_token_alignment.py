@@ -98,13 +98,34 @@ def test_equals_plain_cutting(llm, models):
     assert got == sorted(plain(rows, models), key=str)
 
 
-def test_small_runs(llm, models, monkeypatch):
+def test_units_give_the_tokens_of_the_whole_text(models):
+    """Groups of the units joined are those of the text tokenised as one unit."""
+    texts = [t for _, t in _rows() if t]
+    cut, whole = T.Units(*models), T.Units(*models)
+    unit, n = cut.numbers([t.encode() for t in texts])
+    for text in texts:
+        whole._learn([text])
+    edge = np.concatenate([[0], np.cumsum(n)])
+    for i, text in enumerate(texts):
+        own = unit[edge[i]:edge[i + 1]]
+        assert bool(cut.bad[own].any()) == bool(whole.bad[i]), text
+        if not whole.bad[i]:
+            assert b";".join(cut.groups[u] for u in own) == whole.groups[i]
+            assert cut.n_links[own].sum() == whole.n_links[i] and cut.n_a[own].sum() == whole.n_a[i]
+
+
+def test_forgetting_and_small_batches(models, monkeypatch):
     texts = [(t or "").encode() for _, t in _rows()]
-    whole = T.Alignment(texts, *models)
-    for most in (5, 40):
-        cut = T.Alignment(texts, *models, most)
-        for name in ("a", "b", "a_end", "b_end", "a_doc", "b_doc", "a_cut", "b_cut"):
-            assert np.array_equal(getattr(cut, name), getattr(whole, name)), name
+    want = T.aligned_run(texts, T.Units(*models))
+    monkeypatch.setattr(T, "_BATCH_CHARS", 30)
+    known = T.Units(*models)
+    assert T.aligned_run(texts, known) == want
+    monkeypatch.setattr(T, "REMEMBERED", 60)
+    for _ in range(3):  # units may be numbered otherwise
+        got = T.aligned_run(texts, known)
+        assert all(got[c] == want[c] for c in ("n_a", "n_b", "n_links", "n_units", "digest", "a", "b", "n"))
+    known.forget()
+    assert 0 < len(known.number) == len(known.groups) == len(known.seen) <= 30
 
 
 def test_spans_and_bytes_agree(models):
@@ -113,7 +134,7 @@ def test_spans_and_bytes_agree(models):
         if not text or plain_tokens(text, models) is None:
             continue
         for t in models:
-            ids, start, end = next(t.encode([text]))
+            ids, start, end = t.encode(text)
             assert T.refined_ends(start, end, t.size[ids]).tolist() == np.cumsum(t.size[ids]).tolist()
             assert (np.diff(end) >= 0).all()
 
@@ -154,8 +175,7 @@ def test_invalid_bytes_and_empty_table(llm):
     assert T.token_groups(d.limit(0)).count() == 0
 
 
-def test_parts():
+def test_units():
     text = "aa bb  ccあ dd ee\n ff gg"
-    for most in range(1, 12):
-        assert " ".join(T.parts(text, most)) == text
-    assert T.parts("x" * 100, 5) == ["x" * 100]
+    assert T.units_of(text) == ["aa", "bb  ccあ", "dd", "ee\n ff", "gg"]
+    assert " ".join(T.units_of(text)) == text and T.units_of("") == []
