@@ -19,7 +19,7 @@ Neither tokenizer joins anything across such a space: the words of A's splitting
 pattern begin with it, and no piece of B holds a space behind another character,
 which is checked when the model is read (else a text is one unit).  So both
 tokenizers end there, a unit's tokens and groups are the same wherever it
-stands, and a worker tokenises it once for as long as it remembers it.
+stands, and a task tokenises it once for as long as it remembers it.
 
 Pairs of ids are counted over the corpus: a run of documents is written to the
 shared folder with its sequence of units, each unit's links as numbers in the
@@ -57,7 +57,7 @@ A_PATH, B_PATH = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe
 
 _RUN_BYTES, _RUN_DOCS = 4 << 20, 1 << 14
 _BATCH_CHARS = 1 << 17  # units given to the tokenizers at once
-REMEMBERED = 1 << 19  # units of a worker; beyond that it keeps those seen most before the next run
+REMEMBERED = 1 << 18  # units of a task; beyond that it keeps those seen most before the next run
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 _RELATION = ("run long, ids array<long>, n_a binary, n_b binary, n_links binary, digest array<string>, "
@@ -169,7 +169,7 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Units:
-    """Units that a worker has tokenised: their tokens, groups and links.
+    """Units that a task has tokenised: their tokens, groups and links.
 
     ``groups[u]`` is a unit's groups as text, ``a1,a2|b1;a3|b2,b3``, and
     ``bad[u]`` says that its tokens do not give its bytes back.
@@ -177,6 +177,9 @@ class Units:
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.models, self.size = (a, b), (len(a.size), len(b.size))
+        self.clear()
+
+    def clear(self) -> None:
         self._number([])
         self.groups: list[bytes] = []
         none = np.zeros(0, np.int32)
@@ -275,11 +278,6 @@ class Units:
             x.astype(np.int32) for x in (a[a_cut], b[b_cut]))
 
 
-@lru_cache(maxsize=2)
-def _units(a_path: str, b_path: str) -> Units:
-    return Units(_tokenizer(a_path), _tokenizer(b_path))
-
-
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
     data, off = B.string_buffers(batch.column("text"))
     for i, j in B.slices(data, off, _RUN_BYTES, _RUN_DOCS):
@@ -330,7 +328,7 @@ def _relation(a_path: str, b_path: str):
     schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _RELATION.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, number = _units(a_path, b_path), 0
+        known, number = Units(_tokenizer(a_path), _tokenizer(b_path)), 0
         for batch in batches:
             ids = batch.column("doc_id")
             for i, j, texts in _runs(batch):
@@ -338,6 +336,7 @@ def _relation(a_path: str, b_path: str):
                        **aligned_run(texts, known)}
                 number += 1
                 yield pa.RecordBatch.from_pylist([row], schema)
+        known.clear()  # an idle worker holds no units
     return run
 
 
@@ -394,7 +393,7 @@ def _groups(a_path: str, b_path: str):
     kind = pa.list_(pa.struct([("end", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _units(a_path, b_path)
+        known = Units(_tokenizer(a_path), _tokenizer(b_path))
         size = known.models[0].size
         for batch in batches:
             ids = batch.column("doc_id")
