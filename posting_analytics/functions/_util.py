@@ -22,3 +22,8 @@ def require_columns(df, cols) -> list[str]:
     if unknown:
         raise ValueError(f"no such columns: {unknown}; the frame has {df.columns}")
     return list(cols)
+
+
+def let(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` worked out once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]

@@ -87,8 +87,8 @@ def test_cluster_summary_limits_before_shuffle(spark):
 
 
 def page_texts(df):
-    """Copies of the block regex in the optimized plan: one per page text that is worked out."""
-    return df._jdf.queryExecution().optimizedPlan().toString().count("<template")
+    """Replacements of a page's markup in the optimized plan: one per page text that is worked out."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count(",  $2 ,")
 
 
 def test_cleaning_in_the_plan_reads_each_page_once(spark):
