@@ -54,19 +54,19 @@ def _as_map(entries):
 def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "keyword_category",
                     location: str = "location", education: str = "education_req",
                     flag: str = "has_salary", top_locations: int = 5,
-                    top_categories: int = 100,
+                    top_categories: int | None = None,
                     generated_at: _dt.datetime | None = None) -> DataFrame:
     """One document per cluster.
 
     Fields: ``cluster_id``, ``total_lowongan`` (rows), the most frequent
     category / location / education (ties: smallest value),
     ``pct_gaji_dicantumkan`` (mean of the 0/1, boolean or double flag in %,
-    1 decimal), the category count map (of the ``top_categories`` most
+    1 decimal), the category count map (whole, or of the ``top_categories`` most
     frequent), the top-``top_locations`` location count map and
     ``generated_at``.  Map entries run by count desc, value asc.
 
     Each attribute is counted once per ``(cluster, value)``; everything else
-    works on those counts, and a map holds at most the number of its entries.
+    works on those counts, and a limited map is cut before its entries meet.
     """
     yes = F.count_if(F.col(flag).cast("double") == 1.0)
     out = df.groupBy(F.col(cluster).alias("cluster_id")).agg(
@@ -76,7 +76,7 @@ def cluster_summary(df: DataFrame, cluster: str = "cluster", category: str = "ke
     for side, name in ((_modes(cat, "kategori_dominan"), "kategori_dominan"),
                        (_modes(loc, "lokasi_dominan"), "lokasi_dominan"),
                        (_modes(edu, "pendidikan_dominan"), "pendidikan_dominan"),
-                       (_maps(_top(cat, top_categories), "distribusi_kategori"), "distribusi_kategori"),
+                       (_maps(cat if top_categories is None else _top(cat, top_categories), "distribusi_kategori"), "distribusi_kategori"),
                        (_maps(_top(loc, top_locations), "distribusi_lokasi"), "distribusi_lokasi")):
         out = out.join(side, F.col("cluster_id").eqNullSafe(F.col(f"_c_{name}")), "left")
     ts = generated_at or _dt.datetime.now()

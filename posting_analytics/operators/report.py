@@ -62,14 +62,16 @@ def top_k_with_set(df: DataFrame, key: str, set_of: str, k: int = 10,
     Two phases: plain counts per key pick the ``k`` keys, and the value sets
     are built only for those keys (a semi-join against ``k`` broadcast rows).
     With a key of many values (company names) no set is built for the keys
-    that are not reported.
+    that are not reported.  The rows of the reported keys are first made
+    distinct by key and value, dealt by both, so a key that holds a third of
+    all rows is spread over the tasks and only its set comes together.
     """
     top = (df.groupBy(key).agg(_n().alias(count_col))
            .orderBy(F.desc(count_col), F.asc(key)).limit(k))
     keys = F.broadcast(top.select(F.col(key).alias("_k")))
     kept = df.join(keys, df[key].eqNullSafe(keys["_k"]), "left_semi")
-    sets = (kept.groupBy(F.col(key).alias("_k"))
-            .agg(F.array_sort(F.collect_set(set_of)).alias(set_col)))
+    pairs = kept.select(F.col(key).alias("_k"), F.col(set_of).alias("_v")).distinct()
+    sets = pairs.groupBy("_k").agg(F.array_sort(F.collect_list("_v")).alias(set_col))
     joined = F.broadcast(top).join(sets, F.col(key).eqNullSafe(F.col("_k")), "left")
     return joined.select(key, count_col, set_col).orderBy(F.desc(count_col), F.asc(key))
 
@@ -203,6 +205,54 @@ def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
     return df.agg(_n().alias(out))
 
 
+#: Types whose values the frequent-item sketch takes.
+_SKETCHED = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp",
+             "timestamp_ntz")
+
+
+def _candidates(df: DataFrame, col: str, tracked: int) -> tuple[list, int]:
+    """Values that may be frequent, and the most rows that any other value can have.
+
+    The sketch tracks items in a map of the power of two at or above
+    ``tracked / 0.75`` entries; its counts are upper bounds, wrong by at most
+    3.5 / size of the rows, and it does not list a value whose lower bound is
+    below that error.  Counts that add up to the rows are exact and complete.
+    """
+    name = "`" + col.replace("`", "``") + "`"
+    row = df.filter(F.col(col).isNotNull()).select(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k({name}, {tracked}, {tracked})").alias("items")).first()
+    items, n = list(row["items"] or []), row["n"]
+    if sum(i["count"] for i in items) == n:
+        return [i["item"] for i in items], 0
+    size = 1 << (int(tracked / 0.75) - 1).bit_length()
+    listed = min(i["count"] for i in items) if len(items) >= tracked else 0
+    return [i["item"] for i in items], max(listed, int(2 * 3.5 * n / size) + 1)
+
+
+def heavy_hitters(df: DataFrame, col: str, k: int = 5, count_col: str = "n", tracked: int = 10_000) -> DataFrame:
+    """T3 in bounded memory: the rows of ``top_k_values``, without a count of every value.
+
+    A sketch of at most ``tracked`` values a partition (merged, never
+    shuffled by value) names candidates and bounds what any other value can
+    have; one more scan counts the candidates alone, exactly.  If the ``k``-th
+    of them has more rows than the bound, they are the answer; if not - no value
+    stands out - all values are counted.  So the answer is always exact, and what
+    is shuffled only grows with the number of distinct values where none is
+    frequent.  Runs its two scans when called; at most ``tracked`` values and
+    ``k`` counts reach the driver.
+    """
+    if df.schema[col].dataType.simpleString() not in _SKETCHED or not 0 < k <= tracked:
+        return top_k_values(df, col, k, count_col)
+    values, bound = _candidates(df, col, tracked)
+    spark, field = df.sparkSession, df.select(col).schema
+    wanted = F.broadcast(spark.createDataFrame([(v,) for v in values], field))
+    counted = top_k_values(df.select(col).join(wanted, on=col, how="left_semi"), col, k, count_col)
+    top = counted.collect()
+    if bound and (len(top) < k or top[-1][count_col] <= bound):
+        return top_k_values(df, col, k, count_col)
+    return spark.createDataFrame(top, counted.schema)
+
+
 def top_k_values(df: DataFrame, col: str, k: int = 5, count_col: str = "n") -> DataFrame:
     """The ``k`` most frequent values (ties: value ascending); NULL is not a value."""
     return (df.filter(F.col(col).isNotNull()).groupBy(col).agg(_n().alias(count_col))
@@ -222,10 +272,21 @@ def attribute_counts(df: DataFrame, group: str, attrs: Sequence[str], count_col:
                      attr_col: str = "attribute", value_col: str = "value") -> DataFrame:
     """A8 for several attributes: rows per ``(group, attribute, value)``, values as text.
 
-    Each attribute is counted on its own (a map-side partial count over the
-    two columns it reads) and the count tables are put together, so no input
-    row is copied.
+    One scan with a grouping set per attribute.  Each row becomes one per
+    attribute in memory and is counted there before anything is shuffled.
     """
-    parts = [df.groupBy(group, F.col(a).cast("string").alias(value_col)).agg(_n().alias(count_col))
-             .select(group, F.lit(a).alias(attr_col), value_col, count_col) for a in attrs]
-    return functools.reduce(DataFrame.unionByName, parts)
+    sets = [f"_{i}" for i in range(len(attrs))]
+    src = df.select(F.col(group).alias("_g"), *[F.col(a).cast("string").alias(s) for a, s in zip(attrs, sets)])
+    out = src.groupingSets([["_g", s] for s in sets], "_g", *sets).agg(
+        _n().alias("_n"), *[F.grouping(s).alias(f"_in{s}") for s in sets])
+
+    def of_set(values) -> Column:
+        """The value of the set that a row was grouped by: the attribute that is not rolled up."""
+        chain = None
+        for s, v in zip(sets, values):
+            hit = F.col(f"_in{s}") == 0
+            chain = F.when(hit, v) if chain is None else chain.when(hit, v)
+        return chain
+
+    return out.select(F.col("_g").alias(group), of_set([F.lit(a) for a in attrs]).alias(attr_col),
+                      of_set([F.col(s) for s in sets]).alias(value_col), F.col("_n").alias(count_col))

@@ -321,6 +321,15 @@ def top_companies(spark, sf_dir):
     return doc.select("cluster_id", report.map_text(F.col("top_companies")).alias("top_companies"))
 
 
+def heavy_hitters(spark, sf_dir):
+    """T3 by sketch and recount: few values, some frequent ones, and none frequent (all are counted)."""
+    li = table(spark, sf_dir, "lineitem")
+    parts = [report.heavy_hitters(li, c, 5, tracked=64).select(
+        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), "n")
+        for c in ("l_returnflag", "l_suppkey", "l_partkey")]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def sorted_distinct(spark, sf_dir):
     return report.sorted_distinct(table(spark, sf_dir, "orders"), "o_orderpriority")
 
@@ -600,6 +609,7 @@ QUERIES: dict[str, Query] = {
     "topn_per_group": topn_per_group,
     "cluster_summary": cluster_summary,
     "top_companies": top_companies,
+    "heavy_hitters": heavy_hitters,
     "sorted_distinct": sorted_distinct,
     "table_profile": table_profile,
     "topk_semijoin": topk_semijoin,

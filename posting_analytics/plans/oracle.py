@@ -356,6 +356,10 @@ def oracle_sql() -> dict[str, str]:
             "FROM orders GROUP BY 1, 2, 3 UNION ALL "
             "SELECT o_orderstatus, 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders "
             "GROUP BY 1, 2, 3"),
+        "heavy_hitters": " UNION ALL ".join(
+            f"(SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM lineitem "
+            f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, {c} LIMIT 5)"
+            for c in ("l_returnflag", "l_suppkey", "l_partkey")),
         "required_filter": (
             f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders "
             f"WHERE o_orderstatus <> {lit(P.STATUS_SENTINEL)} AND o_orderpriority IS NOT NULL "

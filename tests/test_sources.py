@@ -43,9 +43,9 @@ def test_collections_replace_count_and_hide(spark, scratch):
     counts = {r["collection"]: r["n"] for r in
               collections.count_collections(spark, scratch, ["cluster_summary", "raw_jobs"]).collect()}
     assert counts == {"cluster_summary": 2, "raw_jobs": 2}
-    back = files.read_documents(spark, collections.collection_path(scratch, "raw_jobs"))
+    back = files.read_documents(spark, collections.current_path(spark, scratch, "raw_jobs"))
     assert "_id" not in back.columns
-    summary = files.read_documents(spark, collections.collection_path(scratch, "cluster_summary"))
+    summary = files.read_documents(spark, collections.current_path(spark, scratch, "cluster_summary"))
     assert dict(summary.dtypes)["distribusi_kategori"] == "map<string,bigint>"
 
 

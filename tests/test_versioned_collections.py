@@ -1,0 +1,71 @@
+"""Collections are replaced in one step: readers see old rows or new ones, never none."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from posting_analytics.sources import collections as C
+
+
+@pytest.fixture()
+def root(tmp_path):
+    return str(tmp_path / "store")
+
+
+def rows(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def test_replacing(spark, root):
+    C.replace_collection(spark.range(3), root, "a")
+    C.replace_collection(spark.range(5), root, "b")
+    before = C.read_collection(spark, root, "a")
+    C.replace_collection(spark.range(10, 12), root, "a")
+    assert rows(C.read_collection(spark, root, "a")) == [10, 11]
+    assert rows(before) == [0, 1, 2]  # a reader that began before goes on
+    assert {r.collection: r.n for r in C.count_collections(spark, root, ["a", "b"]).collect()} == {"a": 2, "b": 5}
+
+
+def test_a_failed_write_changes_nothing(spark, root):
+    C.replace_collection(spark.range(3), root, "a")
+    bad = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        C.replace_collection(bad, root, "a")
+    assert rows(C.read_collection(spark, root, "a")) == [0, 1, 2]
+    C.drop_old_versions(spark, root, "a")  # what the failed write left
+    assert rows(C.read_collection(spark, root, "a")) == [0, 1, 2]
+
+
+def test_a_collection_may_be_made_from_itself(spark, root):
+    C.replace_collection(spark.range(3), root, "a")
+    C.replace_collection(C.read_collection(spark, root, "a").select((F.col("id") * 2).alias("id")), root, "a")
+    assert rows(C.read_collection(spark, root, "a")) == [0, 2, 4]
+
+
+def test_old_versions(spark, root):
+    paths = [C.replace_collection(spark.range(n), root, "a") for n in (1, 2, 3, 4)]
+    assert C.current_path(spark, root, "a") == paths[-1]
+    assert sorted(C.old_versions(spark, root, "a")) == sorted(paths[:-1])
+    C.restore_version(spark, root, "a", paths[0])
+    assert rows(C.read_collection(spark, root, "a")) == [0]
+    with pytest.raises(ValueError):
+        C.restore_version(spark, root, "a", paths[0])
+    gone = C.drop_old_versions(spark, root, "a", keep=1)
+    assert len(gone) == 2 and len(C.old_versions(spark, root, "a")) == 1
+    assert rows(C.read_collection(spark, root, "a")) == [0]
+
+
+def test_no_collection(spark, root):
+    with pytest.raises(ValueError):
+        C.read_collection(spark, root, "a")
+
+
+def test_an_interrupted_switch_leaves_the_old_rows(spark, root, monkeypatch):
+    C.replace_collection(spark.range(3), root, "a")
+
+    def lost(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(C, "_switch", lost)
+    with pytest.raises(OSError):
+        C.replace_collection(spark.range(9), root, "a")
+    assert rows(C.read_collection(spark, root, "a")) == [0, 1, 2]
