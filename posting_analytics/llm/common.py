@@ -76,3 +76,15 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def carried(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``columns`` beside the whole row as one struct ``_row``: whatever the others are
+    called, names made on the way cannot clash.  ``select("_row.*")`` gives the rows back."""
+    whole = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
+    return df.select(*columns, whole.alias("_row"))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The same rows with columns called by their places: ``mapInArrow`` takes no name with a dot."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as B
+from .common import numbered, unused
 
 MIN_MATCH, COVERAGE = 5, 0.5
 #: Seeds of one broadcast: about 24 bytes each, 48 MB.
@@ -184,13 +185,17 @@ def _blocks(benchmark: DataFrame, min_match: int, most: int):
 
 def judged(docs: DataFrame, benchmark: DataFrame, *, min_match: int = MIN_MATCH,
            coverage: float = COVERAGE, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
-    """The rows of ``docs`` with the state columns of all blocks; no shuffle, no join."""
+    """The rows of ``docs`` with the state columns of all blocks behind them; no shuffle, no join.
+
+    The columns are called as in ``_STATE``, with underscores before a name that ``docs`` has."""
     sc, n = docs.sparkSession.sparkContext, len(docs.columns)
-    out = docs.withColumns({name: F.lit(int(name == "_tiling_words")).cast(kind) for name, kind in _STATE})
-    schema, at = out.schema, docs.columns.index("text")
+    out = docs.withColumns({unused(docs, name): F.lit(int(name == "_tiling_words")).cast(kind)
+                            for name, kind in _STATE})
+    names, out, at = out.columns, numbered(out), docs.columns.index("text")
+    schema = out.schema
     for block in _blocks(benchmark, min_match, block_seeds):
         out = out.mapInArrow(_judge(sc.broadcast(block), at, n, min_match, coverage), schema)
-    return out
+    return out.toDF(*names)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -209,5 +214,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, that no benchmark item contaminates."""
-    return judged(docs, benchmark, **options).filter("_tiling_items = 0").select(*docs.columns)
+    """The documents, all columns (of any name), that no benchmark item contaminates."""
+    items, *_ = names = [unused(docs, name) for name, _ in _STATE]
+    return judged(docs, benchmark, **options).filter(F.col(items) == 0).drop(*names)

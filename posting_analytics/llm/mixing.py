@@ -24,7 +24,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import cut, uniform
+from .common import carried, cut, uniform
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a key range on average, at most, if all rows were of one source; fewest ranges.
@@ -152,11 +152,12 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), tota
 def mixed_documents(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5,
                     most_epochs: float = 2.0, seed: int = 17, key_ranges: int | None = None,
                     quality: Column | None = None) -> DataFrame:
-    """The mix as whole documents, all columns: a document stands there once per epoch that takes it.
+    """The mix as whole documents, all columns (of any name): a document stands there once per epoch that takes it.
 
     The document in which a source's budget ends is taken whole.
     """
-    keyed = _keyed(docs, seed, quality)
+    needed = ["doc_id", "source", "text"] + ([] if quality is None else [quality.alias("_weight")])
+    keyed = _keyed(carried(docs, *needed), seed, None if quality is None else F.col("_weight"))
     slim = cut(keyed.select("_source", *_ORDER))
     n = _ranges(slim, key_ranges)
     keyed, slim = _in_ranges(keyed, n), _in_ranges(slim, n)
@@ -168,4 +169,4 @@ def mixed_documents(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1),
     taken = (F.col("_bucket") < F.col("edge")) | ((F.col("_bucket") == F.col("edge")) & (place <= F.col("last")))
     copies = F.col("epochs") + F.coalesce(taken, F.lit(False)).cast("long")
     return _with_plan(keyed, plan).withColumn("_copies", copies).filter("_copies > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as B
-from .common import cut, n_buckets, written
+from .common import cut, n_buckets, numbered, unused, written
 
 K, NUMERATOR, DENOMINATOR = 4, 85, 100
 GROUPS, NODE, LEAF = 64, 16, 256
@@ -560,28 +560,29 @@ def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, k: int = K) -> DataFrame:
-    """The documents, all columns, less all but one of each group of linked documents.
+    """The documents, all columns (of any name), less all but one of each group of linked documents.
 
     The row of the group's smallest doc_id stays; a document without words is in no group.
     """
     found = written(near_duplicates(docs, k), "ngram-found")
+    keep_id, keep_sig, many_id, sig, size = (unused(docs, c) for c in ("keep_id", "keep_sig", "many_id", "_sig", "_n"))
     # One row of each group: the smallest doc_id, a null id last, then the smallest signature.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")
     keep = found.filter("n_shingles > 0").groupBy("comp").agg(F.min(order).alias("w")).select(
-        F.col("w.doc_id").alias("keep_id"), F.col("w.sig").alias("keep_sig"))
-    empty = found.filter("n_shingles = 0").select(F.col("doc_id").alias("keep_id"), F.col("sig").alias("keep_sig"))
+        F.col("w.doc_id").alias(keep_id), F.col("w.sig").alias(keep_sig))
+    empty = found.filter("n_shingles = 0").select(F.col("doc_id").alias(keep_id))
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null")
-    repeated = cut(repeated.select(F.col("doc_id").alias("many_id")))
-    names = docs.columns
-    same_id = F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id"))
-    wanted = keep.select("keep_id").unionAll(empty.select("keep_id")).filter("keep_id is not null")
+    repeated = cut(repeated.select(F.col("doc_id").alias(many_id)))
+    same_id = F.col("doc_id").cast("long").eqNullSafe(F.col(keep_id))
+    wanted = keep.select(keep_id).unionAll(empty).filter(F.col(keep_id).isNotNull())
     if repeated.isEmpty():
-        return docs.join(wanted, same_id, "left_semi").select(*names)
+        return docs.join(wanted, same_id, "left_semi")
     # Rows that share an id (or have none) are told apart by their signature.
-    is_many = F.col("doc_id").cast("long").eqNullSafe(F.col("many_id"))
-    single = docs.join(repeated, is_many, "left_anti").join(wanted, same_id, "left_semi").select(*names)
-    schema = docs.withColumns({"_sig": F.lit(0).cast("long"), "_n": F.lit(0).cast("long")}).schema
-    at = names.index("text")
+    is_many = F.col("doc_id").cast("long").eqNullSafe(F.col(many_id))
+    single = docs.join(repeated, is_many, "left_anti").join(wanted, same_id, "left_semi")
+    many = numbered(docs.join(repeated, is_many, "left_semi"))
+    schema = many.withColumns({"sig": F.lit(0).cast("long"), "n": F.lit(0).cast("long")}).schema
+    at = docs.columns.index("text")
 
     def sign(batches):
         for batch in batches:
@@ -589,9 +590,9 @@ def one_of_each(docs: DataFrame, k: int = K) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(lo, hi - lo) for c in batch.columns]
                     + [pa.array(r.sig.view(np.int64), pa.int64()), pa.array(r.size, pa.int64())],
-                    names=batch.schema.names + ["_sig", "_n"])
+                    names=batch.schema.names + ["sig", "n"])
 
-    rest = docs.join(repeated, is_many, "left_semi").mapInArrow(sign, schema)
-    same = same_id & (F.col("_sig") == F.col("keep_sig"))
-    first = rest.filter("_n > 0").join(keep, same, "left_semi").dropDuplicates(["_sig"])
-    return single.unionAll(first.select(*names)).unionAll(rest.filter("_n = 0").select(*names))
+    rest = many.mapInArrow(sign, schema).toDF(*docs.columns, sig, size)
+    same = same_id & (F.col(sig) == F.col(keep_sig))
+    first = rest.filter(F.col(size) > 0).join(keep, same, "left_semi").dropDuplicates([sig])
+    return single.unionAll(first.drop(sig, size)).unionAll(rest.filter(F.col(size) == 0).drop(sig, size))

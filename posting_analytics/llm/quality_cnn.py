@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import bytetext as B
+from .common import numbered, unused
 
 CHUNK, OVERLAP, WIDTH, STRIDE = 512, 64, 8, 4
 EMBED, FILTERS = 8, 48
@@ -196,15 +197,16 @@ def score_batches(net_b, text_at: int):
                      for lo, hi in B.slices(data, off, 1 << 19, 4096)]
             score = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(score, pa.float64())],
-                                             names=batch.schema.names + ["_quality_score"])
+                                             names=batch.schema.names + ["score"])
     return run
 
 
-def with_score(docs: DataFrame, net: Network) -> DataFrame:
-    """The rows of ``docs`` with ``_quality_score``; the network (about 50 kB) is broadcast."""
-    schema = docs.withColumn("_quality_score", F.lit(0.0)).schema
+def with_score(docs: DataFrame, net: Network, name: str = "_quality_score") -> DataFrame:
+    """The rows of ``docs`` with a column ``name`` behind them; the network (about 50 kB) is broadcast."""
+    rows = numbered(docs)
+    schema = rows.withColumn("score", F.lit(0.0)).schema
     net_b = docs.sparkSession.sparkContext.broadcast(net)
-    return docs.mapInArrow(score_batches(net_b, docs.columns.index("text")), schema)
+    return rows.mapInArrow(score_batches(net_b, docs.columns.index("text")), schema).toDF(*docs.columns, name)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, **options) -> Network:
@@ -224,5 +226,6 @@ def score_quality(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, all columns, that the network does not reject."""
-    return with_score(docs, net).filter(F.col("_quality_score") >= threshold).select(*docs.columns)
+    """The documents, all columns (of any name), that the network does not reject."""
+    name = unused(docs, "_quality_score")
+    return with_score(docs, net, name).filter(F.col(name) >= threshold).drop(name)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import bytetext as B
-from .common import unused
+from .common import numbered, unused
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2 ** 64
@@ -261,7 +261,8 @@ def kept_documents(docs: DataFrame, **limits) -> DataFrame:
     """The documents that break no rule, with all their columns."""
     lengths = {k: v for k, v in limits.items() if k in ("top", "dup")}
     m = unused(docs, "repetition")
-    top, dup = _sized(lengths.get("top", TOP_SHARES), lengths.get("dup", DUP_SHARES))
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    out = docs.mapInArrow(_measure("text", top, dup, m, False), f"{fields}, {m} {_STRUCT_SQL}")
+    rows, top_dup = numbered(docs), _sized(lengths.get("top", TOP_SHARES), lengths.get("dup", DUP_SHARES))
+    schema = rows.select("*", F.lit(None).cast(_STRUCT_SQL).alias("m")).schema
+    text = rows.columns[docs.columns.index("text")]
+    out = rows.mapInArrow(_measure(text, *top_dup, "m", False), schema).toDF(*docs.columns, m)
     return out.filter(F.size(failed_rules(F.col(m), **limits)) == 0).drop(m)

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("corpus_pipeline")
 import corpus_pipeline as P  # noqa: E402
@@ -98,10 +99,34 @@ def test_repeated_rows_and_extra_columns(llm, tables):
     assert docs.count() > 0
 
 
+CLASHING = ["target", "edge", "epochs", "rest", "last", "before", "source_size", "its_source", "ahead", "_source", "_SIZE",
+            "_key", "_bucket", "_copies", "_copy", "_row", "_weight", "keep_id", "keep_sig", "many_id", "_sig", "_n", "sig",
+            "n", "comp", "none", "w", "_quality_score", "__quality_score", "score", "_tiling_items", "_Tiling_Words",
+            "held_out", "shard", "sub", "place", "start", "spot", "a b", "x.y"]
+
+
+def test_any_extra_column_is_carried_unchanged(llm, tables):
+    at, *_ = tables
+    plain = llm.read.parquet(f"{at}/documents.parquet")
+    plain = plain.unionAll(plain.limit(12))
+    docs = plain.select("*", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("-"),
+                                        F.coalesce("source", F.lit(""))).alias(c) for c in CLASHING])
+    for name, stage in P.STAGES[:4]:
+        out, without = stage(llm, docs, at), stage(llm, plain, at)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in without.collect()), name
+        for r in rows:
+            want = f"-{'' if r['doc_id'] is None else r['doc_id']}-{r['source'] or ''}"
+            assert all(r[c] == c + want for c in CLASHING), name
+    sharded = P.shard(llm, docs, at)
+    assert sorted(map(tuple, sharded.collect())) == sorted(map(tuple, P.shard(llm, plain, at).collect()))
+
+
 def test_registered_queries(llm):
     import __spark_entry__ as E
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and E.queries()["pipeline"] is P.run
     assert zlib.crc32(b"0") % 4 in range(4) and ngram_join.K == 4 and sharding.tree(24)

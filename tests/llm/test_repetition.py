@@ -106,7 +106,7 @@ def test_limits_are_parameters(llm, docs_of):
 
 def test_kept_documents_carries_any_column(llm):
     fresh = " ".join(f"w{i}" for i in range(60))
-    names = ["doc_id", "text", "repetition", "_repetition", "m", "kept", "failed", "_"]
+    names = ["doc_id", "text", "repetition", "_repetition", "m", "kept", "c1", "a.b"]
     rows = [(1, fresh, "a", 1, 2.0, False, "x", None), (2, "a b", "b", 2, 3.0, True, "y", None)]
     d = llm.createDataFrame(rows, ", ".join(f"`{n}` {t}" for n, t in zip(
         names, ("long", "string", "string", "int", "double", "boolean", "string", "int"))))
