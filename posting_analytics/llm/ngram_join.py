@@ -394,24 +394,34 @@ def _verify(batches):
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` (the least node reached) of every node of ``edges`` (``a, b``).
 
-    Labels spread along the edges and then jump to their label's label, so long
-    chains shorten by half each round; every round is checkpointed.
+    Each round maps every node to the neighbour, or itself, that a hash of the
+    round puts first, and on to where that one is mapped; edges then join what
+    is left, those inside a node are dropped, and the rest, a part of the nodes,
+    goes into the next round.  The rounds' maps are joined one behind the other.
     """
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-               .filter("a <> b").distinct())
-    label = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("label")))
-    while True:
-        near = both.join(label, both.b == label.node).groupBy("a").agg(F.min("label").alias("near"))
-        spread = label.join(near, label.node == near.a).select("node", F.col("label").alias("old"),
-                                                               F.least("label", "near").alias("label"))
-        spread = cut(spread)
-        jump = spread.select(F.col("node").alias("via"), F.col("label").alias("far"))
-        new = cut(spread.join(jump, spread.label == jump.via, "left").select(
-            "node", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
-        if new.filter("old <> label").isEmpty():
-            return new.select("node", "label")
-        label = new.select("node", "label")
+    edge = cut(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    steps: list[DataFrame] = []
+    while not edge.isEmpty():
+        draw = lambda c: F.struct(F.xxhash64(c, F.lit(len(steps))).alias("h"), F.col(c).alias("to"))  # noqa: B023, E731
+        ends = edge.select("a", draw("b").alias("d")).unionByName(edge.select(F.col("b").alias("a"), draw("a").alias("d")))
+        step = ends.groupBy("a").agg(F.min("d").alias("d")).select(
+            F.col("a").alias("node"), F.least("d", draw("a"))["to"].alias("label"))
+        via = step.select(F.col("node").alias("via"), F.col("label").alias("far"))
+        step = cut(step.join(via, F.col("label") == F.col("via")).select("node", F.col("far").alias("label")))
+        steps.append(step)
+        for end in ("a", "b"):
+            edge = edge.join(step, edge[end] == step.node).drop(end, "node").withColumnRenamed("label", end)
+        edge = cut(edge.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if not steps:
+        return edge.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    found = steps[0]
+    for step in steps[1:]:
+        step = step.select(F.col("node").alias("via"), F.col("label").alias("far"))
+        found = found.join(step, found.label == step.via, "left").select(
+            "node", F.coalesce("far", "label").alias("label"))
+    found = cut(found)
+    least = found.groupBy("label").agg(F.min("node").alias("least"))
+    return found.join(least, "label").select("node", F.col("least").alias("label"))
 
 
 def _joined(parts: DataFrame, found: DataFrame) -> DataFrame:
@@ -529,8 +539,11 @@ def verified_links(docs: DataFrame, k: int = K) -> DataFrame:
 
     entries = points.select("sig", F.explode("prefix").alias("key"))
     hub = entries.groupBy("key").agg(F.min("sig").alias("hub"), F.max("sig").alias("last")).filter("hub <> last")
-    edges = entries.join(hub, "key").filter("sig <> hub").select(
-        F.col("sig").alias("a"), F.col("hub").alias("b")).distinct()
+    # A class and the hubs of its keys (at most as many as its prefix holds) as a star about the least
+    # of them: connects the same, and classes of one group name the same few pairs of hubs.
+    star = entries.join(hub, "key").groupBy("sig").agg(F.collect_set("hub").alias("hubs")).select(
+        F.array_union("hubs", F.array("sig")).alias("all"))
+    edges = star.select(F.explode("all").alias("a"), F.array_min("all").alias("b")).filter("a <> b").distinct()
     clusters = components(edges)
 
     leaves, links = _leaves(points, clusters)

@@ -173,3 +173,23 @@ def test_components_of_long_chains(llm):
     got = {r["node"]: r["label"] for r in N.components(llm.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100, 102: 100}
     assert collections.Counter(got.values()) == {0: 61, 100: 3}
+
+
+@pytest.mark.parametrize("edges", [
+    [], [(1, 1)], [(i, i + 1) for i in range(150)], [(i + 1, i) for i in range(150)], [(0, i) for i in range(1, 60)],
+    [(99, i) for i in range(60)], [(i, i + 2) for i in range(80)] + [(7, 7), (5, 3), (3, 5)],
+    [(i * 37 % 101, i * 53 % 101) for i in range(60)] + [(-5, 2 ** 62), (2 ** 62, -7)]])
+def test_components(llm, edges):
+    parent = {x: x for e in edges if e[0] != e[1] for x in e}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = top(a), top(b)
+            parent[max(a, b)] = min(a, b)
+    got = N.components(llm.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.label for r in got.collect()} == {x: top(x) for x in parent} and got.count() == len(parent)
