@@ -80,9 +80,13 @@ def test_spread_is_the_callers_choice(spark):
 
 
 def test_cluster_summary_limits_before_shuffle(spark):
-    p = plan(Q.cluster_summary(spark, SF))
-    # the count maps are cut on each partition first; modes need no window
+    from posting_analytics.operators import documents
+    parts = Q._part_flags(spark, SF).withColumn("p_size", F.col("p_size").cast("string"))
+    p = plan(documents.cluster_summary(parts, cluster="p_type", category="p_brand", location="p_name",
+                                       education="p_size", flag="premium", top_categories=100))
+    # limited count maps are cut on each partition first; modes need no window
     assert "row_number(), 5, Partial" in p and "row_number(), 100, Partial" in p
+    assert "row_number(), 5, Partial" in plan(Q.cluster_summary(spark, SF))  # its category map is whole
     assert len(re.findall(r"^\(\d+\) Window ", p, re.M)) <= 2
 
 
