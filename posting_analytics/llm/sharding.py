@@ -1,12 +1,18 @@
 """Sharding by a hierarchical weighted hash tree.
 
-The tree has regions, racks and shards.  A key draws an exponential variate
-``-ln(u(key, shard)) / weight`` at every shard; a rack's draw is the least of
-its shards' and a region's the least of its racks', so a node's draw is
-exponential with the node's total weight.  The key descends to the region, the
-rack and the shard of least draw.  When a weight grows or a shard is added, the
-draws elsewhere stay as they are: keys move only into that subtree and only
-into that shard; when a weight shrinks, only keys of that shard leave.
+The tree has regions, racks and shards, with room for a fixed number of children at
+each node.  A key draws an exponential variate ``-ln(u(key, node)) / weight`` once per
+region and goes to the least; there it draws once per rack, and in the rack once per
+shard.  A node's weight is that of all its places.
+
+A region or rack whose places are all filled by shards of weight 1 competes with its own
+draw alone.  One with free places or other weights is opened first: a child's draw is
+``draw(node) + e(child) - min(e)`` with the draws ``e`` that a descent into the node would
+compare.  As exponential draws have no memory, the least of the children's draws is the
+node's own and each is exponential with the child's weight; so opening a node changes no
+choice among shards that stay, and a free place leaves the rest as it is.  A shard of weight
+``w`` divides its draw by ``w``.  When a weight grows or a shard is added, keys move only into
+that region, that rack and that shard; when a weight shrinks, only keys of that shard leave.
 Only DataFrame functions are used.
 
 Slots number the rows of a shard from 0 without gaps: rows are counted per
@@ -45,19 +51,47 @@ def tree(n_shards: int, weights: dict[int, float] | None = None) -> list[list[li
     return [racks[i:i + RACKS_PER_REGION] for i in range(0, len(racks), RACKS_PER_REGION)]
 
 
-def descend(regions: list[list[list[tuple[int, float]]]], key: Column, seed: int = 29) -> Column:
-    """The shard of ``key``: at each level the child of least draw."""
+#: Places below a region, a rack and a shard: their weights in the tree of equal shards.
+_PLACES = (SHARDS_PER_RACK * RACKS_PER_REGION, SHARDS_PER_RACK, 1)
+#: Children of a region and of a rack.
+_CHILDREN = (RACKS_PER_REGION, SHARDS_PER_RACK)
+
+
+def _draw(key: Column, level: int, node: Column, seed: int) -> Column:
+    """The key's exponential draw at node number ``node`` of a level (0 regions, 1 racks, 2 shards)."""
+    return -F.log(uniform(key, F.lit(level), node, F.lit(seed))) / F.lit(float(_PLACES[level]))
+
 
-    def least(nodes: list[Column]) -> Column:
-        return F.array_min(F.array(*nodes)) if len(nodes) > 1 else nodes[0]
+def _child(key: Column, level: int, node: Column, seed: int) -> Column:
+    """The child of least draw of a node."""
+    children = [node * F.lit(_CHILDREN[level]) + F.lit(i) for i in range(_CHILDREN[level])]
+    return F.array_min(F.array(*[F.struct(_draw(key, level + 1, c, seed).alias("draw"), c.alias("node"))
+                                 for c in children]))["node"]
 
-    # Each node is struct(draw, shard): the least struct carries the way down with it.
-    def shard(i: int, weight: float) -> Column:
-        draw = -F.log(uniform(key, F.lit(i), F.lit(seed))) / F.lit(weight)
-        return F.struct(draw.alias("draw"), F.lit(i).alias("shard"))
 
-    picks = [least([least([shard(i, w) for i, w in rack]) for rack in racks]) for racks in regions]
-    return least(picks)["shard"]
+def _rivals(key: Column, level: int, node: int, draw: Column, weights: dict[int, float], seed: int) -> list[Column]:
+    """``struct(draw, level, node)`` of the node if it is whole, else of the whole nodes below it."""
+    first = node * _PLACES[level]
+    held = [weights.get(i) for i in range(first, first + _PLACES[level])]
+    if all(w is None for w in held):
+        return []
+    if level == 2 or all(w == 1.0 for w in held):
+        own = draw if level < 2 else draw / F.lit(held[0])
+        return [F.struct(own.alias("draw"), F.lit(level).alias("level"), F.lit(node).alias("node"))]
+    below = [node * _CHILDREN[level] + i for i in range(_CHILDREN[level])]
+    e = [_draw(key, level + 1, F.lit(c), seed) for c in below]
+    return [r for c, x in zip(below, e)
+            for r in _rivals(key, level + 1, c, draw + x - F.array_min(F.array(*e)), weights, seed)]
+
+
+def descend(regions: list[list[list[tuple[int, float]]]], key: Column, seed: int = 29) -> Column:
+    """The shard of ``key``: region, then rack, then shard of least draw."""
+    weights = {i: w for racks in regions for rack in racks for i, w in rack}
+    rivals = [r for n in range(len(regions))
+              for r in _rivals(key, 0, n, _draw(key, 0, F.lit(n), seed), weights, seed)]
+    best = F.array_min(F.array(*rivals))
+    rack = F.when(best["level"] == 0, _child(key, 0, best["node"], seed)).otherwise(best["node"])
+    return F.when(best["level"] == 2, best["node"]).otherwise(_child(key, 1, rack, seed))
 
 
 def assign_shards(docs: DataFrame, n_shards: int = 24, *, weights: dict[int, float] | None = None,

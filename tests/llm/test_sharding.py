@@ -63,3 +63,40 @@ def test_empty_and_native(docs_of):
     assert S.assign_shards(docs_of([])).collect() == []
     plan = S.assign_shards(docs_of(rows(20)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_movement_stays_in_subtrees_whose_weight_changes(docs_of):
+    docs = docs_of([(i, "") for i in range(3000)])
+    at = lambda w: {r["doc_id"]: r["shard"] for r in S.assign_shards(docs, 24, weights=w).collect()}
+    even, more, less = at(None), at({9: 3.0}), at({9: 0.25})
+    for a, b in ((even, more), (less, even)):
+        moved = [(a[i], b[i]) for i in a if a[i] != b[i]]
+        assert moved and all(new == 9 for _, new in moved)
+        for width in (8, 4, 1):  # regions, racks, shards: a key that leaves a node goes into the changed one
+            assert all(new // width == 9 // width for old, new in moved if old // width != new // width)
+
+
+def test_levels_decide(llm):
+    """In a whole tree the region, the rack and the shard are those of least draw at their level."""
+    from pyspark.sql import functions as F
+    key, seed = F.col("id"), 29
+    draw = lambda level, n: F.round(S._draw(key, level, F.lit(n), seed), 12)
+    rows = llm.range(500).select(
+        S.descend(S.tree(24), key).alias("shard"),
+        F.array(*[draw(0, n) for n in range(3)]).alias("regions"), F.array(*[draw(1, n) for n in range(6)]).alias("racks"),
+        F.array(*[draw(2, n) for n in range(24)]).alias("shards")).collect()
+    for r in rows:
+        region = min(range(3), key=lambda n: r["regions"][n])
+        rack = min(range(2 * region, 2 * region + 2), key=lambda n: r["racks"][n])
+        assert r["shard"] == min(range(4 * rack, 4 * rack + 4), key=lambda n: r["shards"][n])
+    assert len({r["shard"] for r in rows}) == 24
+
+
+def test_shares_of_partly_filled_trees(docs_of):
+    docs = docs_of([(i, "") for i in range(6000)])
+    for n in (7, 13, 22):
+        count = [0] * n
+        for r in S.assign_shards(docs, n).collect():
+            count[r["shard"]] += 1
+        mean = 6000 / n
+        assert all(abs(c - mean) < 5 * mean ** 0.5 for c in count), (n, count)
