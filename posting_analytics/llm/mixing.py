@@ -8,9 +8,11 @@ budget.  A budget above the source's size takes complete epochs first and the
 rest by key order.  Only DataFrame functions are used.
 
 The prefix sum never sorts a source in one task: keys fall in ranges, whose
-number follows the number of rows; range totals give the range in which the
+width follows the number of rows; range totals give the range in which the
 budget ends, ranges before it are taken whole, and only the rows of that one
-range are put in order.
+range are put in order.  Ranges are cut evenly in the logarithm of the key: that
+logarithm is ``ln(-ln(u))`` shifted by the weight, whose density is ``1/e`` at most,
+so no range holds a larger share than its width over ``e``, whatever the weights are.
 
 Cases: a null text has size 0 and is taken 0 times; a null source is a source
 of its own and stands last; repeated rows are documents of their own; ties in
@@ -27,8 +29,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import carried, cut, uniform
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of a key range on average, at most, if all rows were of one source; fewest ranges.
-ROWS_PER_RANGE, LEAST_RANGES = 100_000, 4096
+#: Expected rows of the fullest key range, at most, if all rows were of one source; the
+#: fullest range holds one part of ``LEAST_RANGES`` of a source at most.
+ROWS_PER_RANGE, LEAST_RANGES = 100_000, 1024
 #: Sources up to this many are joined by broadcast (about 100 bytes each); more are shuffled.
 BROADCAST_SOURCES = 10_000
 
@@ -76,20 +79,20 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], total_share: fl
 def _keyed(docs: DataFrame, seed: int, quality: Column | None) -> DataFrame:
     """The rows with ``_source, _size, _key`` added."""
     weight = noise_weight(F.col("text")) if quality is None else quality
-    key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / F.greatest(weight, F.lit(1e-9))
+    draw = uniform(F.col("doc_id"), F.xxhash64("text"), F.lit(seed))  # rows without an id differ by text
+    key = -F.log(draw) / F.greatest(weight, F.lit(1e-9))
     return docs.withColumns({"_source": F.col("source").cast("string"),
                              "_size": word_count(F.col("text")), "_key": key})
 
 
 def _ranges(slim: DataFrame, wanted: int | None) -> int:
-    """The number of key ranges for the (checkpointed) rows."""
+    """The least number of key ranges for the (checkpointed) rows."""
     return wanted or max(LEAST_RANGES, math.ceil(slim.count() / ROWS_PER_RANGE))
 
 
 def _in_ranges(rows: DataFrame, n: int) -> DataFrame:
-    """``_bucket``: the range of the key, in key order."""
-    place = F.floor((1 - F.exp(-F.col("_key"))) * n)
-    return rows.withColumn("_bucket", F.least(place, F.lit(n - 1)).cast("long"))
+    """``_bucket``: the range of the key, in key order; a range holds one n-th of a source's rows at most."""
+    return rows.withColumn("_bucket", F.floor(F.log("_key") * F.lit(n / math.e)).cast("long"))
 
 
 #: Order of the rows of a source.

@@ -113,3 +113,19 @@ def test_payload_quality_column(docs_of):
     docs = docs_of([(i, "a b c d", "s") for i in range(40)])
     got = M.mix_sources(docs, quality=F.lit(1.0), total_share=0.5).collect()
     assert sum(r["taken"] for r in got) == 80
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.3, 1 / 11, 0.01])
+def test_no_key_range_is_hot_at_any_weight(llm, weight):
+    docs = llm.range(200_000).selectExpr("id doc_id", "'s' source", "'a' text")
+    keyed = M._in_ranges(M._keyed(docs, 17, F.lit(weight)), M.LEAST_RANGES)
+    most = keyed.groupBy("_bucket").count().agg(F.max("count"), F.count("*")).first()
+    assert most[0] < 0.002 * 200_000 and most[1] < 20 * M.LEAST_RANGES
+    out_of_order = keyed.groupBy("_bucket").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi")).selectExpr(
+        "lo < lag(hi) over (order by _bucket) bad").filter("bad").count()
+    assert out_of_order == 0
+
+
+def test_rows_without_an_id_have_keys_of_their_own(docs_of):
+    keyed = M._keyed(docs_of([(None, f"text {i}", "s") for i in range(50)]), 17, None)
+    assert keyed.select("_key").distinct().count() == 50
