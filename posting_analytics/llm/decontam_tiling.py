@@ -8,6 +8,11 @@ rounds go on with shorter runs down to ``min_match``.  A document is
 contaminated when the tiles cover at least ``coverage`` of an item's words, in
 whatever order the passages stand.
 
+Where a text and an item repeat words so often that their equal places are many
+more than their words, runs are found by Karp-Rabin passes over the unmarked words
+for falling lengths instead of from the list of places: the same tiles in memory
+that grows with the words.
+
 Items shorter than ``min_match`` words match as one run of all their words.
 Benchmark seeds travel as broadcasts of at most ``BLOCK_SEEDS`` seeds (a bounded
 size); a larger benchmark takes further passes over the documents.
@@ -20,6 +25,8 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,8 +35,10 @@ from . import bytetext as B
 from .common import numbered, unused
 
 MIN_MATCH, COVERAGE = 5, 0.5
-#: Seeds of one broadcast: about 24 bytes each, 48 MB.
+#: Seeds of one broadcast: about 40 bytes each, 80 MB.
 BLOCK_SEEDS = 2_000_000
+#: Equal places of a text and an item that are listed, for each of their words; beyond, passes are made.
+PLACES_PER_WORD = 16
 
 
 class Block:
@@ -47,7 +56,13 @@ class Block:
         cat = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
         seed, owner, place = cat(seeds, B.U), cat(owner, np.int64), cat(place, np.int64)
         order = np.argsort(seed, kind="stable")
-        self.seed, self.owner, self.place = seed[order], owner[order], place[order]
+        seed, owner, self.place = seed[order], owner[order], place[order]
+        new = np.ones(len(seed), bool)
+        new[1:] = (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])
+        #: one entry per seed of an item: the seed, the item, its first place and the end of its places
+        first = np.flatnonzero(new)
+        self.seed, self.owner, self.first = seed[first], owner[first], first
+        self.end = np.append(first[1:], len(seed)).astype(np.int64)
         #: lengths below min_match, whose items are one window of all words
         self.short = sorted({len(w) for w in self.words if 0 < len(w) < min_match})
 
@@ -89,8 +104,75 @@ def tiles(doc: np.ndarray, item: np.ndarray, d_at: np.ndarray, i_at: np.ndarray,
     return out
 
 
+class _Rolling:
+    """Hashes of the windows of any length of a sequence of words, from one prefix sum."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        power = np.ones(n + 1, B.U)
+        power[1:] = self.BASE
+        power = np.cumprod(power)
+        self.sum = np.zeros(n + 1, B.U)
+        np.cumsum(words * power[:n], out=self.sum[1:])
+        self.back = np.full(n + 1, pow(self.BASE, -1, 1 << 64), B.U)
+        self.back[0] = 1
+        self.back = np.cumprod(self.back)
+
+    def windows(self, size: int) -> np.ndarray:
+        n = len(self.sum) - size
+        return (self.sum[size:] - self.sum[:n]) * self.back[:n]
+
+
+def passed_tiles(doc: np.ndarray, item: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """The tiles of ``tiles`` without a list of equal places.
+
+    Each round finds the longest run of unmarked words that both sides hold, by halving
+    the length, and marks such runs in order of their places.  Marked words become 0 in the
+    text and 1 in the item, so that no run with one is equal; runs are compared word by word.
+    """
+    doc, item = doc.astype(B.U, copy=True), item.astype(B.U, copy=True)
+    out, most = [], min(len(doc), len(item))
+    while most >= size:
+        in_doc, in_item = _Rolling(doc), _Rolling(item)
+        low, high = size - 1, most
+        while low < high:
+            middle = (low + high + 1) // 2
+            if np.isin(in_item.windows(middle), in_doc.windows(middle)).any():
+                low = middle
+            else:
+                high = middle - 1
+        most = low
+        if most < size:
+            break
+        h_doc, h_item = in_doc.windows(most), in_item.windows(most)
+        free_d, free_i = np.ones(len(doc), bool), np.ones(len(item), bool)
+        starts: dict[int, deque[int]] = {}
+        for b in np.flatnonzero(np.isin(h_item, h_doc)).tolist():
+            starts.setdefault(int(h_item[b]), deque()).append(b)
+        next_free = 0
+        for a in np.flatnonzero(np.isin(h_doc, h_item)).tolist():
+            if a < next_free:
+                continue
+            places = starts[int(h_doc[a])]
+            # the runs marked in this round are all as long, so a run that lost words lost an end
+            while places and not (free_i[places[0]] and free_i[places[0] + most - 1]):
+                places.popleft()
+            for b in places:
+                if free_i[b] and free_i[b + most - 1] and np.array_equal(doc[a:a + most], item[b:b + most]):
+                    out.append((a, b, most))
+                    free_d[a:a + most] = free_i[b:b + most] = False
+                    next_free = a + most
+                    break
+        if free_i.all():  # only equal hashes of unequal runs
+            most -= 1
+        doc[~free_d], item[~free_i] = 0, 1
+    return out
+
+
 def _lookup(block: Block, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(window, entry)`` pairs of equal seeds."""
+    """``(window, entry)`` pairs of equal seeds, an entry for each item that holds the seed."""
     lo = np.searchsorted(block.seed, hashes)
     lo_ok = np.minimum(lo, max(len(block.seed) - 1, 0))
     hit = np.flatnonzero((lo < len(block.seed)) & (block.seed[lo_ok] == hashes)) if len(block.seed) \
@@ -101,6 +183,16 @@ def _lookup(block: Block, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return window, np.repeat(lo[hit], n) + step
 
 
+def _pair_tiles(block: Block, doc: np.ndarray, item: np.ndarray, d_at: np.ndarray, entry: np.ndarray,
+                size: int) -> list[tuple[int, int, int]]:
+    """The tiles of one text and one item whose equal seeds are the entries at ``d_at``."""
+    n = block.end[entry] - block.first[entry]
+    if int(n.sum()) > PLACES_PER_WORD * (len(doc) + len(item)):
+        return passed_tiles(doc, item, size)
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return tiles(doc, item, np.repeat(d_at, n), block.place[np.repeat(block.first[entry], n) + step], size)
+
+
 #: Columns that a pass adds to every row.
 _STATE = (("_tiling_items", "long"), ("_tiling_item", "long"), ("_tiling_covered", "long"),
           ("_tiling_words", "long"), ("_tiling_longest", "long"))
@@ -119,21 +211,22 @@ def _hits(block: Block, w: B.Words, min_match: int, coverage: float) -> dict[int
         if len(window):
             base = np.searchsorted(doc, np.arange(n_docs))  # a document's windows are in order
             found.append((doc[window], block.owner[entry], window - base[doc[window]],
-                          block.place[entry], np.full(len(window), k)))
+                          entry, np.full(len(window), k)))
     hits: dict[int, list[tuple]] = {}
     if not found:
         return hits
-    doc, own, d_at, i_at, k = (np.concatenate(x) for x in zip(*found))
+    doc, own, d_at, entry, k = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((own, doc))
-    doc, own, d_at, i_at, k = (x[order] for x in (doc, own, d_at, i_at, k))
+    doc, own, d_at, entry, k = (x[order] for x in (doc, own, d_at, entry, k))
     cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(own) != 0)) + 1
     cuts = np.concatenate([[0], cuts, [len(doc)]]).tolist()
     for a, b in zip(cuts[:-1], cuts[1:]):
         d, o, item = int(doc[a]), int(own[a]), block.words[own[a]]
         # the item's windows that occur at all bound what tiles can cover
-        if len(np.unique(i_at[a:b])) * k[a] < coverage * len(item):
+        seen = np.unique(entry[a:b])
+        if int((block.end[seen] - block.first[seen]).sum()) * k[a] < coverage * len(item):
             continue
-        t = tiles(w.hash[w.first[d]:w.first[d + 1]], item, d_at[a:b], i_at[a:b], int(k[a]))
+        t = _pair_tiles(block, w.hash[w.first[d]:w.first[d + 1]], item, d_at[a:b], entry[a:b], int(k[a]))
         covered = sum(x[2] for x in t)
         if covered >= coverage * len(item):
             hits.setdefault(d, []).append((int(block.ids[o]), covered, len(item), max(x[2] for x in t)))

@@ -125,3 +125,35 @@ def test_empty_sides_null_ids_and_repeats(llm, docs_of):
     assert not any(r["contaminated"] for r in D.decontaminate(docs, bench(llm, [])).collect())
     assert D.decontaminate(docs_of([]), items).collect() == []
     assert len(D.clean_documents(docs, items).collect()) == 2
+
+
+def test_passes_give_the_tiles_of_the_listed_places():
+    rng = random.Random(6)
+    from posting_analytics.llm import bytetext as B
+    for n in range(300):
+        letters = "ab" if n % 2 else "abcdef"
+        doc = [rng.choice(letters) for _ in range(rng.randint(3, 60))]
+        item = [rng.choice(letters) for _ in range(rng.randint(3, 30))]
+        hd, hi = (B.hash_words(" ".join(x)) for x in (doc, item))
+        got = D.passed_tiles(hd, hi, 3)
+        assert got == greedy(doc, item, 3), (doc, item)
+
+
+def test_equal_words_take_memory_of_their_number_only():
+    import tracemalloc
+    from posting_analytics.llm import bytetext as B
+    block = D.Block([(1, B.hash_words("same " * 400)), (2, B.hash_words("same other " * 200))], 5)
+    data = np.frombuffer(("same " * 40_000).encode(), np.uint8)
+    w = B.words(data, np.array([0, len(data)]), B.ALNUM)
+    tracemalloc.start()
+    hits = D._hits(block, w, 5, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == {0: [(1, 400, 400, 400)]} and peak < 50 << 20, (hits, peak)
+
+
+def test_repeated_words_through_spark(llm, docs_of):
+    rows = [(1, "a b " * 5000), (2, "a " * 10_000), (3, "a b c d " * 500)]
+    items = [(1, "a b " * 40), (2, "a " * 60), (3, "b a " * 30 + "z z z")]
+    got = {r["doc_id"]: r["n_items"] for r in D.decontaminate(docs_of(rows), bench(llm, items)).collect()}
+    assert got == {1: 2, 2: 1, 3: 0}
