@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame, functions as F
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template svg iframe object canvas math textarea select "
-                "xmp noembed noframes".split())
+#: Their content is characters up to the end tag, or to the end of the page.
+RAW = frozenset("script style textarea xmp iframe noembed noframes".split())
+#: Their content is markup that does not belong to the text.
+HIDDEN = frozenset("noscript template svg object canvas math select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd "
                    "label mark q rp rt ruby s samp small span strike strong sub sup time tt u var "
                    "wbr".split())
@@ -43,7 +45,7 @@ SCOPE = frozenset("ul ol dl table article aside main section nav header footer d
 
 _TAG = re.compile(
     r"<(?:!--(?:.*?-->|.*)|[!?][^>]*>?"
-    r"|(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+>|[^>]*>?))", re.S)
+    r"|(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+>|[^>]*>?))", re.S)
 _ATTR = re.compile(r"(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -56,32 +58,46 @@ class Block:
 
 
 def blocks(html: str) -> list[Block]:
-    """The non-empty leaf blocks of a page in order."""
+    """The non-empty leaf blocks of a page in order.
+
+    A hidden element without an end tag behind it is passed over, what it holds stays; one
+    with an end tag hides its content up to there, or until an element around it ends.
+    """
     out: list[Block] = []
     stack: list[str] = []
     tags: list[str] = []
     parts: list[str] = []
     links = [0]
     path: tuple[str, ...] = ()
+    hidden: int | None = None  # the place of the outermost open hidden element in the stack
+    last_end: dict[str, int] = {}
 
     def flush() -> None:
-        if parts:
-            text = " ".join(unescape("".join(parts)).split())
+        if parts and hidden is None:
+            text = " ".join("".join(parts).split())
             if text:
                 out.append(Block(text, path, links[0]))
             parts.clear()
             links[0] = 0
 
     def pop_to(n: int) -> None:
+        nonlocal hidden
         del stack[n:], tags[n:]
+        if hidden is not None and n <= hidden:
+            hidden = None
+
+    def closed_after(name: str, at: int) -> bool:
+        if name not in last_end:
+            last_end[name] = max((m.start() for m in re.finditer(rf"</{name}\b", html, re.I)), default=-1)
+        return last_end[name] >= at
 
     at, n = 0, len(html)
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
             lt = n
-        if lt > at:
-            text = html[at:lt]
+        if lt > at and hidden is None:
+            text = unescape(html[at:lt])
             if not parts:
                 path = tuple(stack)
             parts.append(text)
@@ -91,9 +107,10 @@ def blocks(html: str) -> list[Block]:
             break
         m = _TAG.match(html, lt)
         if m is None:  # a bare "<" is text
-            if not parts:
-                path = tuple(stack)
-            parts.append("<")
+            if hidden is None:
+                if not parts:
+                    path = tuple(stack)
+                parts.append("<")
             at = lt + 1
             continue
         at = m.end()
@@ -102,16 +119,32 @@ def blocks(html: str) -> list[Block]:
             continue
         name = name.lower()
         if m[1]:
-            if name not in INLINE:
-                flush()
             if name in tags:
-                pop_to(len(tags) - 1 - tags[::-1].index(name))
+                k = len(tags) - 1 - tags[::-1].index(name)
+                if hidden is not None and name not in HIDDEN and k < hidden:
+                    pop_to(hidden)
+                if name not in INLINE and name not in HIDDEN:
+                    flush()
+                pop_to(k)
+            elif name not in INLINE and name not in HIDDEN:
+                flush()
             continue
         attrs = m[3]
         if name in RAW:
-            if name not in ("svg", "object", "canvas", "math") or not attrs.endswith("/>"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(html, at)
-                at = end.end() if end else n
+            end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(html, at)
+            at = end.end() if end else n
+            continue
+        if name in HIDDEN:
+            if not attrs.endswith("/>") and closed_after(name, at):
+                if hidden is None:
+                    hidden = len(tags)
+                stack.append(name)
+                tags.append(name)
+            continue
+        if hidden is not None:
+            if name not in VOID and not attrs.endswith("/>"):
+                stack.append(name)
+                tags.append(name)
             continue
         if name not in INLINE:
             flush()
@@ -419,9 +452,27 @@ def label(html: str, article: set[str]) -> tuple[list[Block], list[int]]:
     return page, [int(b.text in article) for b in page]
 
 
+def short_pages(n: int = 120, seed: int = 6) -> list[tuple[list[Block], list[int]]]:
+    """Pages of an article and one or two other parts at most, cut out of built pages.
+
+    The article is one to three of its blocks, often one only, in the element it stood in."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for html, article in labelled_pages(n, seed):
+        page, gold = label(html, article)
+        text = [b for b, y in zip(page, gold) if y]
+        rest = [i for i, y in enumerate(gold) if not y]
+        first = int(rng.integers(len(text)))
+        keep = text[first:first + int(rng.choice([1, 1, 1, 2, 3]))]
+        before = [page[i] for i in rest if i < gold.index(1)][:int(rng.choice([0, 0, 1, 2]))]
+        after = [page[i] for i in rest if i > gold.index(1)][-1:] if rng.random() < 0.3 else []
+        out.append((before + keep + after, [0] * len(before) + [1] * len(keep) + [0] * len(after)))
+    return out
+
+
 def trained(n: int = 900, seed: int = 5) -> Crf:
-    """The CRF of the built labelled pages."""
-    return train([label(h, a) for h, a in labelled_pages(n, seed)])
+    """The CRF of the built labelled pages and of short ones."""
+    return train([label(h, a) for h, a in labelled_pages(n, seed)] + short_pages())
 
 
 def _extract(crf_b):

@@ -83,3 +83,30 @@ def test_query_cases(llm, crf):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     empty = llm.createDataFrame([], "page_id long, url string, html string")
     assert H.extract_main_text(empty, crf).collect() == []
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<article><p>Only one paragraph stands on this page, and it is the article.</p></article>",
+     "Only one paragraph stands on this page, and it is the article."),
+    ("<html><body><main><p>Eine einzige Zeile bildet hier den Artikel.</p></main></body></html>",
+     "Eine einzige Zeile bildet hier den Artikel."),
+    ("<nav><ul><li><a href='/'>Start</a></li></ul></nav><article><p>One paragraph after a menu.</p></article>",
+     "One paragraph after a menu."),
+    ("<article><h1>Title</h1><p title='" + "a > b " * 2000 + "'>A long attribute.</p></article>", "Title\nA long attribute."),
+    ("<article><p>First of all.</p><svg><p>Second comes.</p><p>Third ends.</p></article>",
+     "First of all.\nSecond comes.\nThird ends."),
+    ("<article><p>First of all.</p><object><object>old</object><p>fallback</p></object><p>Third ends.</p></article>",
+     "First of all.\nThird ends."),
+    ("<article><p>AT&<b>amp;</b>T stays as it is.</p><p>And a second one.</p></article>",
+     "AT&amp;T stays as it is.\nAnd a second one."),
+])
+def test_small_and_odd_pages(crf, html, text):
+    assert crf.extract(html) == text
+
+
+@pytest.mark.parametrize("html,texts", [
+    ("<p>a<noscript>b<p>c</noscript>d</p>", ["ad"]), ("<p>a<template>b", ["ab"]), ("a<svg/>b", ["ab"]),
+    ("<div>a<select><option>x</div><p>b</select>", ["a", "b"]), ("<SVG><text>x</text></svg>y", ["y"]),
+])
+def test_hidden_elements(html, texts):
+    assert [b.text for b in H.blocks(html)] == texts
