@@ -80,7 +80,7 @@ def test_query_cases(llm, crf):
     assert len(got) == 5
     by = [(r["page_id"], r["text"]) for r in got]
     assert by.count((1, crf.extract(PAGE))) == 2 and (2, "") in by and (3, "") in by
-    assert all(r["n_chars"] == len(r["text"]) for r in got)
+    assert all(r["n_chars"] == len(r["text"]) for r in got) and (None, "é𝄞 x") in by
     empty = llm.createDataFrame([], "page_id long, url string, html string")
     assert H.extract_main_text(empty, crf).collect() == []
 
