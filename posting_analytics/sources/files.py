@@ -63,6 +63,32 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return df
 
 
+def read_checked(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
+                 **options) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit ``schema``, and the rejected records.
+
+    A CSV record with fewer or more fields than the schema, and a CSV or JSON Lines record
+    that does not parse or holds a value of another type, is no row; it is given back as
+    ``file, raw`` with its whole text.  Every other record is a row.  An empty CSV line is
+    no record.  CSV is read in the dialect of ``write_csv``; ``options`` go to the reader.
+    """
+    raw = "_raw"
+    while raw.lower() in {f.name.lower() for f in schema.fields}:
+        raw = f"_{raw}"
+    wide = T.StructType([*schema.fields, T.StructField(raw, T.StringType(), True)])
+    base = {**_READ, "header": True, "enforceSchema": True, "columnPruning": False} if fmt == "csv" else {}
+    df = spark.read.format(fmt).options(**{**base, **options}).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", raw).schema(wide).load(path)
+    # A reader parses only the fields that a query needs, and refuses one that needs the raw text
+    # alone: an always true condition on all fields keeps them in every query.
+    missing = [F.col(f"`{f.name}`").isNull() for f in schema.fields]
+    df = df.filter(F.xxhash64(*missing) >= F.lit(-(1 << 63)))
+    rows = df.filter(F.col(raw).isNull()).select(*[f"`{f.name}`" for f in schema.fields])
+    rejects = df.filter(F.col(raw).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.col(raw).alias("raw"))
+    return rows, rejects
+
+
 def flatten_for_text(df: DataFrame) -> DataFrame:
     """Render array, map and struct columns as JSON text (flat formats cannot hold them)."""
     out = {}

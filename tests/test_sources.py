@@ -1,6 +1,7 @@
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from posting_analytics import vocab
 from posting_analytics.operators import documents
@@ -94,3 +95,27 @@ def test_json_arrays_round_trip(spark, scratch):
     back = files.read_json(spark, os.path.join(scratch, "arrays"), df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     assert spark.read.text(os.path.join(scratch, "arrays")).count() == 3
+
+
+def test_checked_csv_splits_rows_and_rejects(spark, scratch):
+    path = os.path.join(scratch, "checked.csv")
+    bad = ["3", "4,x,1,extra", "five,e,2"]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(["id,name,n", "1,a,7", bad[0], '2,"b, ""c""",', bad[1], bad[2], "6,,0"]) + "\n")
+    schema = T._parse_datatype_string("id long, name string, n int")
+    rows, rejects = files.read_checked(spark, path, schema)
+    assert sorted(map(tuple, rows.collect())) == [(1, "a", 7), (2, 'b, "c"', None), (6, None, 0)]
+    got = rejects.collect()
+    assert sorted(r["raw"] for r in got) == sorted(bad) and all(r["file"].endswith("checked.csv") for r in got)
+    assert rows.count() == 3 and rejects.count() == 3
+    assert sorted(r["id"] for r in rows.select("id").collect()) == [1, 2, 6]
+
+
+def test_checked_json_lines(spark, scratch):
+    path = os.path.join(scratch, "checked.json")
+    bad = ['{"_raw": "y", "n": "no number"}', "{broken"]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(['{"_raw": "x", "n": 1}', *bad, '{"n": 2}']) + "\n")
+    rows, rejects = files.read_checked(spark, path, T._parse_datatype_string("_raw string, n int"), "json")
+    assert sorted(map(tuple, rows.fillna("").collect())) == [("", 2), ("x", 1)]
+    assert sorted(r["raw"] for r in rejects.collect()) == sorted(bad)
