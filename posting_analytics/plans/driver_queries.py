@@ -544,6 +544,21 @@ def json_arrays(spark, sf_dir):
     return files.read_json(spark, path, o.schema)
 
 
+def malformed_records(spark, sf_dir):
+    """Every order as a CSV line, and beside it a line that is short, long or does not parse: rows and rejects."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    fields = [F.col(c).cast("string") for c in o.columns[:3]]
+    bad = (F.when(F.col("o_orderstatus") == "F", F.concat_ws(",", *fields[:2]))
+           .when(F.col("o_orderstatus") == "O", F.concat_ws(",", *fields, F.lit("more")))
+           .otherwise(F.concat(F.lit("x"), F.concat_ws(",", *fields))))
+    lines = o.select(F.explode(F.array(F.concat_ws(",", *fields), bad)).alias("value"))
+    path = scratch_path(spark, "malformed")
+    lines.write.text(path)
+    rows, rejects = files.read_checked(spark, path, o.drop("o_orderstatus").schema, header=False)
+    return rows.withColumn("raw", F.lit(None).cast("string")).unionByName(
+        rejects.select("raw"), allowMissingColumns=True)
+
+
 def collection_counts(spark, sf_dir):
     """Replaced twice, a collection holds the rows of the last writing."""
     root = scratch_path(spark, "collections")
@@ -637,6 +652,7 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip": sink_roundtrip,
     "text_roundtrip": text_roundtrip,
     "json_arrays": json_arrays,
+    "malformed_records": malformed_records,
     "collection_counts": collection_counts,
     "documents_view": documents_view,
     "first_rows": first_rows,

@@ -442,6 +442,11 @@ def oracle_sql() -> dict[str, str]:
         "rejects": f"SELECT page_id, url, 'no html' AS reason FROM {_AND_EMPTY} WHERE html IS NULL OR html = ''",
         "text_roundtrip": _text_roundtrip(),
         "json_arrays": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
+        "malformed_records": (
+            "SELECT o_orderkey, o_custkey, o_orderpriority, CAST(NULL AS VARCHAR) AS raw FROM orders UNION ALL "
+            "SELECT NULL, NULL, NULL, CASE o_orderstatus WHEN 'F' THEN concat_ws(',', o_orderkey, o_custkey) "
+            "WHEN 'O' THEN concat_ws(',', o_orderkey, o_custkey, o_orderpriority, 'more') "
+            "ELSE 'x' || concat_ws(',', o_orderkey, o_custkey, o_orderpriority) END FROM orders"),
         "collection_counts": ("SELECT 'orders' AS collection, count(*) AS n FROM orders UNION ALL "
                               "SELECT 'shares', count(DISTINCT o_orderpriority) FROM orders"),
         "documents_view": "SELECT * FROM customer",
