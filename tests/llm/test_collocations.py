@@ -96,6 +96,28 @@ def test_long_texts_are_cut_between_pieces():
     assert np.array_equal(gaps(whole), gaps(parts))
 
 
+def test_later_runs_of_a_batch():
+    """A run that does not begin at the batch's first byte has the words it has by itself."""
+    texts, langs = pa.array(["x y", "new york city. sea", "", "z. \u00c9 a b"]), pa.array(["en", "de", "en", "fr"])
+    data, off = B.string_buffers(texts)
+    for a in range(4):
+        for b in range(a + 1, 5):
+            alone, alone_off = B.string_buffers(texts.slice(a, b - a).take(pa.array(range(b - a))))
+            assert C.occurrences(data, off[a:b + 1], langs.slice(a, b - a)) == C.occurrences(
+                alone, alone_off, langs.slice(a, b - a))
+
+
+def test_batches_of_several_runs(llm):
+    """More text in one batch than a run takes: every run's phrases count."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(" ".join(rng.choice(words) + rng.choice(["", "", ",", "."]) for _ in range(60)), rng.choice(["en", "de"]))
+            for _ in range(300)]
+    rows = [(t + " " + "q" * 100_000 + str(i % 9), lang) for i, (t, lang) in enumerate(rows)]  # 30 MB, four runs
+    d = llm.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    assert sorted(tuple(r) for r in C.collocations(d.coalesce(1)).collect()) == sorted(plain(rows))
+
+
 def test_packing():
     for top in (0, 255, 256, 65535, 65536, (1 << 32) - 1, 1 << 32, 1 << 62):
         x = np.array([0, top, 1], np.int64)
