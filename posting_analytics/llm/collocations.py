@@ -9,18 +9,20 @@ piece and position.  A round
    two frequent phrases of ``k`` words, one a word after the other, are an
    occurrence of ``R_{k+1}``.
 
-Each relation is written to the shared folder, so that a round reads the one
-before and a lost executor costs its own partitions.
+What a round leaves of its relation is written to the shared folder, so that the
+next reads it and a lost executor costs its own partitions.  The merge-join is
+made where it is read, once to count and once to semi-join: it names far more
+phrases than its sides, most of them found a few times only.
 
 A row of a written relation is a run, some megabytes of text: the places of its
-occurrences in order, the phrase at each as a number in the run's own list of
-distinct phrases, and each phrase's key and count.  Places count words through
-the run and skip one between pieces, so equal piece and adjacent position is
-"the next place".  What is shuffled are the lists: a run sends each distinct
-phrase once, with its count, to the bucket of its key; the bucket adds the
-counts up and sends back an id for a phrase found often enough, else 0.  A
-phrase that holds a third of all occurrences is one entry per run.  Buckets are
-cut by the number of entries, so that one holds about a million at any size.
+occurrences as bits, the phrase at each as a number in the run's own list of
+distinct phrases, and that list, in byte planes that are compressed.  Places
+count words through the run and skip one between pieces, so equal piece and
+adjacent position is "the next place".  A run sends each distinct phrase once,
+with its count, to the bucket of its key; the bucket adds the counts up and
+sends back an id for a phrase found often enough, else 0.  A phrase that holds
+a third of all occurrences is one entry per run.  Buckets are cut by the number
+of entries, so that one holds about a million at any size.
 
 The key of a word is a 128-bit digest of language and word; the key of a longer
 phrase is the pair of ids of its first and its last ``k - 1`` words, so counts
@@ -55,12 +57,12 @@ _SEPARATOR[list(b".,;:!?\n\x0b\x0c\r")] = True
 _WORD = ~_SEPARATOR
 _WORD[[0x20, 0x09]] = False
 
-_WIDTHS = (np.uint8, np.uint16, np.uint32, np.uint64)
-
 _RELATION = ("run long, entries long, place binary, gram binary, hi binary, lo binary, n binary, "
-             "langs array<string>, totals array<long>, lang_of binary, words binary, word_end binary")
-_EXTENDED = ("run long, entries long, place binary, gram binary, hi binary, lo binary, n binary, "
+             "langs array<string>, totals array<long>, lang_of binary, words binary, word_size binary")
+_EXTENDED = ("run long, entries long, place binary, gram binary, ids binary, "
              "found array<struct<id: bigint, f: bigint, lang: string, phrase: string>>")
+#: What the semi-join reads of the words' relation, and of those of longer phrases.
+_WORDS, _PHRASES = ["run", "place", "gram", "langs", "lang_of", "words", "word_size"], ["run", "place", "gram", "ids"]
 _SENT = "bucket long, run long, hi binary, lo binary, n binary"
 _ANSWER = ("bucket long, run long, id binary, f binary, "
            "found array<struct<id: bigint, hi: bigint, lo: bigint, f: bigint>>")
@@ -69,14 +71,53 @@ _FOUND_WORD = pa.list_(pa.struct([("id", pa.int64()), ("f", pa.int64()), ("lang"
 _FOUND = pa.list_(pa.struct([(c, pa.int64()) for c in ("id", "hi", "lo", "f")]))
 
 
+def squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+
+
+def unsqueeze(b: bytes) -> bytes:
+    size = int.from_bytes(b[:8], "little")
+    return pa.decompress(b[8:], size, "zstd", asbytes=True) if size else b""
+
+
 def pack(x: np.ndarray) -> bytes:
-    """Non-negative integers in the least width that holds them."""
-    code = int(np.searchsorted([1 << 8, 1 << 16, 1 << 32], int(x.max()), "right")) if len(x) else 0
-    return bytes([code]) + x.astype(_WIDTHS[code]).tobytes()
+    """Non-negative integers as compressed byte planes, the least number that holds them."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    planes = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + squeeze(planes.T.tobytes())
 
 
 def unpack(b: bytes) -> np.ndarray:
-    return np.frombuffer(b, _WIDTHS[b[0]], offset=1)
+    planes = np.frombuffer(unsqueeze(b[1:]), np.uint8).reshape(b[0], -1)
+    x = planes[0].astype(U)
+    for i in range(1, b[0]):
+        x |= planes[i].astype(U) << U(8 * i)
+    return x
+
+
+def pack_rising(x: np.ndarray) -> bytes:
+    """Ascending non-negative integers by their differences."""
+    return pack(np.diff(x.astype(U), prepend=U(0)))
+
+
+def unpack_rising(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack(b), dtype=U)
+
+
+def pack_places(place: np.ndarray) -> bytes:
+    """Distinct ascending places as bits."""
+    there = np.zeros(int(place[-1]) + 1 if len(place) else 0, bool)
+    there[place] = True
+    return pack(np.packbits(there))
+
+
+def unpack_places(b: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(unpack(b).astype(np.uint8)))
+
+
+def bucket_of_word(hi: np.ndarray, buckets: int) -> np.ndarray:
+    """Rises with the key."""
+    return ((hi >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
 def bucket_of(hi: np.ndarray, lo: np.ndarray, buckets: int) -> np.ndarray:
@@ -131,12 +172,15 @@ def occurrences(data: np.ndarray, off: np.ndarray, langs: pa.Array) -> dict:
     digest = b"".join(hashlib.blake2b(heads[a] + words[b], digest_size=16).digest()
                       for a, b in zip(lang_of.tolist(), word_of))
     key = np.frombuffer(digest, U).reshape(-1, 2)
-    blob = [words[b] for b in word_of]
-    return {"entries": len(entry), "place": pack(place), "gram": pack(gram), "hi": pack(key[:, 0]),
+    order = np.lexsort((key[:, 1], key[:, 0]))  # entries by key, and so by bucket whatever their number
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    key, lang_of, count, blob = key[order], lang_of[order], count[order], [words[word_of[i]] for i in order.tolist()]
+    return {"entries": len(entry), "place": pack_places(place), "gram": pack(rank[gram]), "hi": pack_rising(key[:, 0]),
             "lo": pack(key[:, 1]), "n": pack(count), "langs": names,
             "totals": np.bincount(lang_of, count, len(names)).astype(np.int64).tolist(),
-            "lang_of": pack(lang_of), "words": b"".join(blob),
-            "word_end": pack(np.cumsum([len(x) for x in blob], dtype=np.int64))}
+            "lang_of": pack(lang_of), "words": squeeze(b"".join(blob)),
+            "word_size": pack(np.array([len(x) for x in blob], np.int64))}
 
 
 def _types(schema: str, **special: pa.DataType) -> pa.Schema:
@@ -162,25 +206,47 @@ def _relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([row], schema)
 
 
-def _route(buckets: int):
+def pairs(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The merge-join of a run with itself: places, keys of two of its phrases, and the phrases' ids."""
+    ids = unpack_rising(row["ids"])
+    place, gram = unpack_places(row["place"]), unpack(row["gram"]).astype(np.int64)
+    here = np.flatnonzero(place[1:] == place[:-1] + 1)
+    return place[here], gram[here] * max(1, len(ids)) + gram[here + 1], ids
+
+
+def by_bucket(key: np.ndarray, ids: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    """Order of distinct ascending keys of a merge-join by bucket, and in it bucket, first and second id."""
+    a, b = np.divmod(key, max(1, len(ids)))
+    hi, lo = ids[a], ids[b]
+    to = bucket_of(hi, lo, buckets)
+    order = np.argsort(to, kind="stable")
+    return order, to[order], hi[order], lo[order]
+
+
+def _route(buckets: int, words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hi, lo, n = (unpack(row[c]) for c in ("hi", "lo", "n"))
-                to = bucket_of(hi, lo, buckets)
-                order = np.argsort(to, kind="stable")
-                to, hi, lo, n = to[order], hi[order], lo[order], n[order]
+                if words:
+                    hi, lo, n = unpack_rising(row["hi"]), unpack(row["lo"]), unpack(row["n"])
+                    to = bucket_of_word(hi, buckets)
+                else:
+                    _, key, ids = pairs(row)
+                    key, n = np.unique(key, return_counts=True)
+                    order, to, hi, lo = by_bucket(key, ids, buckets)
+                    n = n[order]
                 at = np.flatnonzero(np.diff(to, prepend=-1))
                 part = list(zip(at.tolist(), [*at[1:].tolist(), len(to)]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(to[at], pa.int64()), pa.array([row["run"]] * len(part), pa.int64()),
-                     *[pa.array([pack(x[a:b]) for a, b in part], pa.binary()) for x in (hi, lo, n)]],
+                     *[pa.array([put(x[a:b]) for a, b in part], pa.binary())
+                       for x, put in ((hi, pack_rising), (lo, pack), (n, pack))]],
                     ["bucket", "run", "hi", "lo", "n"])
     return run
 
 
-def _count(min_count: int, buckets: int, words: bool):
-    """Total counts of a bucket's phrases: an id, or 0, for every entry of every run.
+def _count(min_count: int, buckets: int, words: bool, back: bool):
+    """Total counts of a bucket's phrases: if ``back``, an id, or 0, for every entry of every run.
 
     Words: one run of those that named a word also learns its count, to give the
     word's spelling; longer phrases are given here, by the ids of their parts.
@@ -190,7 +256,8 @@ def _count(min_count: int, buckets: int, words: bool):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("run")
         bucket = table.column("bucket")[0].as_py()
-        hi, lo, n = ([unpack(x.as_py()) for x in table.column(c)] for c in ("hi", "lo", "n"))
+        hi, lo, n = ([get(x.as_py()) for x in table.column(c)]
+                     for c, get in (("hi", unpack_rising), ("lo", unpack), ("n", unpack)))
         edges = np.cumsum([len(x) for x in hi])[:-1]
         hi, lo, n = (np.concatenate(x).astype(U) for x in (hi, lo, n))
         order = np.lexsort((lo, hi))
@@ -203,9 +270,9 @@ def _count(min_count: int, buckets: int, words: bool):
         of = np.cumsum(new) - 1
         answer = np.empty(len(order), np.int64)
         answer[order] = ids[of]
-        rows = table.num_rows
-        out = {"bucket": [bucket] * rows, "run": table.column("run").to_pylist(),
-               "id": [pack(x) for x in np.split(answer, edges)], "f": [None] * rows, "found": [None] * rows}
+        rows = table.num_rows if back else 0
+        out = {"bucket": [bucket] * rows, "run": table.column("run").to_pylist()[:rows],
+               "id": [pack(x) for x in np.split(answer, edges)[:rows]], "f": [None] * rows, "found": [None] * rows}
         if words:
             f = np.zeros(len(order), np.int64)
             f[np.minimum.reduceat(order, at)[often]] = total[often]
@@ -220,42 +287,42 @@ def _count(min_count: int, buckets: int, words: bool):
     return run
 
 
-def _extend(buckets: int, last: bool):
-    """``R_k`` and its answers to ``R_{k+1}``: a semi-join and a merge-join of adjacent places."""
+def _extend(buckets: int, words: bool):
+    """The semi-join of a run with its answers: the occurrences of phrases found often enough."""
     schema = _types(_EXTENDED, found=_FOUND_WORD)
 
     def run(relation: pa.Table, answers: pa.Table) -> pa.Table:
         if not relation.num_rows:
             return schema.empty_table()
         row = relation.to_pylist()[0]
-        hi, lo = unpack(row["hi"]), unpack(row["lo"])
-        order = np.argsort(bucket_of(hi, lo, buckets), kind="stable")
         answers = answers.sort_by("bucket")
-        ids, f = np.zeros(len(hi), np.int64), np.zeros(len(hi), np.int64)
-        if len(hi):
-            ids[order] = np.concatenate([unpack(x) for x in answers.column("id").to_pylist()])
-        found = []
-        if row.get("words") is not None:
-            if len(hi):
-                f[order] = np.concatenate([unpack(x) for x in answers.column("f").to_pylist()])
-            end = unpack(row["word_end"]).astype(np.int64)
-            lang_of = unpack(row["lang_of"])
+
+        def answered(name: str) -> np.ndarray:
+            return np.concatenate([np.zeros(0, U), *[unpack(x) for x in answers.column(name).to_pylist()]])
+
+        ids, found = answered("id"), []
+        if words:
+            place, gram = unpack_places(row["place"]), unpack(row["gram"]).astype(np.int64)
+            end = np.cumsum(unpack(row["word_size"]).astype(np.int64))
+            f, lang_of, text = answered("f"), unpack(row["lang_of"]), unsqueeze(row["words"])
             for e in np.flatnonzero(f).tolist():
-                word = row["words"][end[e - 1] if e else 0:end[e]]
-                found.append({"id": int(ids[e]), "f": int(f[e]), "lang": row["langs"][lang_of[e]],
+                word = text[end[e - 1] if e else 0:end[e]]
+                found.append({"id": int(ids[e]), "f": int(f[e]), "lang": row["langs"][int(lang_of[e])],
                               "phrase": word.decode("utf-8", "replace")})
-        place, gram = unpack(row["place"]).astype(np.int64), unpack(row["gram"])
-        kept = ids[gram] > 0
-        place, gram = place[kept], gram[kept].astype(np.int64)
-        here = np.flatnonzero(place[1:] == place[:-1] + 1)
-        key, gram, n = np.unique(gram[here] * max(1, len(hi)) + gram[here + 1],
-                                 return_inverse=True, return_counts=True)
-        a, b = np.divmod(key, max(1, len(hi)))
-        none = pack(np.zeros(0, np.int64))
+        else:
+            place, key, parts = pairs(row)
+            key, gram = np.unique(key, return_inverse=True)
+            sent, ids = ids, np.zeros(len(key), U)
+            ids[by_bucket(key, parts, buckets)[0]] = sent
+        order = np.argsort(ids, kind="stable")  # phrases are numbered by id, those dropped first
+        order = order[ids[order] > 0]
+        rank = np.full(len(ids), -1)
+        rank[order] = np.arange(len(order))
+        gram = rank[gram]
+        place, gram = place[gram >= 0], gram[gram >= 0]
         return pa.Table.from_pylist([{
-            "run": row["run"], "entries": len(key), "place": none if last else pack(place[here]),
-            "gram": none if last else pack(gram), "hi": pack(ids[a]), "lo": pack(ids[b]), "n": pack(n),
-            "found": found}], schema)
+            "run": row["run"], "entries": int((np.diff(place) == 1).sum()), "place": pack_places(place),
+            "gram": pack(gram), "ids": pack_rising(ids[order]), "found": found}], schema)
     return run
 
 
@@ -283,9 +350,10 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10) -
     levels: list[DataFrame] = []
     for k in range(1, max_words + 1):
         buckets = _buckets(relation)
-        sent = relation.select("run", "hi", "lo", "n").mapInArrow(_route(buckets), _SENT)
-        answers = written(sent.groupBy("bucket").applyInArrow(_count(min_count, buckets, k == 1), _ANSWER),
-                          f"phrase-counts-{k}")
+        sent = relation.select(["run", "hi", "lo", "n"] if k == 1 else _PHRASES).mapInArrow(
+            _route(buckets, k == 1), _SENT)
+        answers = written(sent.groupBy("bucket").applyInArrow(
+            _count(min_count, buckets, k == 1, k < max_words), _ANSWER), f"phrase-counts-{k}")
         if k > 1:
             f = answers.filter("run is null").select(F.inline("found"))
             one = levels[-1]
@@ -299,8 +367,9 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10) -
                 F.array_append("s_tails", F.col("f")).alias("tails")))
         if k < max_words:
             asked = answers.filter("run is not null").select("bucket", "run", "id", "f")
-            relation = written(relation.groupBy("run").cogroup(asked.groupBy("run")).applyInArrow(
-                _extend(buckets, k + 1 == max_words), _EXTENDED), f"phrase-relation-{k + 1}")
+            body = relation.select(_WORDS if k == 1 else _PHRASES)
+            relation = written(body.groupBy("run").cogroup(asked.groupBy("run")).applyInArrow(
+                _extend(buckets, k == 1), _EXTENDED), f"phrase-relation-{k + 1}")
             if k == 1:
                 levels.append(relation.select(F.inline("found")).select(
                     "id", "lang", "phrase", "f", F.array("f").alias("heads"), F.array("f").alias("tails")))
