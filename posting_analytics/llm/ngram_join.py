@@ -51,6 +51,8 @@ from .common import cut, n_buckets, numbered, unused, written
 K, NUMERATOR, DENOMINATOR = 4, 85, 100
 GROUPS, NODE, LEAF = 64, 16, 256
 _ROUNDS = 4
+#: Edges that one task takes: what rounds over edges leave in the end, not more, is solved in it.
+EDGES = 1 << 16
 _RUN_BYTES, _RUN_DOCS, _DOC_BITS = 4 << 20, 4096, 12
 U = np.uint64
 
@@ -391,17 +393,40 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column("sig"), batch.column("hub")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def _solved(batches):
+    """``node, label`` of the few edges of a partition: larger roots hang themselves under smaller ones."""
+    ends = [(batch.column("a").to_numpy(), batch.column("b").to_numpy()) for batch in batches]
+    if not ends:
+        return
+    a, b = (np.concatenate(x) for x in zip(*ends))
+    node, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[:len(a)], at[len(a):]
+    root = np.arange(len(node))
+    while len(a):
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+        a, b = root[a], root[b]
+        a, b = a[a != b], b[a != b]
+    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[root])], ["node", "label"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` (the least node reached) of every node of ``edges`` (``a, b``).
 
     Each round maps every node to the neighbour, or itself, that a hash of the
     round puts first, and on to where that one is mapped; edges then join what
     is left, those inside a node are dropped, and the rest, a part of the nodes,
-    goes into the next round.  The rounds' maps are joined one behind the other.
+    goes into the next round.  What is no more than one task's share is solved
+    there: rounds over a few edges cost the driver plans and threads, not work.
+    The rounds' maps are joined one behind the other.
     """
     edge = cut(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     steps: list[DataFrame] = []
-    while not edge.isEmpty():
+    while left := edge.count():
+        if left <= EDGES:
+            steps.append(cut(edge.coalesce(1).mapInArrow(_solved, "node long, label long")))
+            break
         draw = lambda c: F.struct(F.xxhash64(c, F.lit(len(steps))).alias("h"), F.col(c).alias("to"))  # noqa: B023, E731
         ends = edge.select("a", draw("b").alias("d")).unionByName(edge.select(F.col("b").alias("a"), draw("a").alias("d")))
         step = ends.groupBy("a").agg(F.min("d").alias("d")).select(
@@ -415,6 +440,8 @@ def components(edges: DataFrame) -> DataFrame:
     if not steps:
         return edge.select(F.col("a").alias("node"), F.col("b").alias("label"))
     found = steps[0]
+    if len(steps) == 1 and left <= EDGES:
+        return found
     for step in steps[1:]:
         step = step.select(F.col("node").alias("via"), F.col("label").alias("far"))
         found = found.join(step, found.label == step.via, "left").select(

@@ -193,3 +193,27 @@ def test_components(llm, edges):
             parent[max(a, b)] = min(a, b)
     got = N.components(llm.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.label for r in got.collect()} == {x: top(x) for x in parent} and got.count() == len(parent)
+
+
+@pytest.mark.parametrize("most", [0, 3, 40])
+def test_components_by_rounds_and_what_they_leave(llm, monkeypatch, most):
+    """Rounds over all edges, or until a few are left, give the same as one task for all."""
+    rng = random.Random(most)
+    edges = [(i, i + 1) for i in range(70)] + [(rng.randrange(100, 190), rng.randrange(100, 190)) for _ in range(60)]
+    df = llm.createDataFrame(edges + [(-5, 2 ** 62), (2 ** 62, -7)], "a long, b long")
+    want = sorted(tuple(r) for r in N.components(df).collect())
+    monkeypatch.setattr(N, "EDGES", most)
+    assert sorted(tuple(r) for r in N.components(df).collect()) == want
+    assert [x for x in want if x[0] < 71] == [(-7, -7), (-5, -7)] + [(i, 0) for i in range(71)]
+
+
+def test_components_of_few_edges_take_few_jobs(llm):
+    """The driver keeps plans, threads and broadcasts of every job: a short edge list makes no rounds."""
+    df = llm.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    llm.sparkContext.setJobGroup("few-edges", "components")
+    try:
+        got = N.components(df).collect()
+    finally:
+        llm.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["label"] for r in got} == {0} and len(got) == 301
+    assert len(llm.sparkContext.statusTracker().getJobIdsForGroup("few-edges")) <= 10
