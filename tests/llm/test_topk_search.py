@@ -1,10 +1,13 @@
 import math
 import random
+import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from posting_analytics.llm import topk_search
 from posting_analytics.llm.topk_search import exact_top_k
 
 
@@ -59,3 +62,44 @@ def test_other_k(llm, k):
     rng = random.Random(k)
     rows = [(i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(60)]
     assert run(llm, rows, k=k, step=7) == sorted(brute(rows, k, 7))
+
+
+def test_the_ranges_of_a_block_meet_its_histogram_once(llm, monkeypatch, tmp_path):
+    made = topk_search._narrow
+
+    def narrow(width):
+        run = made(width)
+
+        def measured(one, other):
+            tables = [t for t in (one, other) if isinstance(t, pa.Table)]
+            (tmp_path / uuid.uuid4().hex).write_text(str(sum(t.nbytes for t in tables)))
+            return run(*tables)
+        return measured
+
+    monkeypatch.setattr(topk_search, "_narrow", narrow)
+    rng = random.Random(8)
+    rows = [(i, [float(np.float32(rng.uniform(-1, 1))) for _ in range(4)]) for i in range(400)]
+    assert run(llm, rows, k=3, step=1) == sorted(brute(rows, 3, 1))
+    read = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert read and max(read) < 2_000_000  # 400 queries with a copy of all ranges beside each bin: 40 MB
+
+
+@pytest.mark.parametrize("k", [2, 40])
+def test_many_cells_of_candidates_and_queries(llm, monkeypatch, k):
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(topk_search, "CELL", 200)
+    rng = random.Random(k)
+    rows = [(i, [float(rng.randint(-2, 2)) for _ in range(6 if i % 9 else 2)]) for i in range(300)]
+    rows += [(400 + i, [1.0, 2.0, 0.0, -1.0, 1.0, 0.5 * (i % 2)]) for i in range(60)]
+    rows += [(500 + i, [300.0 * i, 1.0, 0.0, 0.0, 0.0, 70000.0 * (i % 3)]) for i in range(30)]  # wider numbers
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(9)
+    got = sorted(map(tuple, exact_top_k(df, F.col("vec_id") % 5 == 0, k).collect()))
+    assert got == sorted(brute(rows, k, 5))
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_candidates_of_rising_and_falling_scores(llm, order):
+    rows = [(i, [1.0 + order * (i // 3) / 1000, 1.0]) for i in range(4000)]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    got = sorted(map(tuple, exact_top_k(df, F.col("vec_id") % 500 == 0, 5).collect()))
+    assert got == sorted(brute([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 5, 500))
